@@ -57,6 +57,19 @@ def _typed(raw: Column, kind: str) -> Column:
     raise ValueError(kind)
 
 
+def fence(df: DataFrame) -> DataFrame:
+    """Compute every column of ``df`` once per row, then continue.
+
+    Catalyst pushes a filter below a projection by inlining the projected
+    expressions into the predicate, without weighing their cost.  For JSON
+    decoding that means parsing each record again for every pushed filter
+    (and for every filter the consumer adds).  Predicates on a generator's
+    output are never pushed below the generator, so a one-element ``inline``
+    fixes the decoded columns as ordinary input columns.
+    """
+    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+
+
 def decode(df: DataFrame, fields: list[tuple[str, str]], value_col: str = "value",
            keep: list[str] | None = None, mode: str = "quarantine") -> DataFrame:
     """Decode a text column of JSON objects into typed columns + ``reason``.
@@ -103,7 +116,7 @@ def decode(df: DataFrame, fields: list[tuple[str, str]], value_col: str = "value
             F.when(F.col("reason").isNotNull(),
                    F.raise_error(F.concat(F.lit("bad record: "), F.col("reason"))))
             .otherwise(F.col("reason")))
-    return out
+    return fence(out)
 
 
 def split(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:

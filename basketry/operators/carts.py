@@ -14,10 +14,11 @@ width T.  An add can only be emitted if it is the last event of its
 (cart, chunk): any later event of the same chunk is less than T away.  For
 that last event the next one is the first event of chunk + 1 (events of
 chunk + 2 and later are more than T away).  So two hash aggregates per
-(cart, chunk) — last-event key and first timestamp — and one equi-join of
-chunk c with chunk c + 1 decide everything.  A cart holding a third of all
+(cart, chunk) — last-event key, and first timestamp of chunk c + 1 —
+decide everything.  A cart holding a third of all
 events still never lands in one task: the aggregates combine map-side and
-the join sides are one row per (cart, chunk).
+each event also offers its time to chunk - 1 in the same aggregate, so it
+is one scan and one shuffle of pre-aggregated rows.
 
 Stream form — ``session_window(ts, T)`` per cart: a session whose last
 event is an add closes at ``add + T`` = the abandonment time.  Events
@@ -73,23 +74,24 @@ def abandoned_carts(events: DataFrame, timeout: str = TIMEOUT,
     if as_of is not None:
         as_of_col = F.lit(as_of).cast("timestamp")
         ev = ev.filter(F.col("ts") <= as_of_col)
-    ev = ev.select("cart_id",
-                   F.floor(F.unix_micros("ts") / F.lit(t_us)).cast("bigint").alias("chunk"),
+    chunk = F.floor(F.unix_micros("ts") / F.lit(t_us)).cast("bigint")
+    us = F.unix_micros("ts")
+    # Each event counts as an event of its own chunk and offers its time as
+    # "first event of the next chunk" to chunk - 1: one scan, one shuffle.
+    own = F.struct(chunk.alias("chunk"),
                    _order_key(F.col("ts"), F.col("is_checkout")).alias("okey"),
-                   F.unix_micros("ts").alias("us"))
-    per_chunk = ev.groupBy("cart_id", "chunk").agg(F.max("okey").alias("last_key"),
-                                                   F.min("us").alias("first_us"))
-    last_adds = (per_chunk.filter(F.col("last_key").bitwiseAND(1) == 0)
-                          .select("cart_id", "chunk",
-                                  F.shiftright("last_key", 1).alias("add_us")))
-    next_first = per_chunk.select("cart_id", (F.col("chunk") - 1).alias("chunk"),
-                                  F.col("first_us").alias("next_us"))
-    out = (last_adds.join(next_first, ["cart_id", "chunk"], "left")
-                    .filter(F.col("next_us").isNull()
-                            | (F.col("next_us") > F.col("add_us") + F.lit(t_us)))
-                    .select("cart_id",
-                            F.timestamp_micros(F.col("add_us") + F.lit(t_us))
-                            .alias("abandoned_at")))
+                   F.lit(None).cast("bigint").alias("next_us"))
+    prev = F.struct((chunk - 1).alias("chunk"), F.lit(None).cast("bigint").alias("okey"),
+                    us.alias("next_us"))
+    rows = ev.select("cart_id", F.inline(F.array(own, prev)))
+    per_chunk = rows.groupBy("cart_id", "chunk").agg(F.max("okey").alias("last_key"),
+                                                     F.min("next_us").alias("next_us"))
+    t = F.lit(t_us)
+    add_us = F.shiftright("last_key", 1)
+    out = (per_chunk.filter(F.col("last_key").isNotNull()
+                            & (F.col("last_key").bitwiseAND(1) == 0))
+                    .filter(F.col("next_us").isNull() | (F.col("next_us") > add_us + t))
+                    .select("cart_id", F.timestamp_micros(add_us + t).alias("abandoned_at")))
     if as_of is not None:
         out = out.filter(F.col("abandoned_at") <= as_of_col)
     return out
