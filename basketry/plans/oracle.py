@@ -149,12 +149,14 @@ def _closure(names: list[str]) -> list[str]:
     return [n for n in CTES if n in need]
 
 
-def sql(body: str, *ctes: str) -> str:
-    names = _closure(list(ctes))
-    if not names:
+def sql(body: str, *ctes: str, extra: dict[str, str] | None = None) -> str:
+    """``body`` preceded by the named shared CTEs (and their dependencies),
+    then any query-specific ``extra`` CTEs."""
+    parts = [f"{n} AS ({CTES[n]}\n)" for n in _closure(list(ctes))]
+    parts += [f"{n} AS ({q}\n)" for n, q in (extra or {}).items()]
+    if not parts:
         return body.strip()
-    w = ",\n".join(f"{n} AS ({CTES[n]}\n)" for n in names)
-    return f"WITH {w}\n{body.strip()}"
+    return "WITH " + ",\n".join(parts) + "\n" + body.strip()
 
 
 ENVELOPE_COLS = ", ".join(f'"{c}"' for c in [

@@ -1,4 +1,147 @@
-"""Streaming queries registered for the driver (filled in with the streaming layer)."""
+"""Streaming queries registered for the driver.
 
-STREAM_QUERIES: dict = {}
-STREAM_ORACLE: dict = {}
+Each one writes the adapter's records as JSON lines (the Kafka value
+format) into a folder under the shared checkpoint root, in three
+event-time-ordered chunks.  After each chunk the streaming query runs with
+``availableNow`` and stops; the next run restarts from its checkpoint —
+so every result also went through a restart.  The result table is then
+read back as a batch DataFrame.
+
+Oracle: the batch query cut where the stream's watermark ends,
+``max(event time of the query's input) - 5 s``; roll-ups have no watermark
+and equal the full batch result.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from basketry.functions import codec
+from basketry.operators import events as ev_ops
+from basketry.plans.oracle import sql
+from basketry.plans.queries import _env, _tx, ntz
+from basketry.session import work_path
+from basketry.sources import files
+from basketry.streaming import jobs
+
+CHUNKS = 3
+AVAILABLE_NOW = {"availableNow": True}
+
+
+def feed_in_chunks(records: DataFrame, ts_col: str, in_dir: str, run, chunks: int = CHUNKS) -> None:
+    """Append ``records.value`` to ``in_dir`` in event-time order, running the
+    stream after each chunk.  Only the time bounds come to the driver."""
+    lo, hi = records.agg(F.min(ts_col), F.max(ts_col)).first()
+    if lo is None:
+        run()
+        return
+    lo_us, hi_us = [int(x.timestamp() * 1_000_000) for x in (lo, hi)]
+    step = (hi_us - lo_us) // chunks + 1
+    us = F.unix_micros(F.col(ts_col).cast("timestamp"))
+    for i in range(chunks):
+        a, b = lo_us + i * step, lo_us + (i + 1) * step
+        part = records.filter((us >= F.lit(a)) & (us < F.lit(b)))
+        part.select("value").write.mode("append").text(in_dir)
+        run()
+
+
+def _event_stream_result(spark: SparkSession, sf_dir: str, name: str, start, read):
+    out = jobs.Outputs(work_path(spark, name))
+    in_dir = out.path("_input")
+    env = _env(spark, sf_dir)
+    records = env.select(codec.encode_events(env).alias("value"), "event_ts")
+
+    def run():
+        raw = files.read_records_stream(spark, in_dir)
+        events, _bad = jobs.decode_event_stream(raw)
+        jobs.await_all([start(events, out, trigger=AVAILABLE_NOW)])
+
+    feed_in_chunks(records, "event_ts", in_dir, run)
+    return read(spark, out)
+
+
+def stream_active_users(spark, sf_dir):
+    return _event_stream_result(spark, sf_dir, "stream_active_users", jobs.start_active_users,
+                                lambda s, o: ntz(o.active_users().read(s)))
+
+
+def stream_top_products(spark, sf_dir):
+    return _event_stream_result(
+        spark, sf_dir, "stream_top_products", jobs.start_top_products,
+        lambda s, o: ntz(o.top_products().read(s).select("hour_ts", "product_id", "amount",
+                                                         "product_rank")))
+
+
+def stream_abandoned_carts(spark, sf_dir):
+    return _event_stream_result(spark, sf_dir, "stream_abandoned_carts",
+                                jobs.start_abandoned_carts,
+                                lambda s, o: ntz(o.abandoned().read(s)))
+
+
+def stream_sales_rollups(spark, sf_dir):
+    out = jobs.Outputs(work_path(spark, "stream_sales_rollups"))
+    in_dir = out.path("_input")
+    tx = _tx(spark, sf_dir)
+    records = tx.select(codec.encode_transactions(tx, "millis").alias("value"),
+                        "transaction_date")
+
+    def run():
+        raw = files.read_records_stream(spark, in_dir)
+        txs, _bad = jobs.decode_transaction_stream(raw)
+        jobs.await_all(jobs.start_sales_rollups(txs, out, trigger=AVAILABLE_NOW))
+
+    feed_in_chunks(records, "transaction_date", in_dir, run)
+    cat = out.sales("sales_per_category").read(spark)
+    day = out.sales("sales_per_day").read(spark)
+    mon = out.sales("sales_per_month").read(spark)
+    null_s, null_d, null_i = (F.lit(None).cast(t) for t in ("string", "date", "int"))
+    return (cat.select(F.lit("category").alias("rollup"), "transaction_date", "category",
+                       null_i.alias("year"), null_i.alias("month"), "total_sales")
+            .unionByName(day.select(F.lit("day").alias("rollup"), "transaction_date",
+                                    null_s.alias("category"), null_i.alias("year"),
+                                    null_i.alias("month"), "total_sales"))
+            .unionByName(mon.select(F.lit("month").alias("rollup"), null_d.alias("transaction_date"),
+                                    null_s.alias("category"), "year", "month", "total_sales")))
+
+
+STREAM_QUERIES = {
+    "stream_active_users": stream_active_users,
+    "stream_top_products": stream_top_products,
+    "stream_abandoned_carts": stream_abandoned_carts,
+    "stream_sales_rollups": stream_sales_rollups,
+}
+
+# --- oracles -------------------------------------------------------------------
+
+_MS_CART_NEXT = """
+SELECT cart_id, ts, is_checkout,
+       lead(ts) OVER (PARTITION BY cart_id ORDER BY ts, is_checkout) AS next_ts
+FROM (SELECT cart_id, date_trunc('millisecond', ts) AS ts, is_checkout FROM cart_events)"""
+
+STREAM_ORACLE = {
+    "stream_active_users": sql("""
+        SELECT minute_ts, users FROM active
+        WHERE minute_ts <= (SELECT date_trunc('millisecond', max(event_ts)) - INTERVAL 5 SECOND
+                            FROM events_env WHERE "eventType" = 'page_view')""", "active", "events_env"),
+    "stream_top_products": sql("""
+        SELECT hour_ts, product_id, amount, product_rank FROM top10
+        WHERE hour_ts + INTERVAL 1 HOUR <= (
+            SELECT date_trunc('millisecond', max(event_ts)) - INTERVAL 5 SECOND
+            FROM events_env WHERE "eventType" = 'add_to_cart')""", "top10", "events_env"),
+    "stream_abandoned_carts": sql("""
+        SELECT cart_id, ts + INTERVAL 30 MINUTE AS abandoned_at FROM ms_next
+        WHERE is_checkout = 0 AND (next_ts IS NULL OR next_ts > ts + INTERVAL 30 MINUTE)
+          AND ts + INTERVAL 30 MINUTE <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 5 SECOND
+                                          FROM cart_events)""", "cart_events",
+                                  extra={"ms_next": _MS_CART_NEXT}),
+    "stream_sales_rollups": sql("""
+        SELECT 'category' AS rollup, transaction_date, category, CAST(NULL AS INTEGER) AS "year",
+               CAST(NULL AS INTEGER) AS "month", cents / 100.0 AS total_sales FROM cat_daily
+        UNION ALL
+        SELECT 'day', CAST(transaction_date AS DATE), NULL, NULL, NULL,
+               sum(CAST(round(total_amount * 100) AS BIGINT)) / 100.0 FROM tx GROUP BY 2
+        UNION ALL
+        SELECT 'month', NULL, NULL, "year", "month", cents / 100.0 FROM monthly""",
+                                "cat_daily", "tx", "monthly"),
+}

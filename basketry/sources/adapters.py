@@ -110,12 +110,13 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(*[c.alias(n) for n, c in cols.items()])
 
 
-def transactions_from_records(df: DataFrame) -> DataFrame:
+def transactions_from_records(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Decoded camelCase transaction records -> table form.
 
-    The record's primitives mean a missing number is 0.
+    The record's primitives mean a missing number is 0.  ``keep`` carries
+    extra input columns through (e.g. the record time).
     """
-    out = []
+    out = [F.col(k) for k in (keep or [])]
     for n, _ in schemas.TRANSACTION_FIELDS:
         c = F.col(n)
         if n in ("productPrice", "totalAmount"):
