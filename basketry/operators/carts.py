@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from basketry import schemas
 from basketry.functions.intervals import interval_micros
+from basketry.operators.events import event_time_gate
 
 TIMEOUT = "30 minutes"
 
@@ -49,8 +50,13 @@ def timeout_from_env(value: str | None, default_minutes: int = 30) -> str:
 
 def _cart_events(events: DataFrame, ts: str) -> DataFrame:
     t = F.col("eventType")
-    return (events.filter(F.col("cartId").isNotNull()
-                          & t.isin(schemas.ADD_TO_CART, schemas.CHECKOUT))
+    gate = lambda v: event_time_gate(events, v, ts)
+    # On streams: no null-intolerant test of cartId alone, or the optimizer
+    # infers "cartId IS NOT NULL" and pushes it below the watermark.
+    has_cart = F.coalesce(F.col("cartId") >= gate(F.lit("")), F.lit(False)) \
+        if events.isStreaming else F.col("cartId").isNotNull()
+    return (events.filter(has_cart & t.isin(gate(F.lit(schemas.ADD_TO_CART)),
+                                            gate(F.lit(schemas.CHECKOUT))))
                   .select(F.col("cartId").alias("cart_id"), F.col(ts).alias("ts"),
                           (t == schemas.CHECKOUT).cast("int").alias("is_checkout")))
 

@@ -8,7 +8,7 @@ so every result also went through a restart.  The result table is then
 read back as a batch DataFrame.
 
 Oracle: the batch query cut where the stream's watermark ends,
-``max(event time of the query's input) - 5 s``; roll-ups have no watermark
+``max(event time of all decoded events) - 5 s``; roll-ups have no watermark
 and equal the full batch result.
 """
 
@@ -123,17 +123,18 @@ STREAM_ORACLE = {
     "stream_active_users": sql("""
         SELECT minute_ts, users FROM active
         WHERE minute_ts <= (SELECT date_trunc('millisecond', max(event_ts)) - INTERVAL 5 SECOND
-                            FROM events_env WHERE "eventType" = 'page_view')""", "active", "events_env"),
+                            FROM events_env)""", "active", "events_env"),
     "stream_top_products": sql("""
         SELECT hour_ts, product_id, amount, product_rank FROM top10
         WHERE hour_ts + INTERVAL 1 HOUR <= (
             SELECT date_trunc('millisecond', max(event_ts)) - INTERVAL 5 SECOND
-            FROM events_env WHERE "eventType" = 'add_to_cart')""", "top10", "events_env"),
+            FROM events_env)""", "top10", "events_env"),
     "stream_abandoned_carts": sql("""
         SELECT cart_id, ts + INTERVAL 30 MINUTE AS abandoned_at FROM ms_next
         WHERE is_checkout = 0 AND (next_ts IS NULL OR next_ts > ts + INTERVAL 30 MINUTE)
-          AND ts + INTERVAL 30 MINUTE <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 5 SECOND
-                                          FROM cart_events)""", "cart_events",
+          AND ts + INTERVAL 30 MINUTE <= (SELECT date_trunc('millisecond', max(event_ts))
+                                                 - INTERVAL 5 SECOND FROM events_env)""",
+                                  "cart_events", "events_env",
                                   extra={"ms_next": _MS_CART_NEXT}),
     "stream_sales_rollups": sql("""
         SELECT 'category' AS rollup, transaction_date, category, CAST(NULL AS INTEGER) AS "year",

@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -26,6 +27,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def read_parquet_or_empty(spark: SparkSession, path: str,
+                          schema: T.StructType | str | None) -> DataFrame | None:
+    """Read a result folder; an absent folder, or one that only empty
+    micro-batches have touched, reads as an empty frame of ``schema``."""
+    if path_exists(spark, path):
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException as e:
+            if "UNABLE_TO_INFER_SCHEMA" not in str(e):
+                raise
+    if schema is None:
+        return None
+    return spark.createDataFrame([], schema)
+
+
 def _dynamic_overwrite(df: DataFrame, path: str, partition_col: str) -> None:
     (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
@@ -46,9 +62,7 @@ class KeyedLog:
                            self.path, "batch_id")
 
     def read_log(self, spark: SparkSession) -> DataFrame | None:
-        if not path_exists(spark, self.path):
-            return None
-        return spark.read.parquet(self.path)
+        return read_parquet_or_empty(spark, self.path, None)
 
     def read(self, spark: SparkSession) -> DataFrame:
         """Newest row per key (a partial WindowGroupLimit bounds each key)."""
@@ -78,21 +92,24 @@ class ReplaceByKey:
         _dynamic_overwrite(df, self.path, self.key)
 
     def read(self, spark: SparkSession, key_value: str | None = None) -> DataFrame:
-        if not path_exists(spark, self.path):
-            if self.schema is None:
-                raise FileNotFoundError(self.path)
-            return spark.createDataFrame([], self.schema)
-        df = spark.read.parquet(self.path)
+        df = read_parquet_or_empty(spark, self.path, self.schema)
+        if df is None:
+            raise FileNotFoundError(self.path)
         return df.filter(F.col(self.key) == key_value) if key_value is not None else df
 
 
+def _q(name: str) -> str:
+    """Quoted identifier: Spark's JDBC writer creates quoted lower-case columns."""
+    return '"' + name.replace('"', '""') + '"'
+
+
 def merge_sql(table: str, staging: str, keys: list[str], columns: list[str]) -> str:
     """ANSI MERGE from a staging table: insert new keys, overwrite the rest."""
-    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+    on = " AND ".join(f"t.{_q(k)} = s.{_q(k)}" for k in keys)
     non_keys = [c for c in columns if c not in keys]
-    upd = ", ".join(f"{c} = s.{c}" for c in non_keys)
-    ins_cols = ", ".join(columns)
-    ins_vals = ", ".join(f"s.{c}" for c in columns)
+    upd = ", ".join(f"{_q(c)} = s.{_q(c)}" for c in non_keys)
+    ins_cols = ", ".join(_q(c) for c in columns)
+    ins_vals = ", ".join(f"s.{_q(c)}" for c in columns)
     sql = f"MERGE INTO {table} t USING {staging} s ON {on} "
     if upd:
         sql += f"WHEN MATCHED THEN UPDATE SET {upd} "
@@ -101,11 +118,11 @@ def merge_sql(table: str, staging: str, keys: list[str], columns: list[str]) ->
 
 def postgres_upsert_sql(table: str, staging: str, keys: list[str], columns: list[str]) -> str:
     non_keys = [c for c in columns if c not in keys]
-    cols = ", ".join(columns)
-    upd = ", ".join(f"{c} = EXCLUDED.{c}" for c in non_keys)
+    cols = ", ".join(_q(c) for c in columns)
+    upd = ", ".join(f"{_q(c)} = EXCLUDED.{_q(c)}" for c in non_keys)
     action = f"DO UPDATE SET {upd}" if upd else "DO NOTHING"
     return (f"INSERT INTO {table} ({cols}) SELECT {cols} FROM {staging} "
-            f"ON CONFLICT ({', '.join(keys)}) {action}")
+            f"ON CONFLICT ({', '.join(_q(k) for k in keys)}) {action}")
 
 
 def _execute(spark: SparkSession, url: str, statements: list[str], props: dict) -> None:
