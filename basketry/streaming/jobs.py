@@ -129,6 +129,25 @@ def start_abandoned_carts(events: DataFrame, out: Outputs, timeout: str = carts.
                   log.write_batch, "append", trigger)
 
 
+def start_console(df: DataFrame, name: str, output_mode: str = "append",
+                  trigger: dict | None = None) -> StreamingQuery:
+    """Print a stream (debugging only; off unless asked for)."""
+    w = df.writeStream.queryName(name).outputMode(output_mode).format("console") \
+        .option("truncate", "false")
+    return w.trigger(**(trigger or {"processingTime": CHECKPOINT_INTERVAL})).start()
+
+
+def start_kafka_publish(events: DataFrame, out: Outputs, kafka_write_options: dict,
+                        trigger: dict | None = None) -> StreamingQuery:
+    """Publish typed events as Kafka messages: key chain + compact JSON."""
+    from basketry.operators.events import event_messages
+    w = (event_messages(events).writeStream.queryName("publish").format("kafka")
+         .option("checkpointLocation", out.checkpoint("publish")))
+    for k, v in kafka_write_options.items():
+        w = w.option(k, v)
+    return w.trigger(**(trigger or {"processingTime": CHECKPOINT_INTERVAL})).start()
+
+
 def start_dead_letters(bad: DataFrame, out: Outputs, name: str = "quarantine",
                        trigger: dict | None = None) -> StreamingQuery:
     log = KeyedLog(out.path(name), ["value", "reason"])

@@ -165,3 +165,39 @@ def jdbc_execute(spark: SparkSession, url: str, statements: list[str],
                  props: dict | None = None) -> None:
     """Run DDL (e.g. ``schemas.DDL``) once at job start."""
     _execute(spark, url, statements, dict(props or {}))
+
+
+class JdbcTable:
+    """Keyed upsert into a database table from ``foreachBatch``."""
+
+    def __init__(self, url: str, table: str, keys: list[str], props: dict | None = None,
+                 dialect: str = "postgres", batch_size: int = 500):
+        self.url, self.table, self.keys = url, table, keys
+        self.props, self.dialect, self.batch_size = dict(props or {}), dialect, batch_size
+
+    def write_batch(self, df: DataFrame, batch_id: int) -> None:
+        jdbc_upsert(df, batch_id, self.url, self.table, self.keys, self.props,
+                    self.dialect, self.batch_size)
+
+
+class Fanout:
+    """Write one micro-batch to several sinks, computing it once.
+
+    The batch is persisted for the duration of the call (the stateful plan
+    is not re-run per sink) and released afterwards.  ``shape`` maps a sink
+    index to a projection applied before that sink (e.g. drop a column the
+    database table does not have).
+    """
+
+    def __init__(self, *writers, shapes: dict | None = None):
+        self.writers = writers
+        self.shapes = shapes or {}
+
+    def write_batch(self, df: DataFrame, batch_id: int) -> None:
+        df.persist()
+        try:
+            for i, w in enumerate(self.writers):
+                shaped = self.shapes[i](df) if i in self.shapes else df
+                w.write_batch(shaped, batch_id)
+        finally:
+            df.unpersist()

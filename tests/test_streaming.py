@@ -135,3 +135,23 @@ def test_multi_event_job_end_to_end(spark):
     dead = KeyedLog(out.path("quarantine"), ["value", "reason"]).read(spark).collect()
     assert [(r.value, r.reason) for r in dead] == [("not json", "malformed")]
     assert os.path.basename(out.root).startswith("t_multi")
+
+
+def test_fanout_writes_each_sink_once(spark):
+    from basketry.streaming.writers import Fanout
+    a = KeyedLog(work_path(spark, "t_fan_a"), ["k"])
+    b = KeyedLog(work_path(spark, "t_fan_b"), ["k"])
+    df = spark.createDataFrame([("x", 1)], "k string, v int")
+    Fanout(a, b, shapes={1: lambda d: d.select("k")}).write_batch(df, 3)
+    assert rows(a.read(spark)) == [("x", 1)]
+    assert rows(b.read(spark)) == [("x",)]
+
+
+def test_cli_files_once(spark):
+    from basketry.streaming import main as cli
+    out = work_path(spark, "t_cli")
+    in_dir = os.path.join(out, "_in")
+    _write_lines(spark, in_dir, [_pv(1, "u1", T0), _pv(2, "u2", T0 + dt.timedelta(hours=1))])
+    cli.main(["multi-event", "--source", "files", "--path", in_dir, "--out", out, "--once"])
+    got = jobs.Outputs(out).active_users().read(spark).count()
+    assert got == 5
