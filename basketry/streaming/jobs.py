@@ -148,6 +148,21 @@ def start_kafka_publish(events: DataFrame, out: Outputs, kafka_write_options: di
     return w.trigger(**(trigger or {"processingTime": CHECKPOINT_INTERVAL})).start()
 
 
+def start_abandoned_carts_processing_time(events: DataFrame, out: Outputs,
+                                          timeout: str = carts.TIMEOUT,
+                                          trigger: dict | None = None) -> StreamingQuery:
+    """E3: the wall-clock timer machine (``transformWithStateInPandas``).
+
+    Sets the RocksDB state store provider, which this operator requires; the
+    provider is recorded in the query checkpoint.
+    """
+    from basketry.streaming.stateful import ROCKSDB, abandoned_carts_processing_time
+    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    log = KeyedLog(out.path("abandoned_carts_pt"), ["cart_id", "abandoned_at"], _AB_SCHEMA)
+    return _start(abandoned_carts_processing_time(events, timeout), "abandoned_carts_pt", out,
+                  log.write_batch, "append", trigger)
+
+
 def start_dead_letters(bad: DataFrame, out: Outputs, name: str = "quarantine",
                        trigger: dict | None = None) -> StreamingQuery:
     log = KeyedLog(out.path(name), ["value", "reason"])

@@ -155,3 +155,39 @@ def test_cli_files_once(spark):
     cli.main(["multi-event", "--source", "files", "--path", in_dir, "--out", out, "--once"])
     got = jobs.Outputs(out).active_users().read(spark).count()
     assert got == 5
+
+
+def test_processing_time_cart_timers(spark):
+    """E3: wall-clock timers — c1 is abandoned after T, c2 checked out in time."""
+    import time
+
+    out = jobs.Outputs(work_path(spark, "t_pt"))
+    in_dir = out.path("_input")
+    lines = [json.dumps({"eventId": "e1", "eventType": "add_to_cart", "cartId": "c1",
+                         "timestamp": "2024-01-01T00:00:00Z"}),
+             json.dumps({"eventId": "e2", "eventType": "add_to_cart", "cartId": "c2",
+                         "timestamp": "2024-01-01T00:00:00Z"}),
+             json.dumps({"eventId": "e3", "eventType": "checkout", "cartId": "c2",
+                         "timestamp": "2024-01-01T00:00:01Z"})]
+    _write_lines(spark, in_dir, lines)
+    raw = files.read_records_stream(spark, in_dir)
+    events, _ = jobs.decode_event_stream(raw, watermark=None)
+    q = jobs.start_abandoned_carts_processing_time(events, out, "2 seconds",
+                                                   {"processingTime": "1 second"})
+    log = KeyedLog(out.path("abandoned_carts_pt"), ["cart_id", "abandoned_at"])
+    try:
+        deadline = time.time() + 90
+        got = []
+        while time.time() < deadline:
+            time.sleep(2)
+            assert q.exception() is None
+            df = log.read_log(spark)
+            got = [] if df is None else [r.cart_id for r in df.collect()]
+            if got:
+                break
+        time.sleep(3)
+        got = [r.cart_id for r in log.read_log(spark).collect()]
+    finally:
+        q.stop()
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    assert got == ["c1"]
