@@ -51,9 +51,10 @@ def _typed(raw: Column, kind: str) -> Column:
     if kind == "bigint":
         return raw.try_cast("double").try_cast("bigint")
     if kind == "timestamp":
-        # epoch milliseconds, or ISO text
-        return F.coalesce(F.timestamp_millis(raw.try_cast("bigint")),
-                          F.try_to_timestamp(raw))
+        # epoch milliseconds, or ISO text.  Only digit strings are cast to a
+        # number: a failing try_cast costs an exception per row.
+        return F.when(raw.rlike(r"^-?[0-9]{1,18}$"), F.timestamp_millis(raw.cast("bigint"))) \
+                .otherwise(F.try_to_timestamp(raw))
     raise ValueError(kind)
 
 
