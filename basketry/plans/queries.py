@@ -115,19 +115,24 @@ def event_time_q(spark, sf_dir):
 
 # --- decoding ---------------------------------------------------------------
 
+def damage_messages(msgs: DataFrame) -> DataFrame:
+    """Damage JSON messages by event id: % 50 = 0 not JSON, 1 an unknown
+    field, 2 a non-numeric price."""
+    body = F.expr("substring(value, 1, length(value) - 1)")
+    m = F.col("eventId").cast("bigint") % 50
+    return msgs.withColumn(
+        "value",
+        F.when(m == 0, F.lit("not json"))
+         .when(m == 1, F.concat(body, F.lit(',"zzz":1}')))
+         .when(m == 2, F.concat(body, F.lit(',"productPrice":"abc"}')))
+         .otherwise(F.col("value")))
+
+
 def _decoded_events(spark, sf_dir, damage: bool = False):
     env = _env(spark, sf_dir)
     msgs = env.select("eventId", "event_ts", codec.encode_events(env).alias("value"))
     if damage:
-        v = F.col("value")
-        body = F.expr("substring(value, 1, length(value) - 1)")
-        m = F.col("eventId").cast("bigint") % 50
-        msgs = msgs.withColumn(
-            "value",
-            F.when(m == 0, F.lit("not json"))
-             .when(m == 1, F.concat(body, F.lit(',"zzz":1}')))
-             .when(m == 2, F.concat(body, F.lit(',"productPrice":"abc"}')))
-             .otherwise(v))
+        msgs = damage_messages(msgs)
     # the record time of a message is its event time in whole seconds
     msgs = msgs.withColumn("record_ts", F.date_trunc("second", "event_ts"))
     return codec.decode_events(msgs, keep=["record_ts"])

@@ -22,16 +22,18 @@ from basketry.operators import events as ev_ops
 from basketry.plans.oracle import sql
 from basketry.plans.queries import _env, _tx, ntz
 from basketry.session import work_path
-from basketry.sources import files
+from basketry.sources import adapters, files
 from basketry.streaming import jobs
 
 CHUNKS = 3
 AVAILABLE_NOW = {"availableNow": True}
 
 
-def feed_in_chunks(records: DataFrame, ts_col: str, in_dir: str, run, chunks: int = CHUNKS) -> None:
+def feed_in_chunks(records: DataFrame, ts_col: str, in_dir: str, run, chunks: int = CHUNKS,
+                   late: DataFrame | None = None) -> None:
     """Append ``records.value`` to ``in_dir`` in event-time order, running the
-    stream after each chunk.  Only the time bounds come to the driver."""
+    stream after each chunk.  Only the time bounds come to the driver.
+    ``late`` rows (a ``value`` column) arrive together with the last chunk."""
     lo, hi = records.agg(F.min(ts_col), F.max(ts_col)).first()
     if lo is None:
         run()
@@ -41,23 +43,36 @@ def feed_in_chunks(records: DataFrame, ts_col: str, in_dir: str, run, chunks: in
     us = F.unix_micros(F.col(ts_col).cast("timestamp"))
     for i in range(chunks):
         a, b = lo_us + i * step, lo_us + (i + 1) * step
-        part = records.filter((us >= F.lit(a)) & (us < F.lit(b)))
-        part.select("value").write.mode("append").text(in_dir)
+        part = records.filter((us >= F.lit(a)) & (us < F.lit(b))).select("value")
+        if late is not None and i == chunks - 1:
+            part = part.unionByName(late.select("value"))
+        part.write.mode("append").text(in_dir)
         run()
 
 
-def _event_stream_result(spark: SparkSession, sf_dir: str, name: str, start, read):
+def _event_stream_result(spark: SparkSession, sf_dir: str, name: str, start, read,
+                         with_late: bool = False):
     out = jobs.Outputs(work_path(spark, name))
     in_dir = out.path("_input")
     env = _env(spark, sf_dir)
     records = env.select(codec.encode_events(env).alias("value"), "event_ts")
+    late = None
+    if with_late:
+        # copies of the first day's page views, under new user ids, arriving
+        # with the last chunk: far behind the watermark by then
+        first = env.agg(F.min("event_ts")).first()[0]
+        early = env.filter(F.col("eventType") == "page_view") \
+                   .filter(F.col("event_ts") < F.lit(first) + F.expr("INTERVAL 1 DAY"))
+        early = early.withColumn("userId", F.concat(F.lit("late-"), F.col("userId"))) \
+                     .withColumn("eventId", F.concat(F.lit("late-"), F.col("eventId")))
+        late = early.select(codec.encode_events(early).alias("value"))
 
     def run():
         raw = files.read_records_stream(spark, in_dir)
         events, _bad = jobs.decode_event_stream(raw)
         jobs.await_all([start(events, out, trigger=AVAILABLE_NOW)])
 
-    feed_in_chunks(records, "event_ts", in_dir, run)
+    feed_in_chunks(records, "event_ts", in_dir, run, late=late)
     return read(spark, out)
 
 
@@ -66,6 +81,12 @@ def stream_active_users(spark, sf_dir):
                                 lambda s, o: ntz(o.active_users().read(s)))
 
 
+def late_rows(spark, sf_dir):
+    """B4: late copies of early page views are dropped; on-time rows kept."""
+    return _event_stream_result(spark, sf_dir, "late_rows", jobs.start_active_users,
+                                lambda s, o: ntz(o.active_users().read(s)), with_late=True)
+
+
 def stream_top_products(spark, sf_dir):
     return _event_stream_result(
         spark, sf_dir, "stream_top_products", jobs.start_top_products,
@@ -105,11 +126,51 @@ def stream_sales_rollups(spark, sf_dir):
                                     null_s.alias("category"), "year", "month", "total_sales")))
 
 
+def stream_transactions(spark, sf_dir):
+    """Transaction job's keyed upsert: newest record per id across batches."""
+    out = jobs.Outputs(work_path(spark, "stream_transactions"))
+    in_dir = out.path("_input")
+    tx = _tx(spark, sf_dir)
+    records = tx.select(codec.encode_transactions(tx, "millis").alias("value"),
+                        "transaction_date")
+
+    def run():
+        raw = files.read_records_stream(spark, in_dir)
+        txs, _bad = jobs.decode_transaction_stream(raw)
+        order = ["record_ts"] + adapters.TX_LAST_WRITE_ORDER
+        jobs.await_all([jobs.start_transactions_table(txs, out, order, AVAILABLE_NOW)])
+
+    feed_in_chunks(records, "transaction_date", in_dir, run)
+    return ntz(out.transactions().read(spark))
+
+
+def stream_quarantine(spark, sf_dir):
+    """Dead letters of the event stream, counted per reason."""
+    from basketry.plans.queries import damage_messages
+    out = jobs.Outputs(work_path(spark, "stream_quarantine"))
+    in_dir = out.path("_input")
+    env = _env(spark, sf_dir)
+    records = damage_messages(env.select("eventId", "event_ts",
+                                         codec.encode_events(env).alias("value")))
+
+    def run():
+        raw = files.read_records_stream(spark, in_dir)
+        _events, bad = jobs.decode_event_stream(raw)
+        jobs.await_all([jobs.start_dead_letters(bad, out, trigger=AVAILABLE_NOW)])
+
+    feed_in_chunks(records, "event_ts", in_dir, run)
+    dead = jobs.KeyedLog(out.path("quarantine"), ["value", "reason"]).read_log(spark)
+    return dead.groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 STREAM_QUERIES = {
     "stream_active_users": stream_active_users,
     "stream_top_products": stream_top_products,
     "stream_abandoned_carts": stream_abandoned_carts,
     "stream_sales_rollups": stream_sales_rollups,
+    "stream_transactions": stream_transactions,
+    "late_rows": late_rows,
+    "stream_quarantine": stream_quarantine,
 }
 
 # --- oracles -------------------------------------------------------------------
@@ -145,4 +206,13 @@ STREAM_ORACLE = {
         UNION ALL
         SELECT 'month', NULL, NULL, "year", "month", cents / 100.0 FROM monthly""",
                                 "cat_daily", "tx", "monthly"),
+    "stream_transactions": sql("SELECT * FROM tx_latest", "tx_latest"),
+    "stream_quarantine": """
+        SELECT CASE event_id % 50 WHEN 0 THEN 'malformed' WHEN 1 THEN 'unknown_field'
+                                  ELSE 'bad_type' END AS reason,
+               count(*) AS n_rows
+        FROM events WHERE event_id % 50 IN (0, 1, 2) GROUP BY 1""",
 }
+
+# Late copies never reach a window: the result is the on-time stream's.
+STREAM_ORACLE["late_rows"] = STREAM_ORACLE["stream_active_users"]
