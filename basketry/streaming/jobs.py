@@ -13,7 +13,7 @@ writer, so a restarted query that re-runs a batch leaves the same result.
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +27,7 @@ from basketry.operators import active_users as au_ops
 from basketry.operators import carts
 from basketry.operators import top_products as tp_ops
 from basketry.sources import adapters
-from basketry.streaming.writers import KeyedLog, ReplaceByKey
+from basketry.streaming.writers import Fanout, JdbcTable, KeyedLog, ReplaceByKey
 
 WATERMARK = "5 seconds"
 CHECKPOINT_INTERVAL = "10 seconds"
@@ -54,10 +54,25 @@ def decode_transaction_stream(raw: DataFrame, mode: str = "quarantine"
 
 @dataclass
 class Outputs:
-    """Result locations of one deployment, all under one shared root."""
+    """Result locations of one deployment, all under one shared root.
+
+    ``jdbc`` (optional): ``{"url": ..., "props": {...}, "dialect":
+    "postgres" | "merge"}`` — keyed results are then also upserted into the
+    database tables of ``schemas.DDL`` (staging table + one statement per
+    micro-batch), from the same persisted batch.
+    """
 
     root: str
-    tables: dict = field(default_factory=dict)
+    jdbc: dict | None = None
+
+    def with_database(self, files_sink, table: str, columns: list[str] | None = None):
+        """``files_sink``, fanned out to the database table when configured."""
+        if not self.jdbc:
+            return files_sink
+        db = JdbcTable(self.jdbc["url"], table, schemas.TABLE_KEYS[table],
+                       self.jdbc.get("props"), self.jdbc.get("dialect", "postgres"))
+        shapes = {1: (lambda d: d.select(*columns))} if columns else None
+        return Fanout(files_sink, db, shapes=shapes)
 
     def path(self, name: str) -> str:
         return os.path.join(self.root, name)
@@ -102,9 +117,9 @@ def _start(df: DataFrame, name: str, out: Outputs, batch_fn, output_mode: str,
 def start_active_users(events: DataFrame, out: Outputs, trigger: dict | None = None
                        ) -> StreamingQuery:
     """Active users per window, emitted once the window closes (append)."""
-    log = out.active_users()
+    sink = out.with_database(out.active_users(), "active_users_minute")
     return _start(au_ops.active_users_stream(events), "active_users", out,
-                  log.write_batch, "append", trigger)
+                  sink.write_batch, "append", trigger)
 
 
 def start_top_products(events: DataFrame, out: Outputs, n: int = tp_ops.TOP_N,
@@ -112,11 +127,12 @@ def start_top_products(events: DataFrame, out: Outputs, n: int = tp_ops.TOP_N,
                        ) -> StreamingQuery:
     """Hourly sums close in append mode; each closed hour is ranked in the
     batch (all its rows arrive together) and replaces its partition."""
-    store = out.top_products()
+    sink = out.with_database(out.top_products(), "top_products_hourly",
+                             ["hour_ts", "product_id", "amount"])
 
     def batch(df: DataFrame, batch_id: int) -> None:
         top = tp_ops.top_n(df, n).withColumn("hour_key", F.date_format("hour_ts", "yyyyMMddHH"))
-        store.write_batch(top, batch_id)
+        sink.write_batch(top, batch_id)
 
     return _start(tp_ops.product_sales_windowed(events, window), "top_products", out,
                   batch, "append", trigger)
@@ -184,11 +200,12 @@ def start_transactions_table(tx: DataFrame, out: Outputs, order: list[str] | Non
                              trigger: dict | None = None) -> StreamingQuery:
     """Last write wins per transaction id: newest within a batch, newest batch across."""
     from basketry.operators.sales import latest_transactions
-    log = out.transactions()
+    sink = out.with_database(out.transactions(), "transactions")
 
     def batch(df: DataFrame, batch_id: int) -> None:
         latest = latest_transactions(df, order)
-        log.write_batch(latest.drop(*[c for c in ["record_ts"] if c in latest.columns]), batch_id)
+        sink.write_batch(latest.drop(*[c for c in ["record_ts"] if c in latest.columns]),
+                         batch_id)
 
     return _start(tx, "transactions", out, batch, "append", trigger)
 
@@ -213,11 +230,11 @@ def start_sales_rollups(tx: DataFrame, out: Outputs, trigger: dict | None = None
                         ) -> list[StreamingQuery]:
     queries = []
     for name, agg in sales_rollup_streams(tx).items():
-        log = out.sales(name)
+        sink = out.with_database(out.sales(name), name)
 
-        def batch(df: DataFrame, batch_id: int, log=log) -> None:
-            log.write_batch(df.withColumn("total_sales", cents_to_amount("cents")).drop("cents"),
-                            batch_id)
+        def batch(df: DataFrame, batch_id: int, sink=sink) -> None:
+            sink.write_batch(df.withColumn("total_sales", cents_to_amount("cents")).drop("cents"),
+                             batch_id)
 
         queries.append(_start(agg, name, out, batch, "update", trigger))
     return queries

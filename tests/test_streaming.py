@@ -191,3 +191,48 @@ def test_processing_time_cart_timers(spark):
         q.stop()
         spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
     assert got == ["c1"]
+
+
+def test_transaction_job_fans_out_to_database(spark):
+    """S2–S5: keyed files and database tables from the same micro-batches."""
+    url = "jdbc:derby:memory:basketry_tx;create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    q = lambda n: f'"{n}"'
+    jdbc_execute(spark, url, [
+        "CREATE TABLE transactions (" + ", ".join(
+            f"{q(c)} {t}" for c, t in [
+                ("transaction_id", "VARCHAR(255) NOT NULL PRIMARY KEY"), ("product_id", "VARCHAR(255)"),
+                ("product_name", "VARCHAR(255)"), ("product_category", "VARCHAR(255)"),
+                ("product_price", "DOUBLE"), ("product_quantity", "INTEGER"),
+                ("product_brand", "VARCHAR(255)"), ("total_amount", "DOUBLE"),
+                ("currency", "VARCHAR(255)"), ("customer_id", "VARCHAR(255)"),
+                ("transaction_date", "TIMESTAMP"), ("payment_method", "VARCHAR(255)")]) + ")",
+        'CREATE TABLE sales_per_category ("transaction_date" DATE NOT NULL, '
+        '"category" VARCHAR(255) NOT NULL, "total_sales" DOUBLE, '
+        'PRIMARY KEY ("transaction_date", "category"))',
+        'CREATE TABLE sales_per_day ("transaction_date" DATE NOT NULL PRIMARY KEY, "total_sales" DOUBLE)',
+        'CREATE TABLE sales_per_month ("year" INTEGER NOT NULL, "month" INTEGER NOT NULL, '
+        '"total_sales" DOUBLE, PRIMARY KEY ("year", "month"))'], props)
+    out = jobs.Outputs(work_path(spark, "t_txdb"), jdbc={"url": url, "props": props,
+                                                         "dialect": "merge"})
+    in_dir = out.path("_input")
+
+    def tx(i, tid, cat, amount, day):
+        return json.dumps({"transactionId": tid, "productId": f"p{i}", "productCategory": cat,
+                           "productPrice": amount, "productQuantity": 1, "totalAmount": amount,
+                           "currency": "USD", "customerId": "c", "paymentMethod": "credit_card",
+                           "transactionDate": f"2024-01-0{day}T10:00:00Z"})
+
+    def run():
+        raw = files.read_records_stream(spark, in_dir)
+        jobs.await_all(jobs.start_transaction_job(raw, out, trigger=ONCE))
+
+    _write_lines(spark, in_dir, [tx(1, "t1", "home", 10.0, 1), tx(2, "t2", "home", 5.0, 1)])
+    run()
+    _write_lines(spark, in_dir, [tx(3, "t1", "home", 12.5, 2)])       # t1 again, later
+    run()
+    db = lambda t: spark.read.jdbc(url, t, properties=props)
+    assert rows(db("transactions"), "transaction_id", "total_amount") == [("t1", 12.5), ("t2", 5.0)]
+    assert rows(db("sales_per_day"), "total_sales") == [(12.5,), (15.0,)]
+    assert rows(db("sales_per_month"), "year", "month", "total_sales") == [(2024, 1, 27.5)]
+    assert rows(out.sales("sales_per_day").read(spark), "total_sales") == [(12.5,), (15.0,)]
