@@ -45,7 +45,9 @@ def _typed(raw: Column, kind: str) -> Column:
     if kind == "string":
         return raw
     if kind == "double":
-        return raw.try_cast("double")
+        # numbers only: the text "NaN" / "Infinity" is a bad value, not a number
+        d = raw.try_cast("double")
+        return F.when(~F.isnan(d) & (F.abs(d) != F.lit(float("inf"))), d)
     if kind == "int":
         return raw.try_cast("double").try_cast("int")
     if kind == "bigint":

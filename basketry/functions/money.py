@@ -6,24 +6,73 @@ meet in the aggregation buffers, i.e. on partitioning.  Summing integer
 cents is exact, order-free, stays a fixed-width long in the hash-aggregate
 buffer (whole-stage codegen, partial aggregation) and cannot overflow below
 ~9.2e16 currency units.
+
+Non-finite amounts keep double semantics: a NaN (or +∞ with −∞) makes the
+total NaN, an infinity makes it infinite.  They are tracked by three boolean
+max-aggregates next to the cent sum, so a NaN never fails the job and never
+silently disappears.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
+INF = float("inf")
+# Names of the partial columns of a money total.
+PARTS = ("cents", "has_nan", "has_pos_inf", "has_neg_inf")
+
+
+def _c(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def is_finite(c: Column | str) -> Column:
+    c = _c(c)
+    return ~F.isnan(c) & (F.abs(c) != F.lit(INF))
+
 
 def to_cents(c: Column | str) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.round(c * 100).cast("bigint")
+    """Cents of a finite amount; null for null and non-finite amounts."""
+    c = _c(c)
+    return F.when(is_finite(c), F.round(c * 100).cast("bigint"))
 
 
 def cents_to_amount(c: Column | str) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return c / F.lit(100.0)
+    return _c(c) / F.lit(100.0)
+
+
+def money_parts(c: Column | str, prefix: str = "") -> list[Column]:
+    """Aggregate columns of an exact money sum (use inside ``agg``)."""
+    c = _c(c)
+    return [F.sum(to_cents(c)).alias(prefix + "cents"),
+            F.max(F.isnan(c)).alias(prefix + "has_nan"),
+            F.max(c == F.lit(INF)).alias(prefix + "has_pos_inf"),
+            F.max(c == F.lit(-INF)).alias(prefix + "has_neg_inf")]
+
+
+def money_total(prefix: str = "") -> Column:
+    """The double total from the parts made by ``money_parts``."""
+    nan, pos, neg = (F.coalesce(F.col(prefix + p), F.lit(False)) for p in PARTS[1:])
+    return (F.when(nan | (pos & neg), F.lit(float("nan")))
+             .when(pos, F.lit(INF))
+             .when(neg, F.lit(-INF))
+             .otherwise(cents_to_amount(F.col(prefix + "cents"))))
+
+
+def running_parts(window: Window, prefix: str = "") -> list[Column]:
+    """Running versions of the parts over ``window`` (rows of partial totals)."""
+    return [F.sum(prefix + "cents").over(window).alias(prefix + "cents")] + [
+        F.max(prefix + p).over(window).alias(prefix + p) for p in PARTS[1:]]
 
 
 def money_sum(c: Column | str) -> Column:
-    """Exact sum of a money column, returned as double."""
-    return cents_to_amount(F.sum(to_cents(c)))
+    """Exact sum of a money column as one aggregate expression (double)."""
+    c = _c(c)
+    nan = F.coalesce(F.max(F.isnan(c)), F.lit(False))
+    pos = F.coalesce(F.max(c == F.lit(INF)), F.lit(False))
+    neg = F.coalesce(F.max(c == F.lit(-INF)), F.lit(False))
+    return (F.when(nan | (pos & neg), F.lit(float("nan")))
+             .when(pos, F.lit(INF))
+             .when(neg, F.lit(-INF))
+             .otherwise(cents_to_amount(F.sum(to_cents(c)))))

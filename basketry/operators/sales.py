@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.functions.money import cents_to_amount, to_cents
+from basketry.functions.money import money_parts, money_sum, money_total, running_parts
 from basketry.sources.adapters import TX_LAST_WRITE_ORDER
 
 
@@ -41,44 +41,47 @@ def null_key_rows(tx: DataFrame) -> DataFrame:
     return tx.filter(F.col("product_category").isNull())
 
 
-def _daily_category_cents(tx: DataFrame) -> DataFrame:
+def _daily_category_parts(tx: DataFrame) -> DataFrame:
     return (tx.filter(F.col("product_category").isNotNull())
               .groupBy(F.to_date("transaction_date").alias("transaction_date"),
                        F.col("product_category").alias("category"))
-              .agg(F.sum(to_cents("total_amount")).alias("cents")))
+              .agg(*money_parts("total_amount")))
 
 
 def sales_per_category(tx: DataFrame, dedupe: bool = False) -> DataFrame:
     """(transaction_date, category, total_sales) per event date and category."""
-    d = _daily_category_cents(_base(tx, dedupe))
-    return d.select("transaction_date", "category", cents_to_amount("cents").alias("total_sales"))
+    return (_base(tx, dedupe).filter(F.col("product_category").isNotNull())
+            .groupBy(F.to_date("transaction_date").alias("transaction_date"),
+                     F.col("product_category").alias("category"))
+            .agg(money_sum("total_amount").alias("total_sales")))
 
 
 def sales_per_category_running(tx: DataFrame, dedupe: bool = False) -> DataFrame:
     """Running total per category as of each date (the keyed running reduce)."""
-    d = _daily_category_cents(_base(tx, dedupe))
+    d = _daily_category_parts(_base(tx, dedupe))
     w = (Window.partitionBy("category").orderBy("transaction_date")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return d.select("transaction_date", "category",
-                    cents_to_amount(F.sum("cents").over(w)).alias("total_sales"))
+    return (d.select("transaction_date", "category", *running_parts(w))
+             .select("transaction_date", "category", money_total().alias("total_sales")))
 
 
 def sales_per_day(tx: DataFrame, dedupe: bool = False) -> DataFrame:
     return (_base(tx, dedupe)
             .groupBy(F.to_date("transaction_date").alias("transaction_date"))
-            .agg(F.sum(to_cents("total_amount")).alias("cents"))
-            .select("transaction_date", cents_to_amount("cents").alias("total_sales")))
+            .agg(money_sum("total_amount").alias("total_sales")))
 
 
-def _monthly_cents(tx: DataFrame) -> DataFrame:
+def _monthly_parts(tx: DataFrame) -> DataFrame:
     return (tx.groupBy(F.year("transaction_date").alias("year"),
                        F.month("transaction_date").alias("month"))
-              .agg(F.sum(to_cents("total_amount")).alias("cents")))
+              .agg(*money_parts("total_amount")))
 
 
 def sales_per_month(tx: DataFrame, dedupe: bool = False) -> DataFrame:
-    return _monthly_cents(_base(tx, dedupe)).select(
-        "year", "month", cents_to_amount("cents").alias("total_sales"))
+    return (_base(tx, dedupe)
+            .groupBy(F.year("transaction_date").alias("year"),
+                     F.month("transaction_date").alias("month"))
+            .agg(money_sum("total_amount").alias("total_sales")))
 
 
 def sales_per_month_running(tx: DataFrame, dedupe: bool = False) -> DataFrame:
@@ -86,9 +89,10 @@ def sales_per_month_running(tx: DataFrame, dedupe: bool = False) -> DataFrame:
     only and keeps the year of the first record.  Per (year, month): the
     running total of that month number across years, and the stored year.
     """
-    m = _monthly_cents(_base(tx, dedupe))
-    w = Window.partitionBy("month").orderBy("year")
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return m.select("year", "month",
-                    F.min("year").over(Window.partitionBy("month")).alias("stored_year"),
-                    cents_to_amount(F.sum("cents").over(running)).alias("total_sales"))
+    m = _monthly_parts(_base(tx, dedupe))
+    running = (Window.partitionBy("month").orderBy("year")
+                     .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (m.select("year", "month",
+                     F.min("year").over(Window.partitionBy("month")).alias("stored_year"),
+                     *running_parts(running))
+             .select("year", "month", "stored_year", money_total().alias("total_sales")))

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.functions.money import cents_to_amount, to_cents
+from basketry.functions.money import money_sum
 from basketry.operators.events import product_sales
 
 HOUR = "1 hour"
@@ -31,9 +31,8 @@ def product_sales_windowed(events: DataFrame, window: str = HOUR, ts: str = "eve
     sales = events if from_sales else product_sales(events, ts)
     sales = sales.filter(F.col("product_id").isNotNull() & F.col("amount").isNotNull())
     return (sales.groupBy(F.window("event_ts", window).alias("w"), "product_id")
-                 .agg(F.sum(to_cents("amount")).alias("cents"))
-                 .select(F.col("w.start").alias("hour_ts"), "product_id",
-                         cents_to_amount("cents").alias("amount")))
+                 .agg(money_sum("amount").alias("amount"))
+                 .select(F.col("w.start").alias("hour_ts"), "product_id", "amount"))
 
 
 def top_n(windowed: DataFrame, n: int = TOP_N, period: str = "hour_ts") -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from basketry import schemas
 from basketry.functions import codec
-from basketry.functions.money import cents_to_amount, to_cents
+from basketry.functions.money import PARTS, money_parts, money_total
 from basketry.functions.timeparse import event_time
 from basketry.operators import active_users as au_ops
 from basketry.operators import carts
@@ -211,18 +211,18 @@ def start_transactions_table(tx: DataFrame, out: Outputs, order: list[str] | Non
 
 
 def sales_rollup_streams(tx: DataFrame) -> dict[str, DataFrame]:
-    """Update-mode running sums (cents), one per roll-up table."""
-    cents = to_cents("total_amount")
+    """Update-mode running sums (exact money parts), one per roll-up table."""
+    parts = money_parts("total_amount")
     return {
         "sales_per_category": (tx.filter(F.col("product_category").isNotNull())
                                  .groupBy(F.to_date("transaction_date").alias("transaction_date"),
                                           F.col("product_category").alias("category"))
-                                 .agg(F.sum(cents).alias("cents"))),
+                                 .agg(*parts)),
         "sales_per_day": (tx.groupBy(F.to_date("transaction_date").alias("transaction_date"))
-                            .agg(F.sum(cents).alias("cents"))),
+                            .agg(*parts)),
         "sales_per_month": (tx.groupBy(F.year("transaction_date").alias("year"),
                                        F.month("transaction_date").alias("month"))
-                              .agg(F.sum(cents).alias("cents"))),
+                              .agg(*parts)),
     }
 
 
@@ -233,8 +233,7 @@ def start_sales_rollups(tx: DataFrame, out: Outputs, trigger: dict | None = None
         sink = out.with_database(out.sales(name), name)
 
         def batch(df: DataFrame, batch_id: int, sink=sink) -> None:
-            sink.write_batch(df.withColumn("total_sales", cents_to_amount("cents")).drop("cents"),
-                             batch_id)
+            sink.write_batch(df.withColumn("total_sales", money_total()).drop(*PARTS), batch_id)
 
         queries.append(_start(agg, name, out, batch, "update", trigger))
     return queries

@@ -191,3 +191,31 @@ def test_timeout_from_env():
     assert carts.timeout_from_env("45") == "45 minutes"
     assert carts.timeout_from_env("abc") == "30 minutes"
     assert carts.timeout_from_env(None) == "30 minutes"
+
+
+def test_non_finite_amounts_keep_double_semantics(spark):
+    import math
+    evs = [{"eventId": str(i), "eventType": "add_to_cart", "productId": p, "totalAmount": a,
+            "event_ts": minutes(i)}
+           for i, (p, a) in enumerate([("pA", 1.25), ("pA", float("nan")), ("pB", 2.5),
+                                       ("pB", 0.5), ("pC", float("inf")), ("pD", 3.0)])]
+    top = {r.product_id: r.amount for r in top_products.top_products(mk(spark, evs), n=4).collect()}
+    assert math.isnan(top["pA"]) and top["pB"] == 3.0 and top["pC"] == float("inf")
+    ranked = [r.product_id for r in top_products.top_products(mk(spark, evs), n=4)
+              .orderBy("product_rank").collect()]
+    assert ranked == ["pA", "pC", "pB", "pD"]          # NaN ranks highest, as in Spark
+    tx = spark.createDataFrame(
+        [("t1", "c", float("inf"), dt.datetime(2024, 1, 1)),
+         ("t2", "c", float("-inf"), dt.datetime(2024, 1, 2)),
+         ("t3", "c", 0.1, dt.datetime(2024, 1, 1))],
+        "transaction_id string, product_category string, total_amount double, "
+        "transaction_date timestamp")
+    run = [r.total_sales for r in sales.sales_per_category_running(tx).orderBy("transaction_date")
+           .collect()]
+    assert run[0] == float("inf") and math.isnan(run[1])
+
+
+def test_non_numeric_text_is_bad_type(spark):
+    r = _decode(spark, ['{"eventId":"a","totalAmount":"NaN"}', '{"eventId":"b","productPrice":"Infinity"}',
+                        '{"eventId":"c","productPrice":"0.1"}'])
+    assert [x.reason for x in r] == ["bad_type", "bad_type", None]
