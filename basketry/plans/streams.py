@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.functions import codec
-from basketry.operators import events as ev_ops
 from basketry.plans.oracle import sql
 from basketry.plans.queries import _env, _tx, ntz
 from basketry.session import work_path

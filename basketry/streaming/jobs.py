@@ -263,6 +263,3 @@ def stop_all(spark: SparkSession) -> None:
     for q in spark.streams.active:
         q.stop()
 
-
-__all__ = [n for n in dir() if n.startswith(("start_", "decode_"))] + [
-    "Outputs", "await_all", "stop_all", "schemas"]
