@@ -187,16 +187,31 @@ def jdbc_execute(spark: SparkSession, url: str, statements: list[str],
 
 
 class JdbcTable:
-    """Keyed upsert into a database table from ``foreachBatch``."""
+    """Keyed upsert into a database table from ``foreachBatch``.
+
+    A batch upsert is idempotent (staging overwrite + one MERGE), so a
+    failed attempt is simply retried, up to ``max_retries`` times with a
+    growing pause, before the micro-batch (and the query) fails.
+    """
 
     def __init__(self, url: str, table: str, keys: list[str], props: dict | None = None,
-                 dialect: str = "postgres", batch_size: int = 500):
+                 dialect: str = "postgres", batch_size: int = 500, max_retries: int = 5,
+                 backoff_s: float = 0.5):
         self.url, self.table, self.keys = url, table, keys
         self.props, self.dialect, self.batch_size = dict(props or {}), dialect, batch_size
+        self.max_retries, self.backoff_s = max_retries, backoff_s
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
-        jdbc_upsert(df, batch_id, self.url, self.table, self.keys, self.props,
-                    self.dialect, self.batch_size)
+        import time
+        for attempt in range(self.max_retries + 1):
+            try:
+                jdbc_upsert(df, batch_id, self.url, self.table, self.keys, self.props,
+                            self.dialect, self.batch_size)
+                return
+            except Exception:
+                if attempt == self.max_retries:
+                    raise
+                time.sleep(self.backoff_s * (2 ** attempt))
 
 
 class Fanout:

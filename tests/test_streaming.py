@@ -236,3 +236,12 @@ def test_transaction_job_fans_out_to_database(spark):
     assert rows(db("sales_per_day"), "total_sales") == [(12.5,), (15.0,)]
     assert rows(db("sales_per_month"), "year", "month", "total_sales") == [(2024, 1, 27.5)]
     assert rows(out.sales("sales_per_day").read(spark), "total_sales") == [(12.5,), (15.0,)]
+
+
+def test_jdbc_table_retries_then_fails(spark):
+    from basketry.streaming.writers import JdbcTable
+    url = "jdbc:derby:memory:basketry_retry;create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    t = JdbcTable(url, "no_such_table", ["k"], props, "merge", max_retries=2, backoff_s=0.01)
+    with pytest.raises(Exception):
+        t.write_batch(spark.createDataFrame([("a", 1)], "k string, v int"), 0)
