@@ -44,8 +44,14 @@ def envelope_from_events(ev: DataFrame) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     is_cart = et.isin("click", "purchase")
     has_product = (et == "click") | ((et == "purchase") & (eid % 2 == 0))
-    mapped = F.coalesce(
-        *[F.when(et == src, F.lit(dst)) for src, dst in EVENT_TYPE_MAP.items()], et)
+    # one CASE: Catalyst folds "eventType = x" into its branches, so route
+    # filters become predicates on the raw column
+    mapped = et
+    items = list(EVENT_TYPE_MAP.items())
+    case = F.when(et == items[0][0], F.lit(items[0][1]))
+    for src, dst in items[1:]:
+        case = case.when(et == src, F.lit(dst))
+    mapped = case.otherwise(et)
     cols = {
         "eventId": eid.cast("string"),
         "eventType": mapped,
