@@ -9,19 +9,19 @@ without an add emits nothing; a cart can be emitted again after a new add.
 Event order within a cart is (event time, adds before checkouts): a
 checkout at the same instant as an add closes the cart.
 
-Batch form — aggregation only, no per-cart sort.  Cut time into chunks of
-width T.  An add can only be emitted if it is the last event of its
-(cart, chunk): any later event of the same chunk is less than T away.  For
-that last event the next one is the first event of chunk + 1 (events of
-chunk + 2 and later are more than T away).  So two hash aggregates per
-(cart, chunk) — last-event key, and first timestamp of chunk c + 1 —
-decide everything.  A cart holding a third of all
-events still never lands in one task: the aggregates combine map-side and
-each event also offers its time to chunk - 1 in the same aggregate, so it
-is one scan and one shuffle of pre-aggregated rows.
-
-Stream form — ``session_window(ts, T)`` per cart: a session whose last
-event is an add closes at ``add + T`` = the abandonment time.  Events
+Main form (batch and stream) — aggregation only, no per-cart sort.  Cut
+time into slices of width T.  An add can only be emitted if it is the last
+event of its (cart, slice): any later event of the same slice is less than T
+away.  For that last event the next one is the first event after the slice,
+and only events up to T after the slice matter.  So a sliding window of
+2 slices, grouped by (cart, window), with two partial aggregates — last
+event of the first slice, first event time of the second — decides
+everything.  A cart holding a third of all events still never lands in one
+task: the aggregates combine map-side before the shuffle.
+
+Low-latency stream form — ``session_window(ts, T)`` per cart: a session
+whose last event is an add closes at ``add + T`` = the abandonment time, but
+the session operator sorts each cart's events of a micro-batch in one task.  Events
 exactly T apart fall into one session (the reference re-arms at equality).
 """
 
@@ -66,38 +66,55 @@ def _order_key(ts: Column, is_checkout: Column) -> Column:
     return F.unix_micros(ts) * 2 + is_checkout
 
 
+def _interval(us: int) -> str:
+    return f"{us // 1_000_000} seconds" if us % 1_000_000 == 0 else f"{us} microseconds"
+
+
 def abandoned_carts(events: DataFrame, timeout: str = TIMEOUT,
                     as_of: str | dt.datetime | None = None,
-                    ts: str = "event_ts") -> DataFrame:
-    """(cart_id, abandoned_at) — batch.
-
-    ``as_of``: only carts whose timer has fired by then
+                    ts: str = "event_ts", resolution: int = 1) -> DataFrame:
+    """(cart_id, abandoned_at) — batch and stream, aggregation only.
+
+    Slices of width s = T / ``resolution``; windows of length s + T sliding
+    by s.  Per (cart, window): the last event of the first slice (max of the
+    order key) and the first event time after it (min over the rest).  An
+    add is abandoned iff it is the last event of its slice (a later event of
+    the same slice is less than T away) and the first event after the slice
+    is more than T after it, or absent.  Every add is judged in exactly one
+    window, the one whose first slice holds it.
+
+    Both values are partial aggregates, so a cart holding a third of all
+    events is combined map-side and never sorted in one task.  On a stream
+    a window is emitted when the watermark passes its end, at most s after
+    ``add + T``; ``resolution`` trades that delay against (resolution + 1)
+    copies of each cart event.
+
+    ``as_of`` (batch): only carts whose timer has fired by then
     (``abandoned_at <= as_of``).  Events after ``as_of`` cannot change such
     rows, so they are filtered before the scan.
     """
     t_us = interval_micros(timeout)
+    if resolution < 1 or t_us % resolution:
+        raise ValueError("resolution must divide the timeout")
+    s_us = t_us // resolution
     ev = _cart_events(events, ts)
     if as_of is not None:
         as_of_col = F.lit(as_of).cast("timestamp")
         ev = ev.filter(F.col("ts") <= as_of_col)
-    chunk = F.floor(F.unix_micros("ts") / F.lit(t_us)).cast("bigint")
+    w = F.window("ts", _interval(t_us + s_us), _interval(s_us))
+    ev = ev.select("cart_id", "ts", "is_checkout", w.alias("w"))
     us = F.unix_micros("ts")
-    # Each event counts as an event of its own chunk and offers its time as
-    # "first event of the next chunk" to chunk - 1: one scan, one shuffle.
-    own = F.struct(chunk.alias("chunk"),
-                   _order_key(F.col("ts"), F.col("is_checkout")).alias("okey"),
-                   F.lit(None).cast("bigint").alias("next_us"))
-    prev = F.struct((chunk - 1).alias("chunk"), F.lit(None).cast("bigint").alias("okey"),
-                    us.alias("next_us"))
-    rows = ev.select("cart_id", F.inline(F.array(own, prev)))
-    per_chunk = rows.groupBy("cart_id", "chunk").agg(F.max("okey").alias("last_key"),
-                                                     F.min("next_us").alias("next_us"))
+    in_first_slice = us < F.unix_micros("w.start") + F.lit(s_us)
+    per_window = ev.groupBy("cart_id", "w").agg(
+        F.max(F.when(in_first_slice, _order_key(F.col("ts"), F.col("is_checkout"))))
+         .alias("last_key"),
+        F.min(F.when(~in_first_slice, us)).alias("next_us"))
     t = F.lit(t_us)
     add_us = F.shiftright("last_key", 1)
-    out = (per_chunk.filter(F.col("last_key").isNotNull()
-                            & (F.col("last_key").bitwiseAND(1) == 0))
-                    .filter(F.col("next_us").isNull() | (F.col("next_us") > add_us + t))
-                    .select("cart_id", F.timestamp_micros(add_us + t).alias("abandoned_at")))
+    out = (per_window.filter(F.col("last_key").isNotNull()
+                             & (F.col("last_key").bitwiseAND(1) == 0))
+                     .filter(F.col("next_us").isNull() | (F.col("next_us") > add_us + t))
+                     .select("cart_id", F.timestamp_micros(add_us + t).alias("abandoned_at")))
     if as_of is not None:
         out = out.filter(F.col("abandoned_at") <= as_of_col)
     return out

@@ -189,12 +189,13 @@ STREAM_ORACLE = {
         WHERE hour_ts + INTERVAL 1 HOUR <= (
             SELECT date_trunc('millisecond', max(event_ts)) - INTERVAL 5 SECOND
             FROM events_env)""", "top10", "events_env"),
+    # emitted when the window [slice(add), slice(add) + 2T) closes
     "stream_abandoned_carts": sql("""
         SELECT cart_id, ts + INTERVAL 30 MINUTE AS abandoned_at FROM ms_next
         WHERE is_checkout = 0 AND (next_ts IS NULL OR next_ts > ts + INTERVAL 30 MINUTE)
-          AND ts + INTERVAL 30 MINUTE <= (SELECT date_trunc('millisecond', max(event_ts))
-                                                 - INTERVAL 5 SECOND FROM events_env)""",
-                                  "cart_events", "events_env",
+          AND (epoch_us(ts) // 1800000000 + 2) * 1800000000 <= (
+              SELECT epoch_us(date_trunc('millisecond', max(event_ts)) - INTERVAL 5 SECOND)
+              FROM events_env)""", "cart_events", "events_env",
                                   extra={"ms_next": _MS_CART_NEXT}),
     "stream_sales_rollups": sql("""
         SELECT 'category' AS rollup, transaction_date, category, CAST(NULL AS INTEGER) AS "year",

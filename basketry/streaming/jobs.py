@@ -139,10 +139,18 @@ def start_top_products(events: DataFrame, out: Outputs, n: int = tp_ops.TOP_N,
 
 
 def start_abandoned_carts(events: DataFrame, out: Outputs, timeout: str = carts.TIMEOUT,
-                          trigger: dict | None = None) -> StreamingQuery:
+                          trigger: dict | None = None, resolution: int = 1,
+                          low_latency: bool = False) -> StreamingQuery:
+    """Abandoned carts, emitted when their window closes.
+
+    Default: the skew-safe windowed aggregate (emits within T/resolution
+    after ``add + T``).  ``low_latency``: session windows (emit at
+    ``add + T``; each cart's micro-batch events are sorted in one task).
+    """
     log = out.abandoned()
-    return _start(carts.abandoned_carts_sessions(events, timeout), "abandoned_carts", out,
-                  log.write_batch, "append", trigger)
+    df = (carts.abandoned_carts_sessions(events, timeout) if low_latency
+          else carts.abandoned_carts(events, timeout, resolution=resolution))
+    return _start(df, "abandoned_carts", out, log.write_batch, "append", trigger)
 
 
 def start_console(df: DataFrame, name: str, output_mode: str = "append",

@@ -47,6 +47,7 @@ def test_abandoned_carts_match_timer_machine(spark, evs, timeout):
                     for i, (k, c, ts) in enumerate(timed)])
     expect = brute_force_carts(timed, timeout)
     assert rows(as_naive(carts.abandoned_carts(df, f"{timeout} minutes"))) == expect
+    assert rows(as_naive(carts.abandoned_carts(df, f"{timeout} minutes", resolution=5))) == expect
     assert rows(as_naive(carts.abandoned_carts_sessions(df, f"{timeout} minutes"))) == expect
 
 
