@@ -48,7 +48,8 @@ def timeout_from_env(value: str | None, default_minutes: int = 30) -> str:
     return f"{minutes} minutes"
 
 
-def _cart_events(events: DataFrame, ts: str) -> DataFrame:
+def cart_events(events: DataFrame, ts: str = "event_ts") -> DataFrame:
+    """Add/checkout events that carry a cart: (cart_id, ts, is_checkout)."""
     t = F.col("eventType")
     gate = lambda v: event_time_gate(events, v, ts)
     # On streams: no null-intolerant test of cartId alone, or the optimizer
@@ -61,7 +62,7 @@ def _cart_events(events: DataFrame, ts: str) -> DataFrame:
                           (t == schemas.CHECKOUT).cast("int").alias("is_checkout")))
 
 
-def _order_key(ts: Column, is_checkout: Column) -> Column:
+def order_key(ts: Column, is_checkout: Column) -> Column:
     """One long that orders events (time, adds first): max() = last event."""
     return F.unix_micros(ts) * 2 + is_checkout
 
@@ -97,7 +98,7 @@ def abandoned_carts(events: DataFrame, timeout: str = TIMEOUT,
     if resolution < 1 or t_us % resolution:
         raise ValueError("resolution must divide the timeout")
     s_us = t_us // resolution
-    ev = _cart_events(events, ts)
+    ev = cart_events(events, ts)
     if as_of is not None:
         as_of_col = F.lit(as_of).cast("timestamp")
         ev = ev.filter(F.col("ts") <= as_of_col)
@@ -106,7 +107,7 @@ def abandoned_carts(events: DataFrame, timeout: str = TIMEOUT,
     us = F.unix_micros("ts")
     in_first_slice = us < F.unix_micros("w.start") + F.lit(s_us)
     per_window = ev.groupBy("cart_id", "w").agg(
-        F.max(F.when(in_first_slice, _order_key(F.col("ts"), F.col("is_checkout"))))
+        F.max(F.when(in_first_slice, order_key(F.col("ts"), F.col("is_checkout"))))
          .alias("last_key"),
         F.min(F.when(~in_first_slice, us)).alias("next_us"))
     t = F.lit(t_us)
@@ -123,9 +124,9 @@ def abandoned_carts(events: DataFrame, timeout: str = TIMEOUT,
 def abandoned_carts_sessions(events: DataFrame, timeout: str = TIMEOUT,
                              ts: str = "event_ts") -> DataFrame:
     """(cart_id, abandoned_at) via session windows — stream and batch."""
-    ev = _cart_events(events, ts)
+    ev = cart_events(events, ts)
     return (ev.groupBy("cart_id", F.session_window("ts", timeout).alias("s"))
-              .agg(F.max(_order_key(F.col("ts"), F.col("is_checkout"))).alias("last_key"))
+              .agg(F.max(order_key(F.col("ts"), F.col("is_checkout"))).alias("last_key"))
               .filter(F.col("last_key").bitwiseAND(1) == 0)
               .select("cart_id", F.col("s.end").alias("abandoned_at")))
 

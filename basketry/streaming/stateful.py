@@ -23,9 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import (ExpiredTimerInfo, StatefulProcessor,
                                                       StatefulProcessorHandle, TimerValues)
 
-from basketry import schemas
 from basketry.functions.intervals import interval_micros
-from basketry.operators.events import event_time_gate
+from basketry.operators.carts import cart_events, order_key
 
 OUTPUT_SCHEMA = "cart_id string, abandoned_at timestamp"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -89,15 +88,7 @@ def abandoned_carts_processing_time(events: DataFrame, timeout: str = "30 minute
     (``spark.sql.streaming.stateStore.providerClass``) and the update or
     append output mode.
     """
-    t = F.col("eventType")
-    gate = lambda v: event_time_gate(events, v, ts)
-    has_cart = F.coalesce(F.col("cartId") >= gate(F.lit("")), F.lit(False))
-    cart_events = (events.filter(has_cart & t.isin(gate(F.lit(schemas.ADD_TO_CART)),
-                                                   gate(F.lit(schemas.CHECKOUT))))
-                         .select(F.col("cartId").alias("cart_id"),
-                                 (F.unix_micros(F.col(ts)) * 2
-                                  + (t == schemas.CHECKOUT).cast("int")).alias("okey")))
-    return (cart_events.groupBy("cart_id")
-                       .transformWithStateInPandas(
-                           CartTimers(interval_micros(timeout) // 1000),
-                           OUTPUT_SCHEMA, "Append", "ProcessingTime"))
+    ev = cart_events(events, ts)
+    keyed = ev.select("cart_id", order_key(F.col("ts"), F.col("is_checkout")).alias("okey"))
+    return keyed.groupBy("cart_id").transformWithStateInPandas(
+        CartTimers(interval_micros(timeout) // 1000), OUTPUT_SCHEMA, "Append", "ProcessingTime")
