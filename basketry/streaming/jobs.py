@@ -194,12 +194,24 @@ def start_dead_letters(bad: DataFrame, out: Outputs, name: str = "quarantine",
 
 
 def start_multi_event_job(raw: DataFrame, out: Outputs, timeout: str = carts.TIMEOUT,
-                          trigger: dict | None = None) -> list[StreamingQuery]:
+                          trigger: dict | None = None, console: bool = False
+                          ) -> list[StreamingQuery]:
+    """All metrics of the event stream; ``console`` adds the peek prints
+    (routed event references, metric labels) for debugging."""
+    from basketry.operators import events as ev_ops
     events, bad = decode_event_stream(raw)
-    return [start_active_users(events, out, trigger),
-            start_top_products(events, out, trigger=trigger),
-            start_abandoned_carts(events, out, timeout, trigger),
-            start_dead_letters(bad, out, trigger=trigger)]
+    queries = [start_active_users(events, out, trigger),
+               start_top_products(events, out, trigger=trigger),
+               start_abandoned_carts(events, out, timeout, trigger),
+               start_dead_letters(bad, out, trigger=trigger)]
+    if console:
+        queries += [
+            start_console(ev_ops.event_refs(events), "peek_events", trigger=trigger),
+            start_console(ev_ops.active_users_label(au_ops.active_users_stream(events)),
+                          "print_active_users", trigger=trigger),
+            start_console(ev_ops.abandoned_label(carts.abandoned_carts(events, timeout)),
+                          "print_abandoned", trigger=trigger)]
+    return queries
 
 
 # --- transaction job -------------------------------------------------------------

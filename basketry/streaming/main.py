@@ -31,6 +31,7 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--timeout-minutes", default=os.environ.get("ABANDONED_TIMEOUT_MINUTES"))
     p.add_argument("--out", default=None)
     p.add_argument("--once", action="store_true", help="process what is available, then stop")
+    p.add_argument("--console", action="store_true", help="also print routed events and labels")
     return p
 
 
@@ -50,7 +51,7 @@ def main(argv: list[str] | None = None) -> None:
             args.bootstrap, args.topic))
     if args.job == "multi-event":
         queries = jobs.start_multi_event_job(raw, out, timeout_from_env(args.timeout_minutes),
-                                             trigger)
+                                             trigger, console=args.console)
     else:
         queries = jobs.start_transaction_job(raw, out, trigger)
     if args.once:

@@ -245,3 +245,13 @@ def test_jdbc_table_retries_then_fails(spark):
     t = JdbcTable(url, "no_such_table", ["k"], props, "merge", max_retries=2, backoff_s=0.01)
     with pytest.raises(Exception):
         t.write_batch(spark.createDataFrame([("a", 1)], "k string, v int"), 0)
+
+
+def test_console_peeks(spark, capsys):
+    out = jobs.Outputs(work_path(spark, "t_console"))
+    in_dir = out.path("_input")
+    _write_lines(spark, in_dir, [_pv(1, "u1", T0), _pv(2, "u2", T0 + dt.timedelta(hours=1))])
+    raw = files.read_records_stream(spark, in_dir)
+    qs = jobs.start_multi_event_job(raw, out, trigger=ONCE, console=True)
+    jobs.await_all(qs)
+    assert {q.name for q in qs} >= {"peek_events", "print_active_users", "print_abandoned"}
