@@ -4,7 +4,8 @@
   ``batch_id``.  Each micro-batch overwrites only its own partition
   (dynamic partition overwrite), so re-running a batch after a failure
   replaces it instead of adding a copy.  Readers take the newest value per
-  key.  ``compact`` folds the log into a snapshot.
+  key.  ``compact`` folds the log into a snapshot, ``prune`` drops the
+  folded partitions, so reads do not grow with the stream's age.
 * ``ReplaceByKey`` — a batch replaces every partition (e.g. one hour) it
   writes: the "delete the key, then add its members" semantic of a sorted
   set, without leftovers when a member drops out on replay.
@@ -49,13 +50,29 @@ def _dynamic_overwrite(df: DataFrame, path: str, partition_col: str) -> None:
        .parquet(path))
 
 
+def _list_dirs(spark: SparkSession, path: str) -> list[str]:
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+
+
 class KeyedLog:
-    """Keyed table stored as a batch-id partitioned log (last write wins)."""
+    """Keyed table stored as a batch-id partitioned log (last write wins).
+
+    ``compact`` folds everything up to the newest batch into a snapshot
+    (``<path>_snapshots/upto=N``); reads then take the snapshot plus only
+    the log partitions after N (partition-pruned), and ``prune`` may drop
+    the log partitions a snapshot already holds.
+    """
 
-    def __init__(self, path: str, keys: list[str], schema: T.StructType | None = None):
+    def __init__(self, path: str, keys: list[str], schema: T.StructType | str | None = None):
         self.path = path
         self.keys = keys
         self.schema = schema
+        self.snapshots = path.rstrip("/") + "_snapshots"
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
         _dynamic_overwrite(df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")),
@@ -64,20 +81,63 @@ class KeyedLog:
     def read_log(self, spark: SparkSession) -> DataFrame | None:
         return read_parquet_or_empty(spark, self.path, None)
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """Newest row per key (a partial WindowGroupLimit bounds each key)."""
+    def latest_snapshot(self, spark: SparkSession) -> int | None:
+        ids = [int(d.split("=", 1)[1]) for d in _list_dirs(spark, self.snapshots)
+               if d.startswith("upto=")]
+        return max(ids) if ids else None
+
+    def _rows(self, spark: SparkSession) -> DataFrame | None:
+        """Snapshot rows (stamped with their batch) + newer log rows."""
         log = self.read_log(spark)
+        upto = self.latest_snapshot(spark)
+        if upto is None:
+            return log
+        snap = spark.read.parquet(f"{self.snapshots}/upto={upto}")
         if log is None:
+            return snap
+        return snap.unionByName(log.filter(F.col("batch_id") > upto))
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """Newest row per key (a partial WindowGroupLimit bounds each key)."""
+        rows = self._rows(spark)
+        if rows is None:
             if self.schema is None:
                 raise FileNotFoundError(self.path)
             return spark.createDataFrame([], self.schema)
         w = Window.partitionBy(*self.keys).orderBy(F.desc("batch_id"))
-        return (log.withColumn("_rn", F.row_number().over(w))
-                   .filter(F.col("_rn") == 1).drop("_rn", "batch_id"))
-
-    def compact(self, spark: SparkSession, snapshot_path: str) -> None:
-        """Write the newest row per key to ``snapshot_path`` (a new table)."""
-        self.read(spark).write.mode("overwrite").parquet(snapshot_path)
+        return (rows.withColumn("_rn", F.row_number().over(w))
+                    .filter(F.col("_rn") == 1).drop("_rn", "batch_id"))
+
+    def compact(self, spark: SparkSession) -> int | None:
+        """Write the newest row per key up to the newest batch as a snapshot;
+        returns its batch id.  Safe to run next to the writer: only batches
+        already in the log are folded in."""
+        rows = self._rows(spark)
+        if rows is None:
+            return None
+        upto = rows.agg(F.max("batch_id")).first()[0]
+        if upto is None or upto == self.latest_snapshot(spark):
+            return upto                     # nothing new since the last snapshot
+        w = Window.partitionBy(*self.keys).orderBy(F.desc("batch_id"))
+        (rows.filter(F.col("batch_id") <= upto)
+             .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+             .write.mode("overwrite").parquet(f"{self.snapshots}/upto={upto}"))
+        return upto
+
+    def prune(self, spark: SparkSession) -> int:
+        """Delete log partitions already contained in the newest snapshot."""
+        upto = self.latest_snapshot(spark)
+        if upto is None:
+            return 0
+        jvm = spark._jvm
+        fs = jvm.org.apache.hadoop.fs.Path(self.path).getFileSystem(
+            spark._jsc.hadoopConfiguration())
+        dropped = 0
+        for d in _list_dirs(spark, self.path):
+            if d.startswith("batch_id=") and int(d.split("=", 1)[1]) <= upto:
+                fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{d}"), True)
+                dropped += 1
+        return dropped
 
 
 class ReplaceByKey:

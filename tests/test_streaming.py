@@ -255,3 +255,18 @@ def test_console_peeks(spark, capsys):
     qs = jobs.start_multi_event_job(raw, out, trigger=ONCE, console=True)
     jobs.await_all(qs)
     assert {q.name for q in qs} >= {"peek_events", "print_active_users", "print_abandoned"}
+
+
+def test_keyed_log_compaction(spark):
+    log = KeyedLog(work_path(spark, "t_compact"), ["k"])
+    mk = lambda pairs: spark.createDataFrame(pairs, "k string, v int")
+    log.write_batch(mk([("a", 1), ("b", 1)]), 0)
+    log.write_batch(mk([("a", 2)]), 1)
+    assert log.compact(spark) == 1
+    assert log.prune(spark) == 2
+    log.write_batch(mk([("b", 3), ("c", 3)]), 2)
+    log.write_batch(mk([("b", 3), ("c", 3)]), 2)            # replayed batch
+    assert rows(log.read(spark), "k", "v") == [("a", 2), ("b", 3), ("c", 3)]
+    assert log.compact(spark) == 2
+    assert log.compact(spark) == 2                           # nothing new: no rewrite
+    assert rows(log.read(spark), "k", "v") == [("a", 2), ("b", 3), ("c", 3)]
