@@ -87,3 +87,43 @@ def test_top_n_match_sorted_lists(spark, sales, n):
         want += [(T0 + dt.timedelta(hours=h), p, c / 100.0) for p, c in ranked]
     got = rows(as_naive(top_products.top_products(df, n)), "hour_ts", "product_id", "amount")
     assert got == sorted(want)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["t1", "t2", "t3", "t4"]),
+                          st.sampled_from(["home", "beauty", None]),
+                          st.integers(min_value=0, max_value=100000),
+                          st.integers(min_value=0, max_value=90)), max_size=25))
+def test_sales_rollups_match_python_sums(spark, txs):
+    from basketry.operators import sales
+    rows_in = [(tid, cat, cents / 100.0, T0 + dt.timedelta(days=d), f"p{i}", 1)
+               for i, (tid, cat, cents, d) in enumerate(txs)]
+    tx = spark.createDataFrame(rows_in, "transaction_id string, product_category string, "
+                               "total_amount double, transaction_date timestamp, "
+                               "product_id string, product_quantity int")
+    by_day, by_cat, by_month = {}, {}, {}
+    for tid, cat, cents, d in txs:
+        day = (T0 + dt.timedelta(days=d)).date()
+        by_day[day] = by_day.get(day, 0) + cents
+        by_month[(day.year, day.month)] = by_month.get((day.year, day.month), 0) + cents
+        if cat is not None:
+            by_cat[(day, cat)] = by_cat.get((day, cat), 0) + cents
+    assert rows(sales.sales_per_day(tx)) == sorted((k, v / 100.0) for k, v in by_day.items())
+    assert rows(sales.sales_per_category(tx)) == sorted(
+        (k[0], k[1], v / 100.0) for k, v in by_cat.items())
+    assert rows(sales.sales_per_month(tx)) == sorted(
+        (k[0], k[1], v / 100.0) for k, v in by_month.items())
+    # last write wins: the max of (date, product id, amount, quantity) per id
+    last = {}
+    for i, (tid, cat, cents, d) in enumerate(txs):
+        key = (T0 + dt.timedelta(days=d), f"p{i}", cents / 100.0, 1)
+        if tid not in last or key > last[tid]:
+            last[tid] = key
+    got = rows(sales.latest_transactions(tx), "transaction_id", "transaction_date",
+               "product_id", "total_amount")
+    assert got == sorted((t, k[0], k[1], k[2]) for t, k in last.items())
+    dedup_day = {}
+    for t, k in last.items():
+        dedup_day[k[0].date()] = dedup_day.get(k[0].date(), 0) + round(k[2] * 100)
+    assert rows(sales.sales_per_day(tx, dedupe=True)) == sorted(
+        (k, v / 100.0) for k, v in dedup_day.items())
