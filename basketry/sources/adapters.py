@@ -39,9 +39,11 @@ def _pick(values: list[str], idx: Column) -> Column:
 
 def envelope_from_events(ev: DataFrame) -> DataFrame:
     """Typed envelope (+ ``event_ts`` timestamp, + ISO ``timestamp`` text)."""
+    # the product index is read from the JSON props once per row
+    ev = ev.select("*", F.get_json_object("props", "$.k").cast("int").alias("_k"))
     et = F.col("event_type")
     eid = F.col("event_id")
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.col("_k")
     is_cart = et.isin("click", "purchase")
     has_product = (et == "click") | ((et == "purchase") & (eid % 2 == 0))
     # one CASE: Catalyst folds "eventType = x" into its branches, so route
