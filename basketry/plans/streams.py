@@ -14,6 +14,8 @@ and equal the full batch result.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,18 +30,46 @@ CHUNKS = 3
 AVAILABLE_NOW = {"availableNow": True}
 
 
+@contextmanager
+def state_partitions(spark: SparkSession):
+    """Run the harness's streams with one state partition per core.
+
+    A checkpoint fixes a stream's state partitioning at its first start, to
+    ``spark.sql.shuffle.partitions``; the default 200 makes every small
+    micro-batch touch 200 state stores per stateful operator.  The harness
+    sizes it to the cluster (``defaultParallelism``) and restores the
+    session's setting afterwards.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    try:
+        n = spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect: keep the session's setting
+        n = int(before)
+    spark.conf.set(key, str(max(1, n)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def feed_in_chunks(records: DataFrame, ts_col: str, in_dir: str, run, chunks: int = CHUNKS,
                    late: DataFrame | None = None) -> None:
     """Append ``records.value`` to ``in_dir`` in event-time order, running the
     stream after each chunk.  Only the time bounds come to the driver.
     ``late`` rows (a ``value`` column) arrive together with the last chunk."""
-    lo, hi = records.agg(F.min(ts_col), F.max(ts_col)).first()
-    if lo is None:
+    us = F.unix_micros(F.col(ts_col).cast("timestamp"))
+    # bounds as epoch microseconds, computed in Spark (no client time zone)
+    lo_us, hi_us = records.agg(F.min(us), F.max(us)).first()
+    with state_partitions(records.sparkSession):
+        _feed(records, us, in_dir, run, chunks, late, lo_us, hi_us)
+
+
+def _feed(records, us, in_dir, run, chunks, late, lo_us, hi_us) -> None:
+    if lo_us is None:
         run()
         return
-    lo_us, hi_us = [int(x.timestamp() * 1_000_000) for x in (lo, hi)]
     step = (hi_us - lo_us) // chunks + 1
-    us = F.unix_micros(F.col(ts_col).cast("timestamp"))
     for i in range(chunks):
         a, b = lo_us + i * step, lo_us + (i + 1) * step
         part = records.filter((us >= F.lit(a)) & (us < F.lit(b))).select("value")
@@ -59,9 +89,9 @@ def _event_stream_result(spark: SparkSession, sf_dir: str, name: str, start, rea
     if with_late:
         # copies of the first day's page views, under new user ids, arriving
         # with the last chunk: far behind the watermark by then
-        first = env.agg(F.min("event_ts")).first()[0]
+        first_us = env.agg(F.min(F.unix_micros("event_ts"))).first()[0]
         early = env.filter(F.col("eventType") == "page_view") \
-                   .filter(F.col("event_ts") < F.lit(first) + F.expr("INTERVAL 1 DAY"))
+                   .filter(F.unix_micros("event_ts") < F.lit(first_us + 86_400_000_000))
         early = early.withColumn("userId", F.concat(F.lit("late-"), F.col("userId"))) \
                      .withColumn("eventId", F.concat(F.lit("late-"), F.col("eventId")))
         late = early.select(codec.encode_events(early).alias("value"))
