@@ -65,12 +65,14 @@ class Outputs:
     root: str
     jdbc: dict | None = None
 
-    def with_database(self, files_sink, table: str, columns: list[str] | None = None):
+    def with_database(self, files_sink, table: str, columns: list[str] | None = None,
+                      replace_key: str | None = None):
         """``files_sink``, fanned out to the database table when configured."""
         if not self.jdbc:
             return files_sink
         db = JdbcTable(self.jdbc["url"], table, schemas.TABLE_KEYS[table],
-                       self.jdbc.get("props"), self.jdbc.get("dialect", "postgres"))
+                       self.jdbc.get("props"), self.jdbc.get("dialect", "postgres"),
+                       replace_key=replace_key)
         shapes = {1: (lambda d: d.select(*columns))} if columns else None
         return Fanout(files_sink, db, shapes=shapes)
 
@@ -127,8 +129,9 @@ def start_top_products(events: DataFrame, out: Outputs, n: int = tp_ops.TOP_N,
                        ) -> StreamingQuery:
     """Hourly sums close in append mode; each closed hour is ranked in the
     batch (all its rows arrive together) and replaces its partition."""
+    # each closed hour replaces its members in both stores (no leftovers)
     sink = out.with_database(out.top_products(), "top_products_hourly",
-                             ["hour_ts", "product_id", "amount"])
+                             ["hour_ts", "product_id", "amount"], replace_key="hour_ts")
 
     def batch(df: DataFrame, batch_id: int) -> None:
         top = tp_ops.top_n(df, n).withColumn("hour_key", F.date_format("hour_ts", "yyyyMMddHH"))

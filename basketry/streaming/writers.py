@@ -192,8 +192,16 @@ def postgres_upsert_sql(table: str, staging: str, keys: list[str], columns: list
             f"ON CONFLICT ({', '.join(_q(k) for k in keys)}) {action}")
 
 
+def replace_sql(table: str, staging: str, replace_key: str, columns: list[str]) -> list[str]:
+    """Replace whole key groups (e.g. hours): delete the staged keys, insert."""
+    cols = ", ".join(_q(c) for c in columns)
+    return [f"DELETE FROM {table} WHERE {_q(replace_key)} IN "
+            f"(SELECT {_q(replace_key)} FROM {staging})",
+            f"INSERT INTO {table} ({cols}) SELECT {cols} FROM {staging}"]
+
+
 def _execute(spark: SparkSession, url: str, statements: list[str], props: dict,
-             ignore_errors: bool = False) -> None:
+             ignore_errors: bool = False, transaction: bool = False) -> None:
     jvm = spark._jvm
     jprops = jvm.java.util.Properties()
     for k, v in props.items():
@@ -203,25 +211,37 @@ def _execute(spark: SparkSession, url: str, statements: list[str], props: dict,
         jvm.java.lang.Class.forName(props["driver"])
     conn = jvm.java.sql.DriverManager.getConnection(url, jprops)
     try:
+        if transaction:
+            conn.setAutoCommit(False)
         st = conn.createStatement()
-        for s in statements:
-            try:
-                st.execute(s)
-            except Exception:
-                if not ignore_errors:
-                    raise
-        st.close()
+        try:
+            for s in statements:
+                try:
+                    st.execute(s)
+                except Exception:
+                    if not ignore_errors:
+                        raise
+            if transaction:
+                conn.commit()
+        except Exception:
+            if transaction:
+                conn.rollback()
+            raise
+        finally:
+            st.close()
     finally:
         conn.close()
 
 
 def jdbc_upsert(df: DataFrame, batch_id: int, url: str, table: str, keys: list[str],
                 props: dict | None = None, dialect: str = "merge",
-                batch_size: int = 1000) -> None:
+                batch_size: int = 1000, replace_key: str | None = None) -> None:
     """Upsert one micro-batch: bulk-load a staging table, then one statement.
 
     The batch must hold one row per key (dedupe before calling).  Replaying
     a batch id re-applies the same values, so the result is unchanged.
+    ``replace_key``: instead of upserting rows, replace every group of that
+    key present in the batch (delete + insert in one transaction).
     """
     props = dict(props or {})
     spark = df.sparkSession
@@ -229,15 +249,18 @@ def jdbc_upsert(df: DataFrame, batch_id: int, url: str, table: str, keys: list[s
     # overwrite: a leftover of a crashed attempt of the same batch is replaced
     (df.write.mode("overwrite").option("batchsize", str(batch_size))
        .jdbc(url, staging, properties=props))
-    if dialect == "merge":
+    if replace_key:
+        stmts = replace_sql(table, staging, replace_key, df.columns)
+    elif dialect == "merge":
         # Spark stages strings as CLOB on Derby, which cannot be compared
         # with VARCHAR keys: cast them in the statement there.
         casts = {f.name: "VARCHAR(32672)" for f in df.schema.fields
                  if url.startswith("jdbc:derby:") and isinstance(f.dataType, T.StringType)}
-        stmt = merge_sql(table, staging, keys, df.columns, casts)
+        stmts = [merge_sql(table, staging, keys, df.columns, casts)]
     else:
-        stmt = postgres_upsert_sql(table, staging, keys, df.columns)
-    _execute(spark, url, [stmt, f"DROP TABLE {staging}"], props)
+        stmts = [postgres_upsert_sql(table, staging, keys, df.columns)]
+    _execute(spark, url, stmts, props, transaction=True)
+    _execute(spark, url, [f"DROP TABLE {staging}"], props)
 
 
 def jdbc_execute(spark: SparkSession, url: str, statements: list[str],
@@ -256,8 +279,8 @@ class JdbcTable:
 
     def __init__(self, url: str, table: str, keys: list[str], props: dict | None = None,
                  dialect: str = "postgres", batch_size: int = 500, max_retries: int = 5,
-                 backoff_s: float = 0.5):
-        self.url, self.table, self.keys = url, table, keys
+                 backoff_s: float = 0.5, replace_key: str | None = None):
+        self.url, self.table, self.keys, self.replace_key = url, table, keys, replace_key
         self.props, self.dialect, self.batch_size = dict(props or {}), dialect, batch_size
         self.max_retries, self.backoff_s = max_retries, backoff_s
 
@@ -266,7 +289,7 @@ class JdbcTable:
         for attempt in range(self.max_retries + 1):
             try:
                 jdbc_upsert(df, batch_id, self.url, self.table, self.keys, self.props,
-                            self.dialect, self.batch_size)
+                            self.dialect, self.batch_size, self.replace_key)
                 return
             except Exception:
                 if attempt == self.max_retries:

@@ -270,3 +270,21 @@ def test_keyed_log_compaction(spark):
     assert log.compact(spark) == 2
     assert log.compact(spark) == 2                           # nothing new: no rewrite
     assert rows(log.read(spark), "k", "v") == [("a", 2), ("b", 3), ("c", 3)]
+
+
+def test_jdbc_replace_by_hour(spark):
+    """S7 as decided: a re-run hour replaces its members, no leftovers."""
+    url = "jdbc:derby:memory:basketry_topn;create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    jdbc_execute(spark, url, ['CREATE TABLE top_products_hourly ("hour_ts" TIMESTAMP NOT NULL, '
+                              '"product_id" VARCHAR(255) NOT NULL, "amount" DOUBLE, '
+                              'PRIMARY KEY ("hour_ts", "product_id"))'], props)
+    h1, h2 = dt.datetime(2024, 1, 1, 0), dt.datetime(2024, 1, 1, 1)
+    sch = "hour_ts timestamp, product_id string, amount double"
+    jdbc_upsert(spark.createDataFrame([(h1, "p1", 5.0), (h1, "p2", 4.0), (h2, "p9", 1.0)], sch),
+                0, url, "top_products_hourly", ["hour_ts", "product_id"], props,
+                replace_key="hour_ts")
+    jdbc_upsert(spark.createDataFrame([(h1, "p3", 7.0)], sch), 1, url, "top_products_hourly",
+                ["hour_ts", "product_id"], props, replace_key="hour_ts")
+    got = rows(spark.read.jdbc(url, "top_products_hourly", properties=props))
+    assert got == [(h1, "p3", 7.0), (h2, "p9", 1.0)]
