@@ -10,6 +10,9 @@ import __spark_entry__ as E
 from tools.check_oracle import TABLES, rows_key
 
 SF = "/root/testdata/sf0.001"
+# Spark simple type -> DuckDB result type
+TYPE_NAMES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+              "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
 
 
@@ -42,5 +45,9 @@ def test_query_matches_oracle(spark, duck, key):
     d_cols = [c[0] for c in rel.description]
     d_rows = rel.fetchall()
     assert sorted(s_cols) == sorted(d_cols)
+    s_types = {f.name: TYPE_NAMES.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in df.schema.fields}
+    d_types = {c[0]: str(c[1]) for c in rel.description}
+    assert s_types == d_types
     assert len(s_rows) == len(d_rows)
     assert rows_key(s_cols, s_rows) == rows_key(d_cols, d_rows)
