@@ -50,3 +50,23 @@ def search_top_products(docs_or_rows: DataFrame, n: int = 10) -> DataFrame:
 
 def table_rows(df: DataFrame, name: str = "rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
+
+
+# --- reads over a deployment's stored results --------------------------------
+# ``out`` is a ``basketry.streaming.jobs.Outputs``; each read is a small query
+# over the keyed tables the streaming jobs maintain.
+
+def metrics_active_users(spark, out) -> DataFrame:
+    """Current 5-minute active users (0 when nothing was written yet)."""
+    return current_active_users(out.active_users().read(spark))
+
+
+def metrics_top_products_hourly(spark, out, hour: str | None = None) -> DataFrame:
+    """Top products of one UTC hour ``yyyyMMddHH`` (default: now); the hour
+    filter prunes the store to that hour's partition."""
+    return top_products_for_hour(out.top_products().read(spark), hour)
+
+
+def metrics_abandoned_count(spark, out) -> DataFrame:
+    from basketry.operators.carts import abandoned_count
+    return abandoned_count(out.abandoned().read(spark))

@@ -288,3 +288,28 @@ def test_jdbc_replace_by_hour(spark):
                 ["hour_ts", "product_id"], props, replace_key="hour_ts")
     got = rows(spark.read.jdbc(url, "top_products_hourly", properties=props))
     assert got == [(h1, "p3", 7.0), (h2, "p9", 1.0)]
+
+
+def test_serving_reads_over_stored_results(spark):
+    from basketry.operators import serving
+    out = jobs.Outputs(work_path(spark, "t_serving"))
+    # nothing written yet: the documented defaults
+    assert serving.metrics_active_users(spark, out).first()[0] == 0
+    assert serving.metrics_abandoned_count(spark, out).first()[0] == 0
+    assert serving.metrics_top_products_hourly(spark, out, "2024010100").count() == 0
+    in_dir = out.path("_input")
+    lines = [json.dumps({"eventId": f"e{i}", "eventType": "add_to_cart", "cartId": f"c{i}",
+                         "productId": p, "totalAmount": a, "timestamp": "2024-01-01T00:10:00Z"})
+             for i, (p, a) in enumerate([("p1", 5.0), ("p2", 5.0), ("p3", 9.0)])]
+    _write_lines(spark, in_dir, lines + [_pv(8, "u8", T0 + dt.timedelta(minutes=10)),
+                                         _pv(9, "u9", T0 + dt.timedelta(hours=3))])
+    jobs.await_all(jobs.start_multi_event_job(files.read_records_stream(spark, in_dir), out,
+                                              trigger=ONCE))
+    top = serving.metrics_top_products_hourly(spark, out, "2024010100")
+    assert [(r.product_id, r.position) for r in top.orderBy("position").collect()] == [
+        ("p3", 1), ("p2", 2), ("p1", 3)]
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(hour_key" in plan
+    assert serving.metrics_abandoned_count(spark, out).first()[0] == 3
+    # windows around 03:00 are still open; the latest closed one holds u8
+    assert serving.metrics_active_users(spark, out).first()[0] == 1
