@@ -313,3 +313,21 @@ def test_serving_reads_over_stored_results(spark):
     assert serving.metrics_abandoned_count(spark, out).first()[0] == 3
     # windows around 03:00 are still open; the latest closed one holds u8
     assert serving.metrics_active_users(spark, out).first()[0] == 1
+
+
+def test_cli_transactions_once(spark):
+    from basketry.streaming import main as cli
+    out = work_path(spark, "t_cli_tx")
+    in_dir = os.path.join(out, "_in")
+    rec = lambda tid, amt, day: json.dumps({
+        "transactionId": tid, "productCategory": "home", "totalAmount": amt,
+        "transactionDate": f"2024-01-0{day}T12:00:00Z", "productQuantity": "2"})
+    _write_lines(spark, in_dir, [rec("t1", 1.5, 1), rec("t2", 2.25, 1), rec("t3", 4.0, 2),
+                                 '{"transactionId":"bad","zzz":1}'])
+    cli.main(["transactions", "--source", "files", "--path", in_dir, "--out", out, "--once"])
+    o = jobs.Outputs(out)
+    assert rows(o.sales("sales_per_day").read(spark), "total_sales") == [(3.75,), (4.0,)]
+    assert rows(o.transactions().read(spark), "transaction_id", "product_quantity",
+                "product_price") == [("t1", 2, 0.0), ("t2", 2, 0.0), ("t3", 2, 0.0)]
+    dead = KeyedLog(o.path("transaction_quarantine"), ["value", "reason"]).read(spark)
+    assert [r.reason for r in dead.collect()] == ["unknown_field"]
