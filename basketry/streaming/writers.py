@@ -235,19 +235,24 @@ def _execute(spark: SparkSession, url: str, statements: list[str], props: dict,
 
 def jdbc_upsert(df: DataFrame, batch_id: int, url: str, table: str, keys: list[str],
                 props: dict | None = None, dialect: str = "merge",
-                batch_size: int = 1000, replace_key: str | None = None) -> None:
+                batch_size: int = 1000, replace_key: str | None = None,
+                max_connections: int = 8) -> None:
     """Upsert one micro-batch: bulk-load a staging table, then one statement.
 
     The batch must hold one row per key (dedupe before calling).  Replaying
     a batch id re-applies the same values, so the result is unchanged.
     ``replace_key``: instead of upserting rows, replace every group of that
     key present in the batch (delete + insert in one transaction).
+    ``max_connections`` caps the concurrent inserts into the staging table
+    (Spark coalesces the write to that many partitions), so a large cluster
+    does not open one database connection per task.
     """
     props = dict(props or {})
     spark = df.sparkSession
     staging = f"{table}_stage_{int(batch_id)}"
     # overwrite: a leftover of a crashed attempt of the same batch is replaced
     (df.write.mode("overwrite").option("batchsize", str(batch_size))
+       .option("numPartitions", str(max_connections))
        .jdbc(url, staging, properties=props))
     if replace_key:
         stmts = replace_sql(table, staging, replace_key, df.columns)
