@@ -83,14 +83,19 @@ class Outputs:
         return os.path.join(self.root, "_checkpoints", name)
 
     # --- result tables ---------------------------------------------------
+    # files_per_batch: these tables get a bounded output per micro-batch
+    # (closed windows, changed keys); the transactions table scales with the
+    # input and keeps its parallelism (fold its files with ``compact``).
     def active_users(self) -> KeyedLog:
-        return KeyedLog(self.path("active_users_minute"), ["minute_ts"], _AU_SCHEMA)
+        return KeyedLog(self.path("active_users_minute"), ["minute_ts"], _AU_SCHEMA,
+                        files_per_batch=1)
 
     def top_products(self) -> ReplaceByKey:
         return ReplaceByKey(self.path("top_products_hourly"), "hour_key", _TOP_SCHEMA)
 
     def abandoned(self) -> KeyedLog:
-        return KeyedLog(self.path("abandoned_carts"), ["cart_id", "abandoned_at"], _AB_SCHEMA)
+        return KeyedLog(self.path("abandoned_carts"), ["cart_id", "abandoned_at"], _AB_SCHEMA,
+                        files_per_batch=4)
 
     def transactions(self) -> KeyedLog:
         return KeyedLog(self.path("transactions"), ["transaction_id"])
@@ -99,7 +104,7 @@ class Outputs:
         keys = {"sales_per_category": ["transaction_date", "category"],
                 "sales_per_day": ["transaction_date"],
                 "sales_per_month": ["year", "month"]}[name]
-        return KeyedLog(self.path(name), keys)
+        return KeyedLog(self.path(name), keys, files_per_batch=1)
 
 
 _AU_SCHEMA = "minute_ts timestamp, users bigint"
@@ -192,7 +197,7 @@ def start_abandoned_carts_processing_time(events: DataFrame, out: Outputs,
 
 def start_dead_letters(bad: DataFrame, out: Outputs, name: str = "quarantine",
                        trigger: dict | None = None) -> StreamingQuery:
-    log = KeyedLog(out.path(name), ["value", "reason"])
+    log = KeyedLog(out.path(name), ["value", "reason"], files_per_batch=4)
     return _start(bad, name, out, log.write_batch, "append", trigger)
 
 

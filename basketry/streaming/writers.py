@@ -68,13 +68,21 @@ class KeyedLog:
     the log partitions a snapshot already holds.
     """
 
-    def __init__(self, path: str, keys: list[str], schema: T.StructType | str | None = None):
+    def __init__(self, path: str, keys: list[str], schema: T.StructType | str | None = None,
+                 files_per_batch: int | None = None):
         self.path = path
         self.keys = keys
         self.schema = schema
         self.snapshots = path.rstrip("/") + "_snapshots"
+        # A micro-batch leaving a stateful operator has one partition per
+        # state partition, and AQE does not coalesce foreachBatch writes: a
+        # table whose per-batch output is small sets this to write that many
+        # files (a small shuffle; coalesce would shrink the stateful stage).
+        self.files_per_batch = files_per_batch
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
+        if self.files_per_batch:
+            df = df.repartition(self.files_per_batch)
         _dynamic_overwrite(df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")),
                            self.path, "batch_id")
 
@@ -149,7 +157,8 @@ class ReplaceByKey:
         self.schema = schema
 
     def write_batch(self, df: DataFrame, batch_id: int | None = None) -> None:
-        _dynamic_overwrite(df, self.path, self.key)
+        # one file per key value (e.g. per hour), not one per task and key
+        _dynamic_overwrite(df.repartition(self.key), self.path, self.key)
 
     def read(self, spark: SparkSession, key_value: str | None = None) -> DataFrame:
         df = read_parquet_or_empty(spark, self.path, self.schema)
