@@ -5,7 +5,9 @@ letters) and ``transactions`` (last-write-wins table, sales roll-ups).
 Settings come from arguments, else from the same environment variables the
 original deployment reads: BOOTSTRAP_SERVERS, KAFKA_START_MODE,
 KAFKA_START_TIMESTAMP_MS, ABANDONED_TIMEOUT_MINUTES.  Results and
-checkpoints go under ``--out`` (default: <spark.checkpoint.dir>/basketry-jobs).
+checkpoints go under ``--out`` (default: <spark.checkpoint.dir>/basketry-jobs);
+``--jdbc-url`` also upserts them into the database tables (password from
+BASKETRY_JDBC_PASSWORD).
 """
 
 from __future__ import annotations
@@ -13,10 +15,12 @@ from __future__ import annotations
 import argparse
 import os
 
+from basketry import schemas
 from basketry.operators.carts import timeout_from_env
 from basketry.session import checkpoint_root, get_session
 from basketry.sources import files, kafka
 from basketry.streaming import jobs
+from basketry.streaming.writers import jdbc_execute
 
 
 def build_parser() -> argparse.ArgumentParser:
@@ -32,13 +36,31 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--out", default=None)
     p.add_argument("--once", action="store_true", help="process what is available, then stop")
     p.add_argument("--console", action="store_true", help="also print routed events and labels")
+    p.add_argument("--jdbc-url", help="also upsert results into this database")
+    p.add_argument("--jdbc-user")
+    p.add_argument("--jdbc-driver", help="JDBC driver class, e.g. org.postgresql.Driver")
+    p.add_argument("--jdbc-dialect", choices=["postgres", "merge"], default="postgres")
+    p.add_argument("--create-tables", action="store_true",
+                   help="run the result-table DDL (PostgreSQL dialect) once at start")
     return p
 
 
 def main(argv: list[str] | None = None) -> None:
     args = build_parser().parse_args(argv)
     spark = get_session()
-    out = jobs.Outputs(args.out or os.path.join(checkpoint_root(spark), "basketry-jobs"))
+    jdbc = None
+    if args.jdbc_url:
+        props = {}
+        if args.jdbc_user:
+            props["user"] = args.jdbc_user
+        if os.environ.get("BASKETRY_JDBC_PASSWORD"):
+            props["password"] = os.environ["BASKETRY_JDBC_PASSWORD"]
+        if args.jdbc_driver:
+            props["driver"] = args.jdbc_driver
+        jdbc = {"url": args.jdbc_url, "props": props, "dialect": args.jdbc_dialect}
+        if args.create_tables:
+            jdbc_execute(spark, args.jdbc_url, list(schemas.DDL.values()), props)
+    out = jobs.Outputs(args.out or os.path.join(checkpoint_root(spark), "basketry-jobs"), jdbc=jdbc)
     trigger = {"availableNow": True} if args.once else None
     if args.source == "files":
         raw = files.read_records_stream(spark, args.path)

@@ -331,3 +331,25 @@ def test_cli_transactions_once(spark):
                 "product_price") == [("t1", 2, 0.0), ("t2", 2, 0.0), ("t3", 2, 0.0)]
     dead = KeyedLog(o.path("transaction_quarantine"), ["value", "reason"]).read(spark)
     assert [r.reason for r in dead.collect()] == ["unknown_field"]
+
+
+def test_cli_writes_database(spark):
+    from basketry.streaming import main as cli
+    url = "jdbc:derby:memory:basketry_cli;create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    jdbc_execute(spark, url, [
+        'CREATE TABLE active_users_minute ("minute_ts" TIMESTAMP NOT NULL PRIMARY KEY, "users" BIGINT)',
+        'CREATE TABLE top_products_hourly ("hour_ts" TIMESTAMP NOT NULL, "product_id" VARCHAR(255) '
+        'NOT NULL, "amount" DOUBLE, PRIMARY KEY ("hour_ts", "product_id"))'], props)
+    out = work_path(spark, "t_cli_db")
+    in_dir = os.path.join(out, "_in")
+    _write_lines(spark, in_dir, [
+        _pv(1, "u1", T0),
+        json.dumps({"eventId": "e2", "eventType": "add_to_cart", "cartId": "c1", "productId": "p1",
+                    "totalAmount": 2.5, "timestamp": "2024-01-01T00:01:00Z"}),
+        _pv(3, "u2", T0 + dt.timedelta(hours=2))])
+    cli.main(["multi-event", "--source", "files", "--path", in_dir, "--out", out, "--once",
+              "--jdbc-url", url, "--jdbc-driver", props["driver"], "--jdbc-dialect", "merge"])
+    db = lambda t: spark.read.jdbc(url, t, properties=props)
+    assert rows(db("top_products_hourly"), "product_id", "amount") == [("p1", 2.5)]
+    assert db("active_users_minute").count() == 5
