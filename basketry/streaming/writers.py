@@ -161,7 +161,13 @@ class ReplaceByKey:
         _dynamic_overwrite(df.repartition(self.key), self.path, self.key)
 
     def read(self, spark: SparkSession, key_value: str | None = None) -> DataFrame:
-        df = read_parquet_or_empty(spark, self.path, self.schema)
+        if self.schema is not None and path_exists(spark, self.path):
+            try:   # the declared schema keeps the key's type (no partition type guess)
+                df = spark.read.schema(self.schema).parquet(self.path)
+            except AnalysisException:
+                df = spark.createDataFrame([], self.schema)
+        else:
+            df = read_parquet_or_empty(spark, self.path, self.schema)
         if df is None:
             raise FileNotFoundError(self.path)
         return df.filter(F.col(self.key) == key_value) if key_value is not None else df

@@ -310,6 +310,7 @@ def test_serving_reads_over_stored_results(spark):
         ("p3", 1), ("p2", 2), ("p1", 3)]
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(hour_key" in plan
+    assert dict(out.top_products().read(spark).dtypes)["hour_key"] == "string"
     assert serving.metrics_abandoned_count(spark, out).first()[0] == 3
     # windows around 03:00 are still open; the latest closed one holds u8
     assert serving.metrics_active_users(spark, out).first()[0] == 1
