@@ -94,23 +94,28 @@ def decode(df: DataFrame, fields: list[tuple[str, str]], value_col: str = "value
         F.json_object_keys(value).alias("_keys"),
     )
     known = F.array(*[F.lit(n) for n, _ in fields])
-    typed = {n: _typed(F.col("_r").getField(n), t) for n, t in fields}
-    bad_type = F.lit(False)
-    for n, t in fields:
-        if t != "string":
-            bad_type = bad_type | (F.col("_r").getField(n).isNotNull() & typed[n].isNull())
     if mode == "strict":
         malformed = F.col("_keys").isNull()
     else:
         malformed = (F.col("value").isNull() | F.col("_keys").isNull()
                      | F.col("_r").getField(CORRUPT).isNotNull())
-    reason = (F.when(malformed, F.lit(MALFORMED))
+    # typed values once per row; the reason then reads the typed columns
+    typed = parsed.select(
+        *[F.col(k) for k in keep], "value", "_keys", malformed.alias("_malformed"),
+        *[_typed(F.col("_r").getField(n), t).alias(n) for n, t in fields],
+        *[F.col("_r").getField(n).isNotNull().alias(f"_has_{n}")
+          for n, t in fields if t != "string"])
+    bad_type = F.lit(False)
+    for n, t in fields:
+        if t != "string":
+            bad_type = bad_type | (F.col(f"_has_{n}") & F.col(n).isNull())
+    reason = (F.when(F.col("_malformed"), F.lit(MALFORMED))
               .when(F.size(F.array_except(F.col("_keys"), known)) > 0, F.lit(UNKNOWN_FIELD))
               .when(bad_type, F.lit(BAD_TYPE)))
-    out = parsed.select(
+    out = typed.select(
         *[F.col(k) for k in keep],
         F.col("value"),
-        *[F.when(~malformed, typed[n]).alias(n) for n, _ in fields],
+        *[F.when(~F.col("_malformed"), F.col(n)).alias(n) for n, _ in fields],
         reason.alias("reason"),
     )
     if mode == "strict":
