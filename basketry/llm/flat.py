@@ -56,11 +56,12 @@ def _power(base: int, n: int) -> np.ndarray:
     return got
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the ranges ``starts..ends`` of the bytes ``data``."""
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+                values: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hashes of the ranges ``starts..ends`` of the bytes ``data`` (or of ``values``)."""
     n = len(data)
     h = np.zeros(n + 1, np.uint64)
-    np.cumsum(_VALUES[data] * _power(_P, n)[:n], out=h[1:])
+    np.cumsum((_VALUES[data] if values is None else values) * _power(_P, n)[:n], out=h[1:])
     return mix((h[ends] - h[starts]) * _power(_PINV, n + 1)[starts]
                + (ends - starts).astype(np.uint64))
 

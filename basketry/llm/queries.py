@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, packing, sharding
-from .common import cut, documents
+from . import langid, mixing, packing, sharding, toxicity
+from .common import cut, documents, read_table
 
 SHARDS = 40
 
@@ -21,6 +21,11 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.toxic_scores(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted", "spans")
+
+
 def op5_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed, _ = sharding.shard_documents(documents(spark, sf_dir), SHARDS)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
@@ -28,6 +33,10 @@ def op5_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("vslot").alias("virtual_slot"))
 
 
+def op6_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir))
+
+
 def op9_linear_grouping_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(documents(spark, sf_dir), vocabulary())
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -41,7 +50,9 @@ def op10_subset_sum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_crf_toxicity": op1_crf_toxicity,
     "op5_virtual_slots": op5_virtual_slots,
+    "op6_kneser_ney_language": op6_kneser_ney_language,
     "op9_linear_grouping_packing": op9_linear_grouping_packing,
     "op10_subset_sum_mixing": op10_subset_sum_mixing,
 }
