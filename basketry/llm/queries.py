@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid, mixing, packing, sharding, toxicity
+from . import ann, jaccard, langid, mixing, packing, sharding, toxicity
 from .common import cut, documents, read_table
 
 SHARDS = 40
@@ -37,6 +37,16 @@ def op6_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
 
+def op7_count_vector_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = jaccard.similar_groups(documents(spark, sf_dir), k=3, percent=90)
+    return groups.select("doc_id", "n_shingles", "component_id")
+
+
+def op8_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.search(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
 def op9_linear_grouping_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(documents(spark, sf_dir), vocabulary())
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -53,6 +63,8 @@ QUERIES = {
     "op1_crf_toxicity": op1_crf_toxicity,
     "op5_virtual_slots": op5_virtual_slots,
     "op6_kneser_ney_language": op6_kneser_ney_language,
+    "op7_count_vector_jaccard": op7_count_vector_jaccard,
+    "op8_learned_partitions": op8_learned_partitions,
     "op9_linear_grouping_packing": op9_linear_grouping_packing,
     "op10_subset_sum_mixing": op10_subset_sum_mixing,
 }
