@@ -18,8 +18,8 @@ SLICE = 1 << 20
 
 
 @cache
-def tables() -> tuple[np.ndarray, np.ndarray]:
-    """For every code point: is it a letter, and its lower case where that is one code point."""
+def tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every code point: is it a letter, a decimal digit, its lower case if one code point."""
     points = [chr(c) for c in range(0x110000)]
     letter = np.fromiter((c.isalpha() for c in points), bool, len(points))
     lower = np.arange(len(points), dtype=np.uint32)
@@ -27,7 +27,8 @@ def tables() -> tuple[np.ndarray, np.ndarray]:
         low = points[c].lower()
         if len(low) == 1:
             lower[c] = ord(low)
-    return letter, lower
+    digit = np.fromiter((c.isdecimal() for c in points), bool, len(points))
+    return letter, digit, lower
 
 
 def text_slices(texts: list) -> Iterator[tuple[int, int]]:
@@ -44,10 +45,13 @@ def text_slices(texts: list) -> Iterator[tuple[int, int]]:
 
 
 class LetterWords:
-    """Words of some texts: lowered code points, ranges, hashes, first word of each text."""
+    """Words of some texts: lowered code points, ranges, hashes, first word of each text.
 
-    def __init__(self, texts: list):
-        letter, lower = tables()
+    With ``digits``, words hold digits too, each taken as 0.
+    """
+
+    def __init__(self, texts: list, digits: bool = False):
+        letter, digit, lower = tables()
         texts = [t or "" for t in texts]
         raw = "\n".join(texts).encode("utf-32-le", "surrogatepass")
         codes = np.frombuffer(raw, np.uint32)
@@ -57,7 +61,12 @@ class LetterWords:
         np.cumsum(sizes + 1, out=self.at[1:])
         self.at[-1] -= bool(len(texts))
         self.codes = lower[codes]
-        w: Words = spans(self.codes, self.at, letter[codes])
+        inside = letter[codes]
+        if digits:
+            number = digit[codes]
+            self.codes[number] = ord("0")
+            inside |= number
+        w: Words = spans(self.codes, self.at, inside)
         self.starts, self.ends, self.first = w.starts, w.ends, w.first
         self.hashes = span_hashes(self.codes, self.starts, self.ends, mix(self.codes))
         self.count = np.diff(self.first)

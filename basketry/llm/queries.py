@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, jaccard, langid, mixing, packing, sharding, toxicity
+from . import ann, jaccard, langid, lines, mixing, packing, sharding, toxicity
 from .common import cut, documents, read_table
 
 SHARDS = 40
@@ -26,6 +26,11 @@ def op1_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted", "spans")
 
 
+def op3_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return kept.select("row.doc_id", "n_lines", "n_removed", "text")
+
+
 def op5_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed, _ = sharding.shard_documents(documents(spark, sf_dir), SHARDS)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
@@ -61,6 +66,7 @@ def op10_subset_sum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_crf_toxicity": op1_crf_toxicity,
+    "op3_fuzzy_lines": op3_fuzzy_lines,
     "op5_virtual_slots": op5_virtual_slots,
     "op6_kneser_ney_language": op6_kneser_ney_language,
     "op7_count_vector_jaccard": op7_count_vector_jaccard,
