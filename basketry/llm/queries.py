@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, jaccard, langid, lines, mixing, packing, sharding, toxicity
+from . import ann, jaccard, langid, lines, lzprint, mixing, packing, sharding, toxicity
 from .common import cut, documents, read_table
 
 SHARDS = 40
@@ -31,6 +31,10 @@ def op3_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("row.doc_id", "n_lines", "n_removed", "text")
 
 
+def op4_lempel_ziv_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lzprint.fingerprints(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op5_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed, _ = sharding.shard_documents(documents(spark, sf_dir), SHARDS)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
@@ -67,6 +71,7 @@ def op10_subset_sum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_crf_toxicity": op1_crf_toxicity,
     "op3_fuzzy_lines": op3_fuzzy_lines,
+    "op4_lempel_ziv_fingerprints": op4_lempel_ziv_fingerprints,
     "op5_virtual_slots": op5_virtual_slots,
     "op6_kneser_ney_language": op6_kneser_ney_language,
     "op7_count_vector_jaccard": op7_count_vector_jaccard,
