@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, jaccard, langid, lines, lzprint, mixing, packing, sharding, toxicity
+from . import ann, jaccard, langid, lines, lzprint, mixing, packing, pii, sharding, toxicity
 from .common import cut, documents, read_table
 
 SHARDS = 40
@@ -26,6 +26,15 @@ def op1_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted", "spans")
 
 
+def op2_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["base"])
+    of_kind = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind))
+    counts = [of_kind(k).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"),
+                        pii.listed(F.col("spans")).alias("spans"))
+
+
 def op3_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
     return kept.select("row.doc_id", "n_lines", "n_removed", "text")
@@ -70,6 +79,7 @@ def op10_subset_sum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_crf_toxicity": op1_crf_toxicity,
+    "op2_weak_supervision_pii": op2_weak_supervision_pii,
     "op3_fuzzy_lines": op3_fuzzy_lines,
     "op4_lempel_ziv_fingerprints": op4_lempel_ziv_fingerprints,
     "op5_virtual_slots": op5_virtual_slots,

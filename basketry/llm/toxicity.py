@@ -305,37 +305,33 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(a, 0.0), b
 
 
-def score_documents(docs: DataFrame, chain: Chain, carry: list[str]) -> DataFrame:
-    """``carry`` columns (any names) in order, then score, predicted and spans, as ``carried`` struct beside.
-
-    The result has the columns ``carried``, ``score``, ``predicted``, ``spans``.
-    """
+def score_documents(docs: DataFrame, chain: Chain) -> DataFrame:
+    """``row`` (all columns but text), text, score, predicted and spans of every document."""
     shared = docs.sparkSession.sparkContext.broadcast(chain)
-    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carried"),
-                    F.col("text").cast("string").alias("text"))
-    kind = d.schema["carried"].dataType.simpleString()
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    d = docs.select(F.struct(*others).alias("row"), F.col("text").cast("string").alias("text"))
+    kind = d.schema["row"].dataType.simpleString()
+    found = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("probability", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()),
-                                         ("probability", pa.float64())]))
         for b in batches:
             e, runs = evidence_of(shared.value, b.column(1).to_pylist())
             score = shared.value.score(e)
             yield pa.record_batch(
-                [b.column(0), pa.array(score), pa.array((score >= 0.5).astype(np.int32)),
-                 pa.array(runs, spans_type)], names=["carried", "score", "predicted", "spans"])
+                [b.column(0), b.column(1), pa.array(score), pa.array((score >= 0.5).astype(np.int32)),
+                 pa.array(runs, found)], names=["row", "text", "score", "predicted", "spans"])
 
-    return d.mapInArrow(run, f"carried {kind}, score double, predicted int, spans {SPANS}")
+    return d.mapInArrow(run, f"row {kind}, text string, score double, predicted int, spans {SPANS}")
 
 
 def toxic_scores(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
     """doc_id, held_out, score, predicted and spans of every document."""
     chain = train(docs, labels, train_docs)
-    scored = score_documents(held_out_rows(docs), chain, ["doc_id", "held_out"])
-    return scored.select("carried.doc_id", "carried.held_out", "score", "predicted", "spans")
+    scored = score_documents(held_out_rows(docs.select("doc_id", "text")), chain)
+    return scored.select("row.doc_id", "row.held_out", "score", "predicted", "spans")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents whose score is below a half, columns unchanged."""
-    scored = score_documents(docs, train(docs, labels), docs.columns)
-    return scored.where("predicted = 0").select("carried.*")
+    kept = score_documents(docs, train(docs, labels)).where("predicted = 0")
+    return kept.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

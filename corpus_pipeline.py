@@ -1,14 +1,35 @@
-"""Corpus pipeline: filter, deduplicate, mix and pack the documents table."""
+"""Corpus pipeline over the documents table.
+
+Toxic documents go, repeated lines go, of each group of near-duplicate
+documents one stays, sources are mixed to their target weights, and the mix
+is packed into sequences.  Every stage works on all rows the one before kept
+and hands on the columns of documents (the last returns the packing).
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import mixing, packing
-from basketry.llm.common import cut, documents
+from basketry.llm import jaccard, lines, mixing, packing, toxicity
+from basketry.llm.common import cut, documents, read_table
 from basketry.llm.queries import vocabulary
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the chain, fitted on ``labels``, does not hold for toxic."""
+    return toxicity.drop_toxic(docs, read_table(spark, sf_dir, "labels"))
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines that repeat an earlier one; n_chars follows."""
+    return lines.without_repeated_lines(docs)
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked by five-word shingles at a similarity of 0.8, the least doc_id."""
+    return jaccard.keep_one(docs, k=5, percent=80)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     return mixing.mixed_documents(docs)
@@ -19,8 +40,11 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, vocabulary())
 
 
-STAGES = [("mixing", mix_sources), ("packing", pack)]
+STAGES = [("toxicity", drop_toxic), ("line_dedup", dedup_lines), ("jaccard_join", keep_one_of_near_copies),
+          ("mixing", mix_sources), ("packing", pack)]
 
+#: Learned scores, edit similarity and byte-pair tokens have no SQL form; tests
+#: compare the stages with brute force instead.
 ORACLE_SQL = None
 
 
