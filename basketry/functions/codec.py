@@ -21,6 +21,8 @@ from basketry import schemas
 from basketry.functions.timeparse import to_epoch_ms
 
 CORRUPT = "_corrupt"
+#: The largest epoch milliseconds a timestamp can hold.
+MAX_MILLIS = (2**63 - 1) // 1000
 
 # Quarantine reasons.
 MALFORMED = "malformed"
@@ -41,6 +43,12 @@ def _raw_schema(fields: list[tuple[str, str]]) -> T.StructType:
         + [T.StructField(CORRUPT, T.StringType(), True)])
 
 
+def _nested(value: Column, name: str, raw: Column) -> Column:
+    """Is the field an object or array?  Only texts that start like one are looked at again."""
+    kind = F.schema_of_variant(F.variant_get(F.try_parse_json(value), f"$.{name}", "variant"))
+    return F.when(raw.rlike(r"^[{\[]"), kind.rlike("^(OBJECT|ARRAY)")).otherwise(False)
+
+
 def _typed(raw: Column, kind: str) -> Column:
     if kind == "string":
         return raw
@@ -55,8 +63,11 @@ def _typed(raw: Column, kind: str) -> Column:
     if kind == "timestamp":
         # epoch milliseconds, or ISO text.  Only digit strings are cast to a
         # number: a failing try_cast costs an exception per row.
-        return F.when(raw.rlike(r"^-?[0-9]{1,18}$"), F.timestamp_millis(raw.cast("bigint"))) \
-                .otherwise(F.try_to_timestamp(raw))
+        # Milliseconds beyond the timestamp's range (microseconds in a long)
+        # have no value, so they end as a bad type instead of an overflow.
+        ms = F.when(raw.rlike(r"^-?[0-9]{1,18}$"), raw.cast("bigint"))
+        return F.when(F.abs(ms) <= F.lit(MAX_MILLIS), F.timestamp_millis(ms)) \
+                .when(ms.isNull(), F.try_to_timestamp(raw))
     raise ValueError(kind)
 
 
@@ -104,11 +115,13 @@ def decode(df: DataFrame, fields: list[tuple[str, str]], value_col: str = "value
         *[F.col(k) for k in keep], "value", "_keys", malformed.alias("_malformed"),
         *[_typed(F.col("_r").getField(n), t).alias(n) for n, t in fields],
         *[F.col("_r").getField(n).isNotNull().alias(f"_has_{n}")
-          for n, t in fields if t != "string"])
+          for n, t in fields if t != "string"],
+        *[_nested(F.col("value"), n, F.col("_r").getField(n)).alias(f"_nested_{n}")
+          for n, t in fields if t == "string"])
     bad_type = F.lit(False)
     for n, t in fields:
-        if t != "string":
-            bad_type = bad_type | (F.col(f"_has_{n}") & F.col(n).isNull())
+        bad_type = bad_type | (F.col(f"_nested_{n}") if t == "string"
+                               else F.col(f"_has_{n}") & F.col(n).isNull())
     reason = (F.when(F.col("_malformed"), F.lit(MALFORMED))
               .when(F.size(F.array_except(F.col("_keys"), known)) > 0, F.lit(UNKNOWN_FIELD))
               .when(bad_type, F.lit(BAD_TYPE)))

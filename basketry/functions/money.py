@@ -1,16 +1,12 @@
 """Money arithmetic.
 
-Amounts are two-decimal currency values carried as doubles (the input
-contract).  Summing doubles gives a result that depends on the order rows
-meet in the aggregation buffers, i.e. on partitioning.  Summing integer
-cents is exact, order-free, stays a fixed-width long in the hash-aggregate
-buffer (whole-stage codegen, partial aggregation) and cannot overflow below
-~9.2e16 currency units.
-
-Non-finite amounts keep double semantics: a NaN (or +∞ with −∞) makes the
-total NaN, an infinity makes it infinite.  They are tracked by three boolean
-max-aggregates next to the cent sum, so a NaN never fails the job and never
-silently disappears.
+Amounts are doubles (the input contract) and totals are their sums.  Adding
+doubles gives a result that depends on the order rows meet, i.e. on
+partitioning, so amounts are summed as decimals with 8 places: exact and
+order-free for every amount with up to 8 decimals, and within 5e-9 per amount
+otherwise.  No amount is rounded to cents and none can fail the job: a total
+with an amount the decimal can't hold (1e20 and above, NaN, infinities), or
+whose decimal sum would overflow, is the plain double sum instead.
 """
 
 from __future__ import annotations
@@ -18,61 +14,51 @@ from __future__ import annotations
 from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
-INF = float("inf")
 # Names of the partial columns of a money total.
-PARTS = ("cents", "has_nan", "has_pos_inf", "has_neg_inf")
+PARTS = ("exact", "approx", "wide")
+
+EXACT = "decimal(28,8)"
+LIMIT = 1e20
 
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def is_finite(c: Column | str) -> Column:
-    c = _c(c)
-    return ~F.isnan(c) & (F.abs(c) != F.lit(INF))
+def fits(c: Column | str) -> Column:
+    """Is the amount finite and below the exact range's limit? (NaN is not.)"""
+    return F.abs(_c(c)) < F.lit(LIMIT)
 
 
-def to_cents(c: Column | str) -> Column:
-    """Cents of a finite amount; null for null and non-finite amounts."""
+def money_parts(c: Column | str, prefix: str = "") -> list[Column]:
+    """Aggregate columns of a money sum (use inside ``agg``)."""
     c = _c(c)
-    return F.when(is_finite(c), F.round(c * 100).cast("bigint"))
+    return [F.try_sum(F.when(fits(c), c.cast(EXACT))).alias(prefix + "exact"),
+            F.sum(c).alias(prefix + "approx"),
+            F.max(~fits(c)).alias(prefix + "wide")]
 
 
-def cents_to_amount(c: Column | str) -> Column:
-    return _c(c) / F.lit(100.0)
-
-
-def money_parts(c: Column | str, prefix: str = "") -> list[Column]:
-    """Aggregate columns of an exact money sum (use inside ``agg``)."""
-    c = _c(c)
-    return [F.sum(to_cents(c)).alias(prefix + "cents"),
-            F.max(F.isnan(c)).alias(prefix + "has_nan"),
-            F.max(c == F.lit(INF)).alias(prefix + "has_pos_inf"),
-            F.max(c == F.lit(-INF)).alias(prefix + "has_neg_inf")]
+def _total(exact: Column, approx: Column, wide: Column) -> Column:
+    return F.when(wide | exact.isNull(), approx).otherwise(exact.cast("double"))
 
 
 def money_total(prefix: str = "") -> Column:
     """The double total from the parts made by ``money_parts``."""
-    nan, pos, neg = (F.coalesce(F.col(prefix + p), F.lit(False)) for p in PARTS[1:])
-    return (F.when(nan | (pos & neg), F.lit(float("nan")))
-             .when(pos, F.lit(INF))
-             .when(neg, F.lit(-INF))
-             .otherwise(cents_to_amount(F.col(prefix + "cents"))))
+    return _total(*[F.col(prefix + p) for p in PARTS])
 
 
 def running_parts(window: Window, prefix: str = "") -> list[Column]:
-    """Running versions of the parts over ``window`` (rows of partial totals)."""
-    return [F.sum(prefix + "cents").over(window).alias(prefix + "cents")] + [
-        F.max(prefix + p).over(window).alias(prefix + p) for p in PARTS[1:]]
+    """Running versions of the parts over ``window`` (rows of partial totals).
+
+    An overflow of any row so far makes the running total a double sum.
+    """
+    exact, approx, wide = (prefix + p for p in PARTS)
+    lost = F.col(exact).isNull() & F.col(approx).isNotNull()
+    return [F.try_sum(exact).over(window).alias(exact),
+            F.sum(approx).over(window).alias(approx),
+            F.max(F.col(wide) | lost).over(window).alias(wide)]
 
 
 def money_sum(c: Column | str) -> Column:
-    """Exact sum of a money column as one aggregate expression (double)."""
-    c = _c(c)
-    nan = F.coalesce(F.max(F.isnan(c)), F.lit(False))
-    pos = F.coalesce(F.max(c == F.lit(INF)), F.lit(False))
-    neg = F.coalesce(F.max(c == F.lit(-INF)), F.lit(False))
-    return (F.when(nan | (pos & neg), F.lit(float("nan")))
-             .when(pos, F.lit(INF))
-             .when(neg, F.lit(-INF))
-             .otherwise(cents_to_amount(F.sum(to_cents(c)))))
+    """Sum of a money column as one aggregate expression (double)."""
+    return _total(*money_parts(c))

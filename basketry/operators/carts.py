@@ -50,7 +50,7 @@ def timeout_from_env(value: str | None, default_minutes: int = 30) -> str:
 
 def cart_events(events: DataFrame, ts: str = "event_ts") -> DataFrame:
     """Add/checkout events that carry a cart: (cart_id, ts, is_checkout)."""
-    t = F.col("eventType")
+    t = F.coalesce("eventType", F.lit("")) if events.isStreaming else F.col("eventType")
     gate = lambda v: event_time_gate(events, v, ts)
     # On streams: no null-intolerant test of cartId alone, or the optimizer
     # infers "cartId IS NOT NULL" and pushes it below the watermark.

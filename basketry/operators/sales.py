@@ -5,7 +5,7 @@ counts twice, as in the reference); ``dedupe=True`` rolls up the
 last-write-wins table instead.  Roll-ups are keyed by the event date of the
 transaction, so a replay gives the same answer.
 
-Sums are exact (integer cents).  Running totals run over the small daily
+Sums are exact decimals (``functions.money``).  Running totals run over the small daily
 (or monthly) summary, never over raw rows.
 """
 
@@ -36,9 +36,15 @@ def _base(tx: DataFrame, dedupe: bool) -> DataFrame:
     return latest_transactions(tx) if dedupe else tx
 
 
+def null_key(tx: DataFrame):
+    """Does a record lack a key of the result tables (id, category or date)?"""
+    return (F.col("transaction_id").isNull() | F.col("product_category").isNull()
+            | F.col("transaction_date").isNull())
+
+
 def null_key_rows(tx: DataFrame) -> DataFrame:
-    """Transactions the category roll-up cannot key (dead-letter them)."""
-    return tx.filter(F.col("product_category").isNull())
+    """Transactions that cannot be keyed (the job dead-letters them)."""
+    return tx.filter(null_key(tx))
 
 
 def _daily_category_parts(tx: DataFrame) -> DataFrame:

@@ -52,12 +52,12 @@ FROM events_env WHERE "eventType" = 'add_to_cart'"""
 
 CTES["hourly"] = """
 SELECT date_trunc('hour', event_ts) AS hour_ts, product_id,
-       sum(CAST(round(amount * 100) AS BIGINT)) / 100.0 AS amount
+       CAST(sum(CAST(amount AS DECIMAL(28,8))) AS DOUBLE) AS amount
 FROM product_sales GROUP BY ALL"""
 
 CTES["daily"] = """
 SELECT date_trunc('day', event_ts) AS hour_ts, product_id,
-       sum(CAST(round(amount * 100) AS BIGINT)) / 100.0 AS amount
+       CAST(sum(CAST(amount AS DECIMAL(28,8))) AS DOUBLE) AS amount
 FROM product_sales GROUP BY ALL"""
 
 CTES["ranked"] = """
@@ -108,13 +108,13 @@ WHERE rn = 1"""
 
 CTES["cat_daily"] = """
 SELECT CAST(transaction_date AS DATE) AS transaction_date, product_category AS category,
-       sum(CAST(round(total_amount * 100) AS BIGINT)) AS cents
+       sum(CAST(total_amount AS DECIMAL(28,8))) AS total
 FROM tx WHERE product_category IS NOT NULL GROUP BY ALL"""
 
 CTES["monthly"] = """
 SELECT CAST(year(transaction_date) AS INTEGER) AS "year",
        CAST(month(transaction_date) AS INTEGER) AS "month",
-       sum(CAST(round(total_amount * 100) AS BIGINT)) AS cents
+       sum(CAST(total_amount AS DECIMAL(28,8))) AS total
 FROM tx GROUP BY ALL"""
 
 _DEPS = {
@@ -253,21 +253,21 @@ ORACLE: dict[str, str] = {
         ORDER BY abandoned_at DESC, cart_id DESC LIMIT 20""", "abandoned"),
     "transactions_latest": sql("SELECT * FROM tx_latest", "tx_latest"),
     "sales_per_category": sql("""
-        SELECT transaction_date, category, cents / 100.0 AS total_sales FROM cat_daily""", "cat_daily"),
+        SELECT transaction_date, category, CAST(total AS DOUBLE) AS total_sales FROM cat_daily""", "cat_daily"),
     "sales_per_category_running": sql("""
         SELECT transaction_date, category,
-               sum(cents) OVER (PARTITION BY category ORDER BY transaction_date
-                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / 100.0 AS total_sales
+               CAST(sum(total) OVER (PARTITION BY category ORDER BY transaction_date
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS total_sales
         FROM cat_daily""", "cat_daily"),
     "sales_per_day": sql("""
         SELECT CAST(transaction_date AS DATE) AS transaction_date,
-               sum(CAST(round(total_amount * 100) AS BIGINT)) / 100.0 AS total_sales
+               CAST(sum(CAST(total_amount AS DECIMAL(28,8))) AS DOUBLE) AS total_sales
         FROM tx GROUP BY 1""", "tx"),
-    "sales_per_month": sql("""SELECT "year", "month", cents / 100.0 AS total_sales FROM monthly""", "monthly"),
+    "sales_per_month": sql("""SELECT "year", "month", CAST(total AS DOUBLE) AS total_sales FROM monthly""", "monthly"),
     "sales_per_month_running": sql("""
         SELECT "year", "month", min("year") OVER (PARTITION BY "month") AS stored_year,
-               sum(cents) OVER (PARTITION BY "month" ORDER BY "year"
-                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / 100.0 AS total_sales
+               CAST(sum(total) OVER (PARTITION BY "month" ORDER BY "year"
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS total_sales
         FROM monthly""", "monthly"),
     "doc_transactions": sql("""
         SELECT 'transactions' AS doc_index, transaction_id AS id, transaction_id, product_id,

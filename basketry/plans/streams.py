@@ -23,7 +23,7 @@ from basketry.functions import codec
 from basketry.plans.oracle import sql
 from basketry.plans.queries import _env, _tx, ntz
 from basketry.session import work_path
-from basketry.sources import adapters, files
+from basketry.sources import files
 from basketry.streaming import jobs
 
 CHUNKS = 3
@@ -54,27 +54,34 @@ def state_partitions(spark: SparkSession):
 
 
 def feed_in_chunks(records: DataFrame, ts_col: str, in_dir: str, run, chunks: int = CHUNKS,
-                   late: DataFrame | None = None) -> None:
+                   late: DataFrame | None = None, arrange=None) -> None:
     """Append ``records.value`` to ``in_dir`` in event-time order, running the
     stream after each chunk.  Only the time bounds come to the driver.
-    ``late`` rows (a ``value`` column) arrive together with the last chunk."""
+    ``late`` rows (a ``value`` column) arrive together with the last chunk;
+    ``arrange`` puts a chunk's rows into the order of their arrival."""
     us = F.unix_micros(F.col(ts_col).cast("timestamp"))
     # bounds as epoch microseconds, computed in Spark (no client time zone)
     lo_us, hi_us = records.agg(F.min(us), F.max(us)).first()
     with state_partitions(records.sparkSession):
-        _feed(records, us, in_dir, run, chunks, late, lo_us, hi_us)
+        _feed(records, us, in_dir, run, chunks, late, lo_us, hi_us, arrange)
 
 
-def _feed(records, us, in_dir, run, chunks, late, lo_us, hi_us) -> None:
+def _feed(records, us, in_dir, run, chunks, late, lo_us, hi_us, arrange) -> None:
     if lo_us is None:
         run()
         return
     step = (hi_us - lo_us) // chunks + 1
+    # the records are computed once; each chunk is then copied from its own folder
+    chunk = F.floor((us - F.lit(lo_us)) / F.lit(step)).cast("int")
+    held = in_dir.rstrip("/") + "_held"
+    records.select("value", chunk.alias("chunk")).write.partitionBy("chunk").text(held)
+    source = records.sparkSession.read.schema("value string, chunk int").text(held)
     for i in range(chunks):
-        a, b = lo_us + i * step, lo_us + (i + 1) * step
-        part = records.filter((us >= F.lit(a)) & (us < F.lit(b))).select("value")
+        part = source.filter(F.col("chunk") == i).select("value")
         if late is not None and i == chunks - 1:
             part = part.unionByName(late.select("value"))
+        if arrange is not None:
+            part = arrange(part)
         part.write.mode("append").text(in_dir)
         run()
 
@@ -155,8 +162,17 @@ def stream_sales_rollups(spark, sf_dir):
                                     null_s.alias("category"), "year", "month", "total_sales")))
 
 
+def _arrival_by_amount(part: DataFrame) -> DataFrame:
+    """Records of one id in one file, larger amounts first: the last write of
+    an id is *not* its newest date, so the order of arrival has to decide."""
+    at = lambda n, t: F.get_json_object("value", f"$.{n}").cast(t)
+    return (part.repartition(at("transactionId", "string"))
+            .sortWithinPartitions(at("totalAmount", "double").desc(), at("productId", "string"),
+                                  at("transactionDate", "bigint"), at("productQuantity", "int")))
+
+
 def stream_transactions(spark, sf_dir):
-    """Transaction job's keyed upsert: newest record per id across batches."""
+    """Transaction job's keyed upsert: last record to arrive per id, across batches."""
     out = jobs.Outputs(work_path(spark, "stream_transactions"))
     in_dir = out.path("_input")
     tx = _tx(spark, sf_dir)
@@ -166,10 +182,9 @@ def stream_transactions(spark, sf_dir):
     def run():
         raw = files.read_records_stream(spark, in_dir)
         txs, _bad = jobs.decode_transaction_stream(raw)
-        order = ["record_ts"] + adapters.TX_LAST_WRITE_ORDER
-        jobs.await_all([jobs.start_transactions_table(txs, out, order, AVAILABLE_NOW)])
+        jobs.await_all([jobs.start_transactions_table(txs, out, trigger=AVAILABLE_NOW)])
 
-    feed_in_chunks(records, "transaction_date", in_dir, run)
+    feed_in_chunks(records, "transaction_date", in_dir, run, arrange=_arrival_by_amount)
     return ntz(out.transactions().read(spark))
 
 
@@ -229,14 +244,22 @@ STREAM_ORACLE = {
                                   extra={"ms_next": _MS_CART_NEXT}),
     "stream_sales_rollups": sql("""
         SELECT 'category' AS rollup, transaction_date, category, CAST(NULL AS INTEGER) AS "year",
-               CAST(NULL AS INTEGER) AS "month", cents / 100.0 AS total_sales FROM cat_daily
+               CAST(NULL AS INTEGER) AS "month", CAST(total AS DOUBLE) AS total_sales FROM cat_daily
         UNION ALL
         SELECT 'day', CAST(transaction_date AS DATE), NULL, NULL, NULL,
-               sum(CAST(round(total_amount * 100) AS BIGINT)) / 100.0 FROM tx GROUP BY 2
+               CAST(sum(CAST(total_amount AS DECIMAL(28,8))) AS DOUBLE) FROM tx GROUP BY 2
         UNION ALL
-        SELECT 'month', NULL, NULL, "year", "month", cents / 100.0 FROM monthly""",
+        SELECT 'month', NULL, NULL, "year", "month", CAST(total AS DOUBLE) FROM monthly""",
                                 "cat_daily", "tx", "monthly"),
-    "stream_transactions": sql("SELECT * FROM tx_latest", "tx_latest"),
+    # last to arrive: newest third of the time span, then the order within it
+    "stream_transactions": sql("""
+        SELECT * EXCLUDE (chunk, rn, lo, hi) FROM (
+          SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY chunk DESC,
+                 total_amount ASC, product_id DESC, transaction_date DESC, product_quantity DESC) AS rn
+          FROM (SELECT *, (epoch_us(CAST(transaction_date AS TIMESTAMP)) - lo) // ((hi - lo) // 3 + 1) AS chunk
+                FROM tx, (SELECT min(epoch_us(CAST(transaction_date AS TIMESTAMP))) AS lo,
+                                 max(epoch_us(CAST(transaction_date AS TIMESTAMP))) AS hi FROM tx)))
+        WHERE rn = 1""", "tx"),
     "stream_quarantine": """
         SELECT CASE event_id % 50 WHEN 0 THEN 'malformed' WHEN 1 THEN 'unknown_field'
                                   ELSE 'bad_type' END AS reason,

@@ -56,11 +56,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts, stream checkpoints and results.
 
     Read from ``spark.checkpoint.dir`` (the cluster names a shared folder
-    there).  Only when it is unset — local tests — a fresh folder is made
-    and registered on the session.
+    there).  Only when it is unset on a local master (tests) a fresh folder
+    is made and registered on the session; on a cluster a folder of one
+    machine would hold incomplete data, so the setting is required there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="basketry-")
         spark.conf.set("spark.checkpoint.dir", root)
     try:

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 # Topic, consumer groups and defaults of the event jobs.
 TOPIC = "financial_transactions"
-EVENTS_GROUP = "flink-multievent"
-TRANSACTIONS_GROUP = "flink-group"
+EVENTS_GROUP = "basketry-events"
+TRANSACTIONS_GROUP = "basketry-transactions"
 DEFAULT_BOOTSTRAP = "localhost:9092"
 
 
@@ -41,31 +41,46 @@ def start_position(mode: str | None, timestamp_ms: str | int | None = None) -> d
 
 def kafka_options(bootstrap: str | None = None, topic: str = TOPIC, group: str = EVENTS_GROUP,
                   start_mode: str | None = "latest",
-                  start_timestamp_ms: str | int | None = None) -> dict[str, str]:
+                  start_timestamp_ms: str | int | None = None,
+                  max_offsets_per_trigger: int | None = None) -> dict[str, str]:
+    """Reader options.  Several queries of a job read the topic at once, so
+    they share a group *prefix* only: Spark makes a group of its own for each
+    (one ``kafka.group.id`` for all would split the records between them).
+    ``max_offsets_per_trigger`` bounds a micro-batch, e.g. of a first start
+    from the earliest offsets.
+    """
     opts = {
         "kafka.bootstrap.servers": bootstrap or DEFAULT_BOOTSTRAP,
         "subscribe": topic,
-        "kafka.group.id": group,
+        "groupIdPrefix": group,
         # Offsets live in the query checkpoint; a lost broker partition must
         # not stop the job silently.
         "failOnDataLoss": "true",
     }
+    if max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     opts.update(start_position(start_mode, start_timestamp_ms))
     return opts
 
 
-def transaction_kafka_options(bootstrap: str | None = None, topic: str = TOPIC) -> dict[str, str]:
+def transaction_kafka_options(bootstrap: str | None = None, topic: str = TOPIC,
+                              max_offsets_per_trigger: int | None = None) -> dict[str, str]:
     """The transaction job always starts from the earliest offsets."""
-    return kafka_options(bootstrap, topic, TRANSACTIONS_GROUP, "earliest")
+    return kafka_options(bootstrap, topic, TRANSACTIONS_GROUP, "earliest",
+                         max_offsets_per_trigger=max_offsets_per_trigger)
 
 
 def read_kafka_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:
-    """Kafka records as ``(value string, record_ts timestamp)``; the key is unused on read."""
+    """Kafka records as ``(value, record_ts, arrival)``; the key is unused on read.
+
+    ``arrival`` orders records of one time: offset, then partition.
+    """
     reader = spark.readStream.format("kafka")
     for k, v in options.items():
         reader = reader.option(k, v)
     return reader.load().select(F.col("value").cast("string").alias("value"),
-                                F.col("timestamp").alias("record_ts"))
+                                F.col("timestamp").alias("record_ts"),
+                                F.struct("offset", "partition").alias("arrival"))
 
 
 def write_kafka_options(bootstrap: str | None = None, topic: str = TOPIC) -> dict[str, str]:

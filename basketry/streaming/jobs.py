@@ -31,12 +31,14 @@ from basketry.streaming.writers import Fanout, JdbcTable, KeyedLog, ReplaceByKey
 
 WATERMARK = "5 seconds"
 CHECKPOINT_INTERVAL = "10 seconds"
+#: Record columns that give the order of writes: newest time, then arrival.
+ARRIVAL = ["record_ts", "arrival"]
 
 
 def decode_event_stream(raw: DataFrame, watermark: str | None = WATERMARK,
                         mode: str = "quarantine") -> tuple[DataFrame, DataFrame]:
     """(value, record_ts) records -> (events with event_ts + watermark, dead letters)."""
-    decoded = codec.decode_events(raw, keep=["record_ts"], mode=mode)
+    decoded = codec.decode_events(raw.select("value", "record_ts"), keep=["record_ts"], mode=mode)
     good, bad = codec.split(decoded)
     good = good.withColumn("event_ts", event_time("timestamp", "record_ts")).drop("record_ts")
     if watermark:
@@ -46,10 +48,18 @@ def decode_event_stream(raw: DataFrame, watermark: str | None = WATERMARK,
 
 def decode_transaction_stream(raw: DataFrame, mode: str = "quarantine"
                               ) -> tuple[DataFrame, DataFrame]:
-    """(value, record_ts) records -> (transactions in table form, dead letters)."""
-    decoded = codec.decode_transactions(raw, keep=["record_ts"], mode=mode)
+    """(value, record_ts, arrival) records -> (transactions in table form, dead letters).
+
+    A record without an id, category or date has no place in the result
+    tables: it is a dead letter with the reason ``null_key``.
+    """
+    decoded = codec.decode_transactions(raw, keep=ARRIVAL, mode=mode)
+    lost = (F.col("transactionId").isNull() | F.col("productCategory").isNull()
+            | F.col("transactionDate").isNull())
+    decoded = decoded.withColumn("reason", F.when(
+        F.col("reason").isNull() & lost, F.lit(codec.NULL_KEY)).otherwise(F.col("reason")))
     good, bad = codec.split(decoded)
-    return adapters.transactions_from_records(good, keep=["record_ts"]), bad
+    return adapters.transactions_from_records(good, keep=ARRIVAL), bad
 
 
 @dataclass
@@ -83,9 +93,9 @@ class Outputs:
         return os.path.join(self.root, "_checkpoints", name)
 
     # --- result tables ---------------------------------------------------
-    # files_per_batch: these tables get a bounded output per micro-batch
-    # (closed windows, changed keys); the transactions table scales with the
-    # input and keeps its parallelism (fold its files with ``compact``).
+    # files_per_batch: only where a micro-batch's output is bounded (one row
+    # per closed minute); all other tables grow with the input and keep the
+    # stream's parallelism (fold their files with ``compact``).
     def active_users(self) -> KeyedLog:
         return KeyedLog(self.path("active_users_minute"), ["minute_ts"], _AU_SCHEMA,
                         files_per_batch=1)
@@ -94,8 +104,7 @@ class Outputs:
         return ReplaceByKey(self.path("top_products_hourly"), "hour_key", _TOP_SCHEMA)
 
     def abandoned(self) -> KeyedLog:
-        return KeyedLog(self.path("abandoned_carts"), ["cart_id", "abandoned_at"], _AB_SCHEMA,
-                        files_per_batch=4)
+        return KeyedLog(self.path("abandoned_carts"), ["cart_id", "abandoned_at"], _AB_SCHEMA)
 
     def transactions(self) -> KeyedLog:
         return KeyedLog(self.path("transactions"), ["transaction_id"])
@@ -104,7 +113,7 @@ class Outputs:
         keys = {"sales_per_category": ["transaction_date", "category"],
                 "sales_per_day": ["transaction_date"],
                 "sales_per_month": ["year", "month"]}[name]
-        return KeyedLog(self.path(name), keys, files_per_batch=1)
+        return KeyedLog(self.path(name), keys)
 
 
 _AU_SCHEMA = "minute_ts timestamp, users bigint"
@@ -197,7 +206,7 @@ def start_abandoned_carts_processing_time(events: DataFrame, out: Outputs,
 
 def start_dead_letters(bad: DataFrame, out: Outputs, name: str = "quarantine",
                        trigger: dict | None = None) -> StreamingQuery:
-    log = KeyedLog(out.path(name), ["value", "reason"], files_per_batch=4)
+    log = KeyedLog(out.path(name), ["value", "reason"])
     return _start(bad, name, out, log.write_batch, "append", trigger)
 
 
@@ -226,14 +235,17 @@ def start_multi_event_job(raw: DataFrame, out: Outputs, timeout: str = carts.TIM
 
 def start_transactions_table(tx: DataFrame, out: Outputs, order: list[str] | None = None,
                              trigger: dict | None = None) -> StreamingQuery:
-    """Last write wins per transaction id: newest within a batch, newest batch across."""
+    """Last write wins per transaction id: last to arrive within a batch
+    (record time, then offset or place in the file), newest batch across."""
     from basketry.operators.sales import latest_transactions
     sink = out.with_database(out.transactions(), "transactions")
+    order = order or [*ARRIVAL, "row_order"]
 
     def batch(df: DataFrame, batch_id: int) -> None:
+        # decoding keeps a task's rows in order: this number grows along them
+        df = df.withColumn("row_order", F.monotonically_increasing_id())
         latest = latest_transactions(df, order)
-        sink.write_batch(latest.drop(*[c for c in ["record_ts"] if c in latest.columns]),
-                         batch_id)
+        sink.write_batch(latest.drop(*ARRIVAL, "row_order"), batch_id)
 
     return _start(tx, "transactions", out, batch, "append", trigger)
 
@@ -270,17 +282,20 @@ def start_sales_rollups(tx: DataFrame, out: Outputs, trigger: dict | None = None
 def start_transaction_job(raw: DataFrame, out: Outputs, trigger: dict | None = None
                           ) -> list[StreamingQuery]:
     tx, bad = decode_transaction_stream(raw)
-    # within a micro-batch: newest record first, the fixture order breaks ties
-    order = ["record_ts"] + adapters.TX_LAST_WRITE_ORDER
-    return ([start_transactions_table(tx, out, order, trigger)]
+    return ([start_transactions_table(tx, out, trigger=trigger)]
             + start_sales_rollups(tx, out, trigger)
             + [start_dead_letters(bad, out, "transaction_quarantine", trigger)])
 
 
-def await_all(queries: list[StreamingQuery], timeout_s: int = 600) -> None:
-    """Wait for availableNow / once queries; surface the first failure."""
+def await_all(queries: list[StreamingQuery], timeout_s: int | None = None) -> None:
+    """Wait for availableNow / once queries; surface the first failure.
+
+    There is no time limit unless the caller sets one.
+    """
     for q in queries:
-        if not q.awaitTermination(timeout_s):
+        if timeout_s is None:
+            q.awaitTermination()
+        elif not q.awaitTermination(timeout_s):
             q.stop()
             raise TimeoutError(f"stream {q.name} did not finish in {timeout_s}s")
         if q.exception() is not None:

@@ -33,6 +33,9 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--start-mode", default=os.environ.get("KAFKA_START_MODE", "latest"))
     p.add_argument("--start-timestamp-ms", default=os.environ.get("KAFKA_START_TIMESTAMP_MS"))
     p.add_argument("--timeout-minutes", default=os.environ.get("ABANDONED_TIMEOUT_MINUTES"))
+    p.add_argument("--max-offsets", type=int, help="Kafka records of a micro-batch, at most")
+    p.add_argument("--max-files", type=int, help="files of a micro-batch, at most")
+    p.add_argument("--state-store", help="state store provider class, e.g. RocksDB's, for large state")
     p.add_argument("--out", default=None)
     p.add_argument("--once", action="store_true", help="process what is available, then stop")
     p.add_argument("--console", action="store_true", help="also print routed events and labels")
@@ -47,7 +50,8 @@ def build_parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = build_parser().parse_args(argv)
-    spark = get_session()
+    spark = get_session(extra={"spark.sql.streaming.stateStore.providerClass": args.state_store}
+                        if args.state_store else None)
     jdbc = None
     if args.jdbc_url:
         props = {}
@@ -63,21 +67,21 @@ def main(argv: list[str] | None = None) -> None:
     out = jobs.Outputs(args.out or os.path.join(checkpoint_root(spark), "basketry-jobs"), jdbc=jdbc)
     trigger = {"availableNow": True} if args.once else None
     if args.source == "files":
-        raw = files.read_records_stream(spark, args.path)
+        raw = files.read_records_stream(spark, args.path, args.max_files)
     elif args.job == "multi-event":
         raw = kafka.read_kafka_stream(spark, kafka.kafka_options(
             args.bootstrap, args.topic, kafka.EVENTS_GROUP, args.start_mode,
-            args.start_timestamp_ms))
+            args.start_timestamp_ms, args.max_offsets))
     else:
         raw = kafka.read_kafka_stream(spark, kafka.transaction_kafka_options(
-            args.bootstrap, args.topic))
+            args.bootstrap, args.topic, args.max_offsets))
     if args.job == "multi-event":
         queries = jobs.start_multi_event_job(raw, out, timeout_from_env(args.timeout_minutes),
                                              trigger, console=args.console)
     else:
         queries = jobs.start_transaction_job(raw, out, trigger)
     if args.once:
-        jobs.await_all(queries, timeout_s=24 * 3600)
+        jobs.await_all(queries)
     else:
         spark.streams.awaitAnyTermination()
 

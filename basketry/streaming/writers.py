@@ -90,8 +90,10 @@ class KeyedLog:
         return read_parquet_or_empty(spark, self.path, None)
 
     def latest_snapshot(self, spark: SparkSession) -> int | None:
+        """Newest *published* snapshot: the committer's ``_SUCCESS`` marker is
+        written last, so a folder without it is a commit under way or killed."""
         ids = [int(d.split("=", 1)[1]) for d in _list_dirs(spark, self.snapshots)
-               if d.startswith("upto=")]
+               if d.startswith("upto=") and path_exists(spark, f"{self.snapshots}/{d}/_SUCCESS")]
         return max(ids) if ids else None
 
     def _rows(self, spark: SparkSession) -> DataFrame | None:
@@ -129,14 +131,25 @@ class KeyedLog:
         w = Window.partitionBy(*self.keys).orderBy(F.desc("batch_id"))
         (rows.filter(F.col("batch_id") <= upto)
              .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
-             .write.mode("overwrite").parquet(f"{self.snapshots}/upto={upto}"))
+             .write.mode("overwrite")
+             .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+             .parquet(f"{self.snapshots}/upto={upto}"))
         return upto
 
     def prune(self, spark: SparkSession) -> int:
-        """Delete log partitions already contained in the newest snapshot."""
+        """Delete log partitions already contained in the newest snapshot.
+
+        The snapshot is read again first: every key of those partitions must
+        be in it, or nothing is deleted.
+        """
         upto = self.latest_snapshot(spark)
-        if upto is None:
+        log = self.read_log(spark)
+        if upto is None or log is None:
             return 0
+        snap = spark.read.parquet(f"{self.snapshots}/upto={upto}").select(*self.keys)
+        old = log.filter(F.col("batch_id") <= upto).select(*self.keys)
+        if old.subtract(snap).limit(1).count():
+            raise RuntimeError(f"snapshot upto={upto} of {self.path} lacks keys of its log")
         jvm = spark._jvm
         fs = jvm.org.apache.hadoop.fs.Path(self.path).getFileSystem(
             spark._jsc.hadoopConfiguration())

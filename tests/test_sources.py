@@ -21,10 +21,11 @@ def test_kafka_options():
     o = kafka.kafka_options("broker:9092", start_mode="earliest")
     assert o["kafka.bootstrap.servers"] == "broker:9092"
     assert o["subscribe"] == "financial_transactions"
-    assert o["kafka.group.id"] == "flink-multievent"
+    assert o["groupIdPrefix"] == kafka.EVENTS_GROUP and "kafka.group.id" not in o
+    assert kafka.kafka_options(max_offsets_per_trigger=5)["maxOffsetsPerTrigger"] == "5"
     assert o["startingOffsets"] == "earliest"
     t = kafka.transaction_kafka_options()
-    assert t["kafka.group.id"] == "flink-group" and t["startingOffsets"] == "earliest"
+    assert t["groupIdPrefix"] == kafka.TRANSACTIONS_GROUP and t["startingOffsets"] == "earliest"
     assert t["kafka.bootstrap.servers"] == "localhost:9092"
 
 
