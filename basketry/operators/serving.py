@@ -33,6 +33,13 @@ def top_products_for_hour(top: DataFrame, hour: str | None = None) -> DataFrame:
     return one.withColumn("position", F.row_number().over(w).cast("bigint"))
 
 
+def events_of_hour(events: DataFrame, hour: str, ts: str = "event_ts") -> DataFrame:
+    """Events of one UTC hour ``yyyyMMddHH``: a range of the event time, which
+    reaches the scan of a table that stores it."""
+    start = F.to_timestamp(F.lit(hour), "yyyyMMddHH")
+    return events.where((F.col(ts) >= start) & (F.col(ts) < start + F.expr("INTERVAL 1 HOUR")))
+
+
 def latest_active_users(au: DataFrame, n: int = 5) -> DataFrame:
     return au.orderBy(F.desc("minute_ts")).limit(n)
 

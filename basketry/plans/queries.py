@@ -234,7 +234,8 @@ def search_top_products(spark, sf_dir):
 
 
 def serve_top_products(spark, sf_dir):
-    return serving.top_products_for_hour(_top(spark, sf_dir), SERVE_HOUR)
+    one_hour = serving.events_of_hour(_env(spark, sf_dir), SERVE_HOUR)
+    return serving.top_products_for_hour(tp_ops.top_products(one_hour), SERVE_HOUR)
 
 
 # --- carts ------------------------------------------------------------------------

@@ -24,10 +24,10 @@ from basketry.functions import codec
 from basketry.functions.money import PARTS, money_parts, money_total
 from basketry.functions.timeparse import event_time
 from basketry.operators import active_users as au_ops
-from basketry.operators import carts
+from basketry.operators import carts, documents
 from basketry.operators import top_products as tp_ops
 from basketry.sources import adapters
-from basketry.streaming.writers import Fanout, JdbcTable, KeyedLog, ReplaceByKey
+from basketry.streaming.writers import Fanout, JdbcTable, KeyedLog, ReplaceByKey, SearchIndex
 
 WATERMARK = "5 seconds"
 CHECKPOINT_INTERVAL = "10 seconds"
@@ -69,22 +69,29 @@ class Outputs:
     ``jdbc`` (optional): ``{"url": ..., "props": {...}, "dialect":
     "postgres" | "merge"}`` — keyed results are then also upserted into the
     database tables of ``schemas.DDL`` (staging table + one statement per
-    micro-batch), from the same persisted batch.
+    micro-batch), from the same persisted batch.  ``search`` (optional):
+    ``{"format": ..., "options": {...}}`` — transactions, active users and top
+    products are then also written as search documents with that connector.
     """
 
     root: str
     jdbc: dict | None = None
+    search: dict | None = None
 
     def with_database(self, files_sink, table: str, columns: list[str] | None = None,
-                      replace_key: str | None = None):
-        """``files_sink``, fanned out to the database table when configured."""
-        if not self.jdbc:
-            return files_sink
-        db = JdbcTable(self.jdbc["url"], table, schemas.TABLE_KEYS[table],
-                       self.jdbc.get("props"), self.jdbc.get("dialect", "postgres"),
-                       replace_key=replace_key)
-        shapes = {1: (lambda d: d.select(*columns))} if columns else None
-        return Fanout(files_sink, db, shapes=shapes)
+                      replace_key: str | None = None, batch_size: int = 500, to_docs=None):
+        """``files_sink``, fanned out to the database table and the search
+        index (``to_docs`` shapes its documents) where configured."""
+        sinks, shapes = [files_sink], {}
+        if self.jdbc:
+            if columns:
+                shapes[len(sinks)] = lambda d: d.select(*columns)
+            sinks.append(JdbcTable(self.jdbc["url"], table, schemas.TABLE_KEYS[table],
+                                   self.jdbc.get("props"), self.jdbc.get("dialect", "postgres"),
+                                   batch_size=batch_size, replace_key=replace_key))
+        if self.search and to_docs:
+            sinks.append(SearchIndex(to_docs, self.search["format"], self.search.get("options")))
+        return Fanout(*sinks, shapes=shapes) if len(sinks) > 1 else files_sink
 
     def path(self, name: str) -> str:
         return os.path.join(self.root, name)
@@ -133,7 +140,8 @@ def _start(df: DataFrame, name: str, out: Outputs, batch_fn, output_mode: str,
 def start_active_users(events: DataFrame, out: Outputs, trigger: dict | None = None
                        ) -> StreamingQuery:
     """Active users per window, emitted once the window closes (append)."""
-    sink = out.with_database(out.active_users(), "active_users_minute")
+    sink = out.with_database(out.active_users(), "active_users_minute",
+                             to_docs=documents.active_user_docs)
     return _start(au_ops.active_users_stream(events), "active_users", out,
                   sink.write_batch, "append", trigger)
 
@@ -145,7 +153,8 @@ def start_top_products(events: DataFrame, out: Outputs, n: int = tp_ops.TOP_N,
     batch (all its rows arrive together) and replaces its partition."""
     # each closed hour replaces its members in both stores (no leftovers)
     sink = out.with_database(out.top_products(), "top_products_hourly",
-                             ["hour_ts", "product_id", "amount"], replace_key="hour_ts")
+                             ["hour_ts", "product_id", "amount"], replace_key="hour_ts",
+                             to_docs=documents.top_product_docs)
 
     def batch(df: DataFrame, batch_id: int) -> None:
         top = tp_ops.top_n(df, n).withColumn("hour_key", F.date_format("hour_ts", "yyyyMMddHH"))
@@ -194,14 +203,20 @@ def start_abandoned_carts_processing_time(events: DataFrame, out: Outputs,
                                           trigger: dict | None = None) -> StreamingQuery:
     """E3: the wall-clock timer machine (``transformWithStateInPandas``).
 
-    Sets the RocksDB state store provider, which this operator requires; the
-    provider is recorded in the query checkpoint.
+    This operator needs the RocksDB state store provider.  A query takes the
+    session's settings when it starts (and keeps the provider in its
+    checkpoint), so the setting holds for the start only.
     """
     from basketry.streaming.stateful import ROCKSDB, abandoned_carts_processing_time
-    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     log = KeyedLog(out.path("abandoned_carts_pt"), ["cart_id", "abandoned_at"], _AB_SCHEMA)
-    return _start(abandoned_carts_processing_time(events, timeout), "abandoned_carts_pt", out,
-                  log.write_batch, "append", trigger)
+    conf, key = events.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(key)
+    conf.set(key, ROCKSDB)
+    try:
+        return _start(abandoned_carts_processing_time(events, timeout), "abandoned_carts_pt", out,
+                      log.write_batch, "append", trigger)
+    finally:
+        conf.set(key, before)
 
 
 def start_dead_letters(bad: DataFrame, out: Outputs, name: str = "quarantine",
@@ -227,10 +242,23 @@ def start_multi_event_job(raw: DataFrame, out: Outputs, timeout: str = carts.TIM
             start_console(ev_ops.active_users_label(au_ops.active_users_stream(events)),
                           "print_active_users", trigger=trigger),
             start_console(ev_ops.abandoned_label(carts.abandoned_carts(events, timeout)),
-                          "print_abandoned", trigger=trigger)]
+                          "print_abandoned", trigger=trigger),
+            start_top_n_labels(events, out, trigger=trigger)]
     return queries
 
 
+def start_top_n_labels(events: DataFrame, out: Outputs, n: int = tp_ops.TOP_N,
+                       trigger: dict | None = None) -> StreamingQuery:
+    """Print a label per closed hour of top products (debugging only)."""
+    from basketry.operators.events import top_n_label
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        top_n_label(tp_ops.nest_top_n(tp_ops.top_n(df, n))).show(truncate=False)
+
+    return _start(tp_ops.product_sales_windowed(events), "print_top_products", out, batch,
+                  "append", trigger)
+
+
 # --- transaction job -------------------------------------------------------------
 
 def start_transactions_table(tx: DataFrame, out: Outputs, order: list[str] | None = None,
@@ -238,7 +266,8 @@ def start_transactions_table(tx: DataFrame, out: Outputs, order: list[str] | Non
     """Last write wins per transaction id: last to arrive within a batch
     (record time, then offset or place in the file), newest batch across."""
     from basketry.operators.sales import latest_transactions
-    sink = out.with_database(out.transactions(), "transactions")
+    sink = out.with_database(out.transactions(), "transactions", batch_size=1000,
+                             to_docs=documents.transaction_docs)
     order = order or [*ARRIVAL, "row_order"]
 
     def batch(df: DataFrame, batch_id: int) -> None:
@@ -279,12 +308,14 @@ def start_sales_rollups(tx: DataFrame, out: Outputs, trigger: dict | None = None
     return queries
 
 
-def start_transaction_job(raw: DataFrame, out: Outputs, trigger: dict | None = None
-                          ) -> list[StreamingQuery]:
+def start_transaction_job(raw: DataFrame, out: Outputs, trigger: dict | None = None,
+                          console: bool = False) -> list[StreamingQuery]:
+    """Table, roll-ups and dead letters; ``console`` also prints the decoded stream."""
     tx, bad = decode_transaction_stream(raw)
+    printed = [start_console(tx.drop(*ARRIVAL), "print_transactions", trigger=trigger)] if console else []
     return ([start_transactions_table(tx, out, trigger=trigger)]
             + start_sales_rollups(tx, out, trigger)
-            + [start_dead_letters(bad, out, "transaction_quarantine", trigger)])
+            + [start_dead_letters(bad, out, "transaction_quarantine", trigger)] + printed)
 
 
 def await_all(queries: list[StreamingQuery], timeout_s: int | None = None) -> None:

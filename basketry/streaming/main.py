@@ -43,6 +43,9 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--jdbc-user")
     p.add_argument("--jdbc-driver", help="JDBC driver class, e.g. org.postgresql.Driver")
     p.add_argument("--jdbc-dialect", choices=["postgres", "merge"], default="postgres")
+    p.add_argument("--search-format", help="connector that also gets results as search documents")
+    p.add_argument("--search-option", action="append", default=[], metavar="KEY=VALUE")
+    p.add_argument("--publish-topic", help="also publish decoded events to this Kafka topic (multi-event)")
     p.add_argument("--create-tables", action="store_true",
                    help="run the result-table DDL (PostgreSQL dialect) once at start")
     return p
@@ -64,7 +67,11 @@ def main(argv: list[str] | None = None) -> None:
         jdbc = {"url": args.jdbc_url, "props": props, "dialect": args.jdbc_dialect}
         if args.create_tables:
             jdbc_execute(spark, args.jdbc_url, list(schemas.DDL.values()), props)
-    out = jobs.Outputs(args.out or os.path.join(checkpoint_root(spark), "basketry-jobs"), jdbc=jdbc)
+    search = None
+    if args.search_format:
+        search = {"format": args.search_format, "options": dict(o.split("=", 1) for o in args.search_option)}
+    out = jobs.Outputs(args.out or os.path.join(checkpoint_root(spark), "basketry-jobs"), jdbc=jdbc,
+                       search=search)
     trigger = {"availableNow": True} if args.once else None
     if args.source == "files":
         raw = files.read_records_stream(spark, args.path, args.max_files)
@@ -78,8 +85,12 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "multi-event":
         queries = jobs.start_multi_event_job(raw, out, timeout_from_env(args.timeout_minutes),
                                              trigger, console=args.console)
+        if args.publish_topic:
+            events, _ = jobs.decode_event_stream(raw, watermark=None)
+            queries.append(jobs.start_kafka_publish(
+                events, out, kafka.write_kafka_options(args.bootstrap, args.publish_topic), trigger))
     else:
-        queries = jobs.start_transaction_job(raw, out, trigger)
+        queries = jobs.start_transaction_job(raw, out, trigger, console=args.console)
     if args.once:
         jobs.await_all(queries)
     else:

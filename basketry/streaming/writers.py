@@ -330,6 +330,22 @@ class JdbcTable:
                 time.sleep(self.backoff_s * (2 ** attempt))
 
 
+class SearchIndex:
+    """Search documents (index, id, doc) written with a configurable connector.
+
+    ``fmt`` and ``options`` are the deployment's (e.g. a search engine's Spark
+    connector with the id column mapped to the document id, so a replayed
+    batch overwrites its documents); ``to_docs`` shapes the rows.
+    """
+
+    def __init__(self, to_docs, fmt: str, options: dict | None = None, mode: str = "append"):
+        self.to_docs, self.fmt, self.options, self.mode = to_docs, fmt, dict(options or {}), mode
+
+    def write_batch(self, df: DataFrame, batch_id: int) -> None:
+        docs = self.to_docs(df)
+        docs.write.format(self.fmt).mode(self.mode).options(**self.options).save()
+
+
 class Fanout:
     """Write one micro-batch to several sinks, computing it once.
 

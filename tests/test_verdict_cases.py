@@ -113,3 +113,21 @@ def test_shared_folder_is_required_on_a_cluster():
 
     with pytest.raises(ValueError):
         checkpoint_root(Session())
+
+
+def test_search_documents_are_written(spark):
+    folder = work_path(spark, "t_docs")
+    out = jobs.Outputs(work_path(spark, "t_search"), search={"format": "json", "options": {"path": folder}})
+    in_dir = out.path("_input")
+    _write_lines(spark, in_dir, [_tx("t1", amount=2.5), _tx("t2")])
+    tx, _ = jobs.decode_transaction_stream(files.read_records_stream(spark, in_dir))
+    jobs.await_all([jobs.start_transactions_table(tx, out, trigger=ONCE)])
+    docs = spark.read.json(folder).collect()
+    assert sorted((d["index"], d["id"]) for d in docs) == [("transactions", "t1"), ("transactions", "t2")]
+    assert json.loads(sorted(docs, key=lambda d: d["id"])[0]["doc"])["totalAmount"] == 2.5
+
+
+def test_hour_read_reaches_the_scan(spark):
+    from basketry.plans.queries import serve_top_products
+    plan = serve_top_products(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan
