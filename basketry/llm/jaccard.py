@@ -35,6 +35,9 @@ from .flat import mix
 from .rtree import PackedRTree, needed
 
 GROUPS = 64
+#: Bits of the parity sketch: the items' counts modulo two in as many finer groups.
+#: Two sets differ in at least as many items as their sketches in bits.
+PARITY = 2048
 #: Items that the common order puts last, at most: an order, so it changes no result.
 FREQUENT = 1 << 18
 #: Bytes of text whose items are counted together, and texts that make one frequent.
@@ -118,15 +121,34 @@ def prefixes(item: np.ndarray, first: np.ndarray, frequent: tuple, percent: int)
     return item[order][keep], doc[keep]
 
 
-def points(item: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Group counts of each set."""
+def sketches(item: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Per set, as bytes: group counts (its point) and the parity of finer groups."""
     n = np.diff(first)
-    cell = np.repeat(np.arange(len(n)), n) * GROUPS + (item >> np.uint64(17)).astype(np.int64) % GROUPS
-    return np.bincount(cell, minlength=len(n) * GROUPS).reshape(-1, GROUPS).astype(np.int32)
+    fine = (item >> np.uint64(17)).astype(np.int64) % PARITY
+    cells = np.bincount(np.repeat(np.arange(len(n)), n) * PARITY + fine, minlength=len(n) * PARITY)
+    cells = cells.reshape(-1, PARITY)
+    point = cells.reshape(len(n), GROUPS, -1).sum(axis=2).astype(np.int32)
+    return np.concatenate([point.view(np.uint8), np.packbits((cells & 1).astype(bool), axis=1)], axis=1)
+
+
+def read_sketches(column) -> tuple[np.ndarray, np.ndarray]:
+    """Points and parities of a column of sketches."""
+    raw = np.frombuffer(b"".join(column), np.uint8).reshape(-1, 4 * GROUPS + PARITY // 8)
+    return (np.ascontiguousarray(raw[:, :4 * GROUPS]).view(np.int32),
+            np.ascontiguousarray(raw[:, 4 * GROUPS:]).view(np.uint64))
+
+
+def may_link(x: tuple, y: tuple, percent: int) -> np.ndarray:
+    """Do the bounds of two (broadcast) sketches allow the similarity?"""
+    na, nb = x[0].sum(axis=-1), y[0].sum(axis=-1)
+    least = needed(na, nb, percent)
+    most = na + nb - 2 * least  # items that may differ
+    differ = np.bitwise_count(x[1] ^ y[1]).sum(axis=-1, dtype=np.int64)
+    return (np.minimum(x[0], y[0]).sum(axis=-1) >= least) & (differ <= most)
 
 
 def features(docs: DataFrame, k: int, percent: int, frequent: tuple) -> DataFrame:
-    """doc_id, rk, n_shingles, node, point and keys (only at a node's first row of a task)."""
+    """doc_id, rk, n_shingles, node, sketch and keys (only at a node's first row of a task)."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,46 +169,76 @@ def features(docs: DataFrame, k: int, percent: int, frequent: tuple) -> DataFram
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)),
                     pa.array(key[own].view(np.int64)))
-                point = points(item, first)
-                raw = [p.tobytes() if f else None for p, f in zip(point, fresh)]
+                raw = [p.tobytes() if f else None for p, f in zip(sketches(item, first), fresh)]
                 yield pa.record_batch(
                     [b.column(0).slice(i, j - i), b.column(1).slice(i, j - i),
                      pa.array(np.diff(first).astype(np.int64)), pa.array(node),
                      pa.array(raw, pa.binary()), lists],
-                    names=["doc_id", "rk", "n_shingles", "node", "point", "keys"])
+                    names=["doc_id", "rk", "n_shingles", "node", "sketch", "keys"])
 
     return docs.select(F.col("doc_id").cast("long"), "rk", "text").mapInArrow(
-        run, "doc_id long, rk long, n_shingles long, node long, point binary, keys array<long>")
-
-
-def _points(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.int32).reshape(-1, GROUPS)
+        run, "doc_id long, rk long, n_shingles long, node long, sketch binary, keys array<long>")
 
 
 def bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose overlap bound reaches the similarity."""
-    side = [nodes.select(F.col("node").alias(x), F.col("point").alias(f"p{x}")) for x in "ab"]
+    """Pairs (a, b) whose bounds allow the similarity."""
+    side = [nodes.select(F.col("node").alias(x), F.col("sketch").alias(f"s{x}")) for x in "ab"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                x, y = (_points(b.column(c).to_pylist()) for c in ("pa", "pb"))
-                bound = np.minimum(x, y).sum(axis=1)
-                keep = pa.array(bound >= needed(x.sum(axis=1), y.sum(axis=1), percent))
+                x, y = (read_sketches(b.column(c).to_pylist()) for c in ("sa", "sb"))
+                keep = pa.array(may_link(x, y, percent))
                 yield pa.record_batch([b.column("a").filter(keep), b.column("b").filter(keep)], names=["a", "b"])
 
-    return (pairs.join(side[0], "a").join(side[1], "b").select("a", "b", "pa", "pb")
+    return (pairs.join(side[0], "a").join(side[1], "b").select("a", "b", "sa", "sb")
             .mapInArrow(run, "a long, b long"))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int, name: str) -> DataFrame:
-    """Pairs whose sets reach the similarity.
-
-    The sets are made again from the texts, only for nodes in ``pairs``: a
-    fixed-size sieve spares the others the shuffle, the joins decide.
+def overlap(x: np.ndarray, y: np.ndarray) -> int:
+    both = np.concatenate([x, y])
+    both.sort()
+    return int((both[1:] == both[:-1]).sum())
+
+
+def links_within(part: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the true links of a part: bounds by the tree, then the sets themselves."""
+    left, right = linkage.sides(part)
+    if not len(left) or not len(right):
+        return []
+    x, y = read_sketches(left["sketch"]), read_sketches(right["sketch"])
+    tree = PackedRTree(y[0])
+    a, b = left["node"].tolist(), right["node"].tolist()
+    sa, sb = ([np.frombuffer(i, np.uint64) for i in g["items"]] for g in (left, right))
+    root = {n: n for n in a} | {n: n for n in b}
+    out: list[tuple[int, int]] = []
+    for k, node in enumerate(a):
+        hits = tree.search(x[0][k], percent)
+        hits = hits[may_link((x[0][k], x[1][k]), (y[0][hits], y[1][hits]), percent)]
+        for h in hits.tolist():
+            u, v = _find(root, node), _find(root, b[h])
+            if u != v:
+                same = overlap(sa[k], sb[h])
+                if 100 * same >= percent * (len(sa[k]) + len(sb[h]) - same):
+                    root[max(u, v)] = min(u, v)
+                    out.append((max(node, b[h]), min(node, b[h])))
+    return out
+
+
+def _find(root: dict, x: int) -> int:
+    while root[x] != x:
+        root[x] = x = root[root[x]]
+    return x
+
+
+def verified(roots: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (a, b) within clusters that join the sets' true components.
+
+    The sets are made again from the texts, only for clustered nodes: a
+    fixed-size sieve spares the others the shuffle, the joins decide.  A
+    cluster is searched in parts of two chunks, so none meets in one task.
     """
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
-    shared = docs.sparkSession.sparkContext.broadcast(linkage.sieve(wanted))
+    shared = docs.sparkSession.sparkContext.broadcast(linkage.sieve(roots))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -202,24 +254,12 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int, name: str)
                         [pa.array(node[own]), pa.array([item[first[x]:first[x + 1]].tobytes() for x in own], pa.binary())],
                         names=["node", "items"])
 
-    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = []
-            for x, y in zip(b.column("ia").to_pylist(), b.column("ib").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = np.concatenate([x, y])
-                both.sort()
-                same = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * same >= percent * (len(x) + len(y) - same))
-            keep = pa.array(keep, pa.bool_())
-            yield pa.record_batch([b.column("a").filter(keep), b.column("b").filter(keep)], names=["a", "b"])
-
+    size = roots.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
     made = docs.select("text").mapInArrow(sets, "node long, items binary")
-    items = cut(made.join(wanted.distinct(), "node", "left_semi").dropDuplicates(["node"]), f"{name}-sets")
-    x = items.select(F.col("node").alias("a"), F.col("items").alias("ia"))
-    y = items.select(F.col("node").alias("b"), F.col("items").alias("ib"))
-    return cut(pairs.join(x, "a").join(y, "b").select("a", "b", "ia", "ib")
-               .mapInArrow(test, "a long, b long"), f"{name}-links")
+    members = (roots.join(size, "root").join(nodes, "node")
+               .join(made.dropDuplicates(["node"]), "node"))
+    dealt = linkage.chunk_pairs(members, "root", "size")
+    return cut(linkage.search_parts(dealt, "root", lambda part: links_within(part, percent), "a long, b long"), "links")
 
 
 def similar_groups(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
@@ -231,25 +271,24 @@ def similar_groups(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"),
                        row_key(F.col("doc_id"), F.col("text")).alias("rk"))
     feats = cut(features(docs, k, percent, frequent_items(docs, k)), "shingles")
-    nodes = (feats.where("point is not null").select("node", "point").dropDuplicates(["node"]))
+    nodes = feats.where("sketch is not null").select("node", "sketch").dropDuplicates(["node"])
     multi = linkage.stars(feats.select("node", F.explode("keys").alias("key")), "shared-items")
 
-    pairs = multi.select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
-    pairs = cut(bounded(pairs, nodes, percent), "near-pairs")
-    links = verified(pairs, docs, k, percent, "first")
-    roots = cut(linkage.components(links, "components"), "roots")
-
     def near(left: pd.DataFrame, right: pd.DataFrame):
-        tree, mine = PackedRTree(_points(right["point"])), _points(left["point"])
-        hits = [tree.search(p, percent) for p in mine]
-        return np.repeat(np.arange(len(mine)), [len(h) for h in hits]), np.concatenate(hits)
-
-    members = linkage.open_keys(multi, roots).join(nodes, "node")
-    more = linkage.cross_pairs(members, near, "cross-pairs", "point")
-    more = cut(more.join(pairs, ["a", "b"], "left_anti"), "new-pairs")
-    if more.limit(1).count():
-        links = links.union(verified(more, docs, k, percent, "second"))
-        roots = cut(linkage.components(links, "components"), "roots")
+        x, y = read_sketches(left["sketch"]), read_sketches(right["sketch"])
+        tree, a, b = PackedRTree(y[0]), [], []
+        for i in range(len(left)):
+            hits = tree.search(x[0][i], percent)
+            hits = hits[may_link((x[0][i], x[1][i]), (y[0][hits], y[1][hits]), percent)]
+            a.append(np.full(len(hits), i))
+            b.append(hits)
+        return np.concatenate(a), np.concatenate(b)
+
+    pairs = multi.select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
+    star = cut(bounded(pairs, nodes, percent), "near-stars")
+    grouped = linkage.clusters(multi, star, lambda p: bounded(p, nodes, percent), nodes, near, "sets")
+    links = verified(grouped, nodes, docs, k, percent)
+    roots = cut(linkage.components(links, "linked"), "linked-roots")
 
     least = feats.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("d"))
     least = least.join(roots, "node", "left").select("node", "d", F.coalesce("root", "node").alias("root"))

@@ -1,10 +1,11 @@
 """From shared keys to groups, without all pairs of a key.
 
 Rows (key, node) say which nodes may be linked.  First every node of a key is
-paired with the key's least node only; verified pairs form components.  Then
-keys whose nodes still lie in several components are searched once more, just
-for pairs of different components.  No link that changes a component is lost:
-two nodes of a key are either already together or compared.
+paired with the key's least node only; pairs that pass a bound form clusters.
+Keys whose nodes still lie in several clusters are searched once more for
+pairs of different clusters; from a large key only a spanning forest of the
+pairs that pass the bound is kept.  Two nodes that are linked pass the bound,
+so they end in one cluster: links are then verified within clusters.
 """
 
 from __future__ import annotations
@@ -18,8 +19,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import cut, shuffle_width
 
-#: Rows of one side when a large key is searched; larger keys become pairs of chunks.
-CHUNK = 2_000
+#: Keys of up to this many nodes give all pairs of different clusters (at most SMALL / 2 a row).
+SMALL = 16
+#: Rows of one side when a larger group is searched; larger groups become pairs of chunks.
+CHUNK = 4_000
 #: Bits of the set that spares nodes of no interest a shuffle (any size gives the same result).
 SIEVE = 1 << 22
 
@@ -103,51 +106,137 @@ def open_keys(multi: DataFrame, roots: DataFrame) -> DataFrame:
     return m.select("key", "node", "root").union(reps)
 
 
-def cross_pairs(members: DataFrame, near: Callable[[pd.DataFrame, pd.DataFrame], tuple], name: str,
-                features: str) -> DataFrame:
-    """(a, b) of different roots that share a key and pass ``near``.
+def small_pairs(members: DataFrame) -> DataFrame:
+    """(a, b) of different roots for keys of at most SMALL nodes (key, node, root, size)."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    dealt = (members.where(F.col("size") <= SMALL).select("key", "node", "root")
+             .repartition(shuffle_width(members.sparkSession), "key").sortWithinPartitions("key"))
 
-    ``members``: key, node, root and the columns ``near`` looks at.  A key's
-    rows are dealt into chunks by node, and every pair of chunks is searched
-    on its own, so no task holds more than two chunks whatever the key's size.
-    ``near(left, right)`` returns two arrays of positions.
-    """
-    size = members.groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
-    chunks = F.ceil(F.col("rows") / CHUNK).cast("int")
-    m = (members.join(size, "key").withColumn("chunks", chunks).drop("rows")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((3, 0), np.int64)  # the last rows may belong to the next batch's first key
+        for b in batches:
+            rows = np.concatenate([held, np.stack([c.to_numpy() for c in b.columns])], axis=1)
+            found = []
+            for d in range(1, SMALL):
+                key, node, root = rows[:, d:]
+                near = (key == rows[0, :-d]) & (root != rows[2, :-d]) & (np.arange(len(key)) + d >= held.shape[1])
+                if near.any():
+                    found.append(np.stack([node[near], rows[1, :-d][near]]))
+            held = rows[:, -SMALL:]
+            if found:
+                x = np.concatenate(found, axis=1)
+                x = np.unique(np.stack([x.max(axis=0), x.min(axis=0)]), axis=1)
+                yield pa.record_batch([pa.array(x[0]), pa.array(x[1])], schema=schema)
+
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def chunk_pairs(members: DataFrame, group: str, size: str) -> DataFrame:
+    """Rows dealt so that any two rows of a group meet in one part (group, i, j) of two chunks at most."""
+    m = (members.withColumn("chunks", F.ceil(F.col(size) / CHUNK).cast("int"))
          .withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
          .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
          .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-         .drop("chunks", "other"))
-    columns = m.columns
-    dealt = (m.repartition(shuffle_width(members.sparkSession), "key", "i", "j")
-             .sortWithinPartitions("key", "i", "j"))
-
-    def search(g: pd.DataFrame) -> np.ndarray:
-        i, j = g["i"].iat[0], g["j"].iat[0]
-        left = g[g["own"] == i]
-        right = left if i == j else g[g["own"] == j]
-        if not len(left) or not len(right):
-            return np.zeros((0, 2), np.int64)
-        x, y = near(left, right)
-        a, b = left["node"].to_numpy()[x], right["node"].to_numpy()[y]
-        other = left["root"].to_numpy()[x] != right["root"].to_numpy()[y]
-        return np.unique(np.stack([np.maximum(a, b)[other], np.minimum(a, b)[other]], axis=1), axis=0)
+         .drop("chunks", "other", size))
+    return (m.repartition(shuffle_width(members.sparkSession), group, "i", "j")
+            .sortWithinPartitions(group, "i", "j"))
+
+
+def forest(a: np.ndarray, b: np.ndarray, root: dict) -> list[tuple[int, int]]:
+    """The pairs (a, b) that join two trees; ``root`` holds the trees and is kept up."""
+
+    def find(x):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    out = []
+    for x, y in zip(a.tolist(), b.tolist()):
+        u, v = find(x), find(y)
+        if u != v:
+            root[max(u, v)] = min(u, v)
+            out.append((max(x, y), min(x, y)))
+    return out
+
+
+def search_parts(dealt: DataFrame, group: str, search: Callable[[pd.DataFrame], list], columns: str) -> DataFrame:
+    """``search`` each part of ``chunk_pairs``; it returns tuples of ``columns``."""
+    names = [c.split()[0] for c in columns.split(", ")]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None  # rows of a group that the next batch may go on with: two chunks at most
+        held: list[pd.DataFrame] = []  # rows of the open part: two chunks at most
+        last = None
         for f in frames:
-            f = f if held is None else pd.concat([held, f], ignore_index=True)
             if not len(f):
                 continue
-            k = f[["key", "i", "j"]].to_numpy()
-            cuts = np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1
-            out = [search(f.iloc[s:e]) for s, e in zip([0, *cuts[:-1]], cuts)]
-            held = f.iloc[cuts[-1]:] if len(cuts) else f
+            k = f[[group, "i", "j"]].to_numpy()
+            cuts = [0, *(np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1).tolist(), len(f)]
+            out = []
+            for s, e in zip(cuts, cuts[1:]):
+                now = tuple(k[s])
+                if held and now != last:
+                    out += search(pd.concat(held, ignore_index=True))
+                    held = []
+                held.append(f.iloc[s:e])
+                last = now
             if out:
-                yield pd.DataFrame(np.unique(np.concatenate(out), axis=0), columns=["a", "b"])
-        if held is not None and len(held):
-            yield pd.DataFrame(search(held), columns=["a", "b"])
+                yield pd.DataFrame(out, columns=names)
+        if held:
+            yield pd.DataFrame(search(pd.concat(held, ignore_index=True)), columns=names)
 
-    assert set(features.split()) <= set(columns)
-    return cut(dealt.mapInPandas(run, "a long, b long").distinct(), name)
+    return dealt.mapInPandas(run, columns)
+
+
+def sides(part: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """The two chunks of a part (the same one twice where a chunk meets itself)."""
+    i, j = part["i"].iat[0], part["j"].iat[0]
+    left = part[part["own"] == i]
+    return left, (left if i == j else part[part["own"] == j])
+
+
+def large_forest(members: DataFrame, near: Callable[[pd.DataFrame, pd.DataFrame], tuple]) -> DataFrame:
+    """(a, b): a spanning forest, per part of a large key, of the pairs of different roots that pass.
+
+    ``members``: key, node, root, size and the columns ``near`` looks at;
+    ``near(left, right)`` returns two arrays of positions.
+    """
+
+    def search(part: pd.DataFrame) -> list:
+        left, right = sides(part)
+        if not len(left) or not len(right):
+            return []
+        x, y = near(left, right)
+        ra, rb = left["root"].to_numpy()[x], right["root"].to_numpy()[y]
+        other = ra != rb
+        x, y, ra, rb = x[other], y[other], ra[other], rb[other]
+        # one pair for each two clusters, then a forest over the clusters
+        pairs = np.stack([np.maximum(ra, rb), np.minimum(ra, rb)], axis=1)
+        _, first = np.unique(pairs, axis=0, return_index=True)
+        trees = {r: r for r in np.unique(pairs).tolist()}
+        nodes = {}
+        for k in first.tolist():
+            nodes[int(pairs[k, 0]), int(pairs[k, 1])] = (int(left["node"].iat[x[k]]), int(right["node"].iat[y[k]]))
+        kept = forest(pairs[first, 0], pairs[first, 1], trees)
+        return [(max(nodes[p]), min(nodes[p])) for p in kept]
+
+    dealt = chunk_pairs(members.where(F.col("size") > SMALL), "key", "size")
+    return search_parts(dealt, "key", search, "a long, b long").distinct()
+
+
+def clusters(multi: DataFrame, star: DataFrame, bounded: Callable[[DataFrame], DataFrame], nodes: DataFrame,
+             near: Callable, name: str) -> DataFrame:
+    """(node, root) of the clusters that all linked nodes lie in.
+
+    ``star``: pairs of ``multi`` that pass the bound; ``bounded`` keeps the
+    pairs (a, b) that do; ``nodes``: node and the columns for ``near``.
+    """
+    roots = cut(components(star, f"{name}-stars"), f"{name}-star-roots")
+    seen = open_keys(multi, roots)
+    size = seen.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    seen = cut(seen.join(size, "key"), f"{name}-open")
+    small = cut(bounded(small_pairs(seen)), f"{name}-small")
+    large = cut(large_forest(seen.where(F.col("size") > SMALL).join(nodes, "node"), near), f"{name}-large")
+    more = small.union(large)
+    if not more.limit(1).count():
+        return roots
+    return cut(components(star.union(more), f"{name}-components"), f"{name}-roots")

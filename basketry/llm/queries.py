@@ -90,4 +90,27 @@ QUERIES = {
     "op10_subset_sum_mixing": op10_subset_sum_mixing,
 }
 
-ORACLE: dict[str, str] = {}
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+# The other operators learn, estimate or search for a near-optimum: no SQL
+# gives their rows; their tests use brute force, round trips and held-out rows.
+ORACLE = {
+    "op7_count_vector_jaccard": f"""
+        WITH RECURSIVE w AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+                                            '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+        s AS (
+          SELECT doc_id, unnest(list_distinct(CASE
+                   WHEN len(ws) >= 3 THEN [ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] FOR i IN range(1, len(ws) - 1)]
+                   WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END)) AS sh FROM w),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+        pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+                  FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        links AS (SELECT x, y FROM pairs JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
+                  WHERE 100 * c >= 90 * (p.n + q.n - c)),
+        reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+        SELECT d.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles,
+               least(d.doc_id, coalesce(min(reach.y), d.doc_id)) AS component_id
+        FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN reach ON reach.x = d.doc_id
+        GROUP BY d.doc_id""",
+}

@@ -58,6 +58,7 @@ def test_groups_equal_brute_force(spark, k, percent, seed):
 
 def test_chunks_of_a_large_key(spark, monkeypatch):
     monkeypatch.setattr(linkage, "CHUNK", 3)
+    monkeypatch.setattr(linkage, "SMALL", 2)
     rows = corpus(5)
     got = {r["doc_id"]: r["component_id"] for r in jaccard.similar_groups(texts(spark, rows), 2, 50).collect()}
     assert [got[i] for i in range(len(rows))] == [c for _, c in brute(rows, 2, 50)]
