@@ -35,9 +35,10 @@ from .flat import mix
 from .rtree import PackedRTree, needed
 
 GROUPS = 64
-#: Bits of the parity sketch: the items' counts modulo two in as many finer groups.
-#: Two sets differ in at least as many items as their sketches in bits.
-PARITY = 2048
+#: Bits of a parity sketch: the items' counts modulo two in as many fine groups,
+#: about as many as the set has items.  Two sets differ in at least as many
+#: items as their sketches do in bits; a longer sketch folds to a shorter one.
+LEAST_BITS, MOST_BITS = 64, 4096
 #: Items that the common order puts last, at most: an order, so it changes no result.
 FREQUENT = 1 << 18
 #: Bytes of text whose items are counted together, and texts that make one frequent.
@@ -121,30 +122,68 @@ def prefixes(item: np.ndarray, first: np.ndarray, frequent: tuple, percent: int)
     return item[order][keep], doc[keep]
 
 
-def sketches(item: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Per set, as bytes: group counts (its point) and the parity of finer groups."""
-    n = np.diff(first)
-    fine = (item >> np.uint64(17)).astype(np.int64) % PARITY
-    cells = np.bincount(np.repeat(np.arange(len(n)), n) * PARITY + fine, minlength=len(n) * PARITY)
-    cells = cells.reshape(-1, PARITY)
-    point = cells.reshape(len(n), GROUPS, -1).sum(axis=2).astype(np.int32)
-    return np.concatenate([point.view(np.uint8), np.packbits((cells & 1).astype(bool), axis=1)], axis=1)
-
+def sketch_bits(n: np.ndarray) -> np.ndarray:
+    """Bits of the sketches of sets of ``n`` items: a power of two."""
+    return np.clip(2 ** np.floor(np.log2(np.maximum(n, 1))), LEAST_BITS, MOST_BITS).astype(np.int64)
 
-def read_sketches(column) -> tuple[np.ndarray, np.ndarray]:
-    """Points and parities of a column of sketches."""
-    raw = np.frombuffer(b"".join(column), np.uint8).reshape(-1, 4 * GROUPS + PARITY // 8)
-    return (np.ascontiguousarray(raw[:, :4 * GROUPS]).view(np.int32),
-            np.ascontiguousarray(raw[:, 4 * GROUPS:]).view(np.uint64))
 
+def sketches(item: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """Per set: its size (8 bytes) and the parity of its fine groups, folded to its number of bits.
 
-def may_link(x: tuple, y: tuple, percent: int) -> np.ndarray:
-    """Do the bounds of two (broadcast) sketches allow the similarity?"""
-    na, nb = x[0].sum(axis=-1), y[0].sum(axis=-1)
-    least = needed(na, nb, percent)
-    most = na + nb - 2 * least  # items that may differ
-    differ = np.bitwise_count(x[1] ^ y[1]).sum(axis=-1, dtype=np.int64)
-    return (np.minimum(x[0], y[0]).sum(axis=-1) >= least) & (differ <= most)
+    Fold x keeps the lower bits of a group's number, so sketches of different
+    lengths compare at the shorter one.
+    """
+    n = np.diff(first)
+    doc = np.repeat(np.arange(len(n)), n)
+    bits = sketch_bits(n)
+    at = np.concatenate([[0], np.cumsum(bits)])
+    cell = at[:-1][doc] + ((item >> np.uint64(17)).astype(np.int64) & (bits[doc] - 1))
+    odd = np.packbits((np.bincount(cell, minlength=int(at[-1])) & 1).astype(bool), bitorder="little").tobytes()
+    return [int(c).to_bytes(8, "little") + odd[s // 8:e // 8]
+            for c, s, e in zip(n.tolist(), at[:-1].tolist(), at[1:].tolist())]
+
+
+class Sketches:
+    """Sizes and parities of some sketches; parities of each length lie in one array."""
+
+    def __init__(self, column):
+        raw = list(column)
+        self.n = np.asarray([int.from_bytes(r[:8], "little") for r in raw], np.int64)
+        self.bits = np.asarray([8 * (len(r) - 8) for r in raw], np.int64)
+        self.raw = raw
+        self._folded: dict[int, np.ndarray] = {}
+
+    def at(self, bits: int) -> np.ndarray:
+        """All parities (of at least ``bits`` bits) folded to ``bits``; shorter ones are zero rows."""
+        if bits not in self._folded:
+            out = np.zeros((len(self.raw), bits // 64), np.uint64)
+            for size in np.unique(self.bits[self.bits >= bits]).tolist():
+                rows = np.flatnonzero(self.bits == size)
+                whole = np.frombuffer(b"".join(self.raw[r][8:] for r in rows), np.uint64)
+                out[rows] = np.bitwise_xor.reduce(whole.reshape(len(rows), size // bits, bits // 64), axis=1)
+            self._folded[bits] = out
+        return self._folded[bits]
+
+
+def may_link(x: Sketches, i: np.ndarray, y: Sketches, j: np.ndarray, percent: int) -> np.ndarray:
+    """Do the sizes and sketches of the rows ``i`` of x and ``j`` of y allow the similarity?"""
+    na, nb = x.n[i], y.n[j]
+    most = na + nb - 2 * needed(na, nb, percent)  # items that may differ
+    keep = (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)) & (np.abs(na - nb) <= most)
+    bits = np.minimum(x.bits[i], y.bits[j])
+    for size in np.unique(bits[keep]).tolist():
+        own = np.flatnonzero(keep & (bits == size))
+        differ = np.bitwise_count(x.at(size)[i[own]] ^ y.at(size)[j[own]]).sum(axis=1, dtype=np.int64)
+        keep[own] = differ <= most[own]
+    return keep
+
+
+def points(sets: list[np.ndarray]) -> np.ndarray:
+    """Group counts of each set."""
+    n = np.asarray([len(x) for x in sets], np.int64)
+    item = np.concatenate(sets) if len(sets) else np.zeros(0, np.uint64)
+    cell = np.repeat(np.arange(len(n)), n) * GROUPS + (item >> np.uint64(40)).astype(np.int64) % GROUPS
+    return np.bincount(cell, minlength=len(n) * GROUPS).reshape(-1, GROUPS)
 
 
 def features(docs: DataFrame, k: int, percent: int, frequent: tuple) -> DataFrame:
@@ -169,7 +208,7 @@ def features(docs: DataFrame, k: int, percent: int, frequent: tuple) -> DataFram
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)),
                     pa.array(key[own].view(np.int64)))
-                raw = [p.tobytes() if f else None for p, f in zip(sketches(item, first), fresh)]
+                raw = [x if f else None for x, f in zip(sketches(item, first), fresh)]
                 yield pa.record_batch(
                     [b.column(0).slice(i, j - i), b.column(1).slice(i, j - i),
                      pa.array(np.diff(first).astype(np.int64)), pa.array(node),
@@ -187,8 +226,9 @@ def bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                x, y = (read_sketches(b.column(c).to_pylist()) for c in ("sa", "sb"))
-                keep = pa.array(may_link(x, y, percent))
+                x, y = (Sketches(b.column(c).to_pylist()) for c in ("sa", "sb"))
+                rows = np.arange(b.num_rows)
+                keep = pa.array(may_link(x, rows, y, rows, percent))
                 yield pa.record_batch([b.column("a").filter(keep), b.column("b").filter(keep)], names=["a", "b"])
 
     return (pairs.join(side[0], "a").join(side[1], "b").select("a", "b", "sa", "sb")
@@ -202,19 +242,23 @@ def overlap(x: np.ndarray, y: np.ndarray) -> int:
 
 
 def links_within(part: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the true links of a part: bounds by the tree, then the sets themselves."""
+    """A spanning forest of the true links of a part.
+
+    The tree over the sets' group counts finds the pairs whose summed minima
+    allow the similarity, the sketches prune them, the sets decide.
+    """
     left, right = linkage.sides(part)
     if not len(left) or not len(right):
         return []
-    x, y = read_sketches(left["sketch"]), read_sketches(right["sketch"])
-    tree = PackedRTree(y[0])
-    a, b = left["node"].tolist(), right["node"].tolist()
     sa, sb = ([np.frombuffer(i, np.uint64) for i in g["items"]] for g in (left, right))
+    mine, tree = points(sa), PackedRTree(points(sb))
+    x, y = Sketches(left["sketch"]), Sketches(right["sketch"])
+    a, b = left["node"].tolist(), right["node"].tolist()
     root = {n: n for n in a} | {n: n for n in b}
     out: list[tuple[int, int]] = []
     for k, node in enumerate(a):
-        hits = tree.search(x[0][k], percent)
-        hits = hits[may_link((x[0][k], x[1][k]), (y[0][hits], y[1][hits]), percent)]
+        hits = tree.search(mine[k], percent)
+        hits = hits[may_link(x, np.full(len(hits), k), y, hits, percent)]
         for h in hits.tolist():
             u, v = _find(root, node), _find(root, b[h])
             if u != v:
@@ -275,13 +319,16 @@ def similar_groups(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     multi = linkage.stars(feats.select("node", F.explode("keys").alias("key")), "shared-items")
 
     def near(left: pd.DataFrame, right: pd.DataFrame):
-        x, y = read_sketches(left["sketch"]), read_sketches(right["sketch"])
-        tree, a, b = PackedRTree(y[0]), [], []
-        for i in range(len(left)):
-            hits = tree.search(x[0][i], percent)
-            hits = hits[may_link((x[0][i], x[1][i]), (y[0][hits], y[1][hits]), percent)]
-            a.append(np.full(len(hits), i))
-            b.append(hits)
+        """Row pairs that the sketches allow: sizes sorted, each row meets the similar ones."""
+        x, y = Sketches(left["sketch"]), Sketches(right["sketch"])
+        order = np.argsort(y.n, kind="stable")
+        sizes, a, b = y.n[order], [], []
+        for i, n in enumerate(x.n.tolist()):
+            j = order[np.searchsorted(sizes, -(-percent * n // 100)):np.searchsorted(sizes, 100 * n // percent, "right")]
+            own = np.full(len(j), i)
+            keep = may_link(x, own, y, j, percent)
+            a.append(own[keep])
+            b.append(j[keep])
         return np.concatenate(a), np.concatenate(b)
 
     pairs = multi.select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()

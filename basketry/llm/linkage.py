@@ -62,8 +62,12 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     the shuffle, and every step is cut to the shared folder.
     """
     e = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    e, mark = cut(e, name), None
-    while True:
+    def mark_of(edges):
+        return edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+
+    e = cut(e, name)
+    mark = mark_of(e)
+    while mark[0]:
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
         large = (both.join(low, "a").where("b > a")
@@ -73,8 +77,8 @@ def components(edges: DataFrame, name: str) -> DataFrame:
             F.explode(F.array(F.struct("a", F.col("m").alias("b")),
                               F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x"))
         e = cut(small.select("x.a", "x.b").where("a <> b").distinct(), name)
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == mark or not now[0]:
+        now = mark_of(e)
+        if now == mark:
             break
         mark = now
     roots = e.select("b").distinct().select(F.col("b").alias("node"), F.col("b").alias("root"))

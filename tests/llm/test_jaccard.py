@@ -102,3 +102,26 @@ def test_tree_finds_what_the_bound_allows():
         want = np.flatnonzero((bound >= needed(n, n[i], 80)) & (100 * n >= 80 * n[i]) & (100 * n[i] >= 80 * n))
         got = np.sort(tree.search(pts[i], 80))
         assert set(want) <= set(got) and len(got) < 200
+
+
+def test_sketches_never_refuse_a_link():
+    r = np.random.default_rng(5)
+    sets = []
+    for n in (1, 2, 9, 10, 63, 64, 65, 130, 700, 9000):
+        base = np.unique(r.integers(0, 2**63, n).astype(np.uint64))
+        for drop in (0, 1, n // 12, n // 8, n // 4):
+            more = r.integers(0, 2**63, drop).astype(np.uint64)
+            sets.append(np.unique(np.concatenate([base[drop:], more])))
+    first = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    x = jaccard.Sketches(jaccard.sketches(np.concatenate(sets), first))
+    refused = 0
+    for i in range(len(sets)):
+        j = np.arange(len(sets))
+        keep = jaccard.may_link(x, np.full(len(j), i), x, j, 80)
+        for k in j.tolist():
+            same = len(np.intersect1d(sets[i], sets[k]))
+            if 100 * same >= 80 * (len(sets[i]) + len(sets[k]) - same) and len(sets[i]):
+                assert keep[k]
+            else:
+                refused += not keep[k]
+    assert refused > 1500
