@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import cut
+from .flat import mix
 from .letters import LetterWords, text_slices
 
 #: The fit uses about this many labelled documents: the bound of the sample.
@@ -230,11 +231,19 @@ def _windows(words: np.ndarray):
     return run
 
 
-def _copy_key(text: str):
-    """The least hash of a text's runs of three words: most near copies share it."""
-    ws = F.split(F.lower(text), r"\s+")
-    return F.array_min(F.transform(F.sequence(F.lit(1), F.greatest(F.size(ws) - 2, F.lit(1))),
-                                   lambda i: F.xxhash64(F.slice(ws, i, 3))))
+def _copy_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(toxic, text) with the least hash of the text's runs of three words: most near copies share it."""
+    for b in batches:
+        texts, keys = b.column(1).to_pylist(), []
+        for i, j in text_slices(texts):
+            w = LetterWords(texts[i:j])
+            h = np.concatenate([w.hashes, np.zeros(2, np.uint64)])
+            run = mix(mix(mix(h[:-2]) + h[1:-1]) + h[2:])
+            for d in range(j - i):
+                first, last = w.first[d], w.first[d + 1]
+                own = run[first:max(last - 2, first + 1)] if last > first else run[:0]
+                keys.append(int(own.min().view(np.int64)) if len(own) else 0)
+        yield pa.record_batch([b.column(0), b.column(1), pa.array(keys, pa.int64())], names=["toxic", "text", "k"])
 
 
 def held_out_rows(docs: DataFrame) -> DataFrame:
@@ -255,8 +264,9 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> C
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     share = min(1.0, train_docs / n)
     chosen = docs.select("doc_id", "text").where("doc_id is not null and text is not null").where(draw < share)
-    sample = (chosen.join(known.where(draw < share), "doc_id")
-              .groupBy(_copy_key("text").alias("k"))  # near copies are one observation
+    sample = (chosen.join(known.where(draw < share).withColumn("toxic", F.col("toxic").cast("int")), "doc_id")
+              .select("toxic", "text").mapInArrow(_copy_keys, "toxic int, text string, k long")
+              .groupBy("k")  # near copies are one observation
               .agg((F.avg("toxic") >= 0.5).alias("toxic"), F.min("text").alias("text"))
               .select("toxic", "text"))
     sample = cut(sample, "toxic-sample")
