@@ -11,8 +11,8 @@ link allows in any few coordinates, so every box would be searched.  Nodes are
 therefore first brought together by shared items: a set of n items that is
 similar to another shares at least one of the first ``n - ceil(t * n) + 1``
 items in any common order (rarest first here: items frequent in some slice of
-the input come last, whatever list of them is known).  Trees are packed per
-shared item.
+the input come last, whatever list of them is known).  Candidates come
+from these items, sizes and parity sketches; the tree bounds pairs within clusters.
 
 Defined results: null texts and texts without words have an empty set, which
 is linked with nothing; fewer words than a shingle make one item; null ids
