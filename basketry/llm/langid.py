@@ -25,7 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import cut
+from .common import cut, row_key
 from .flat import mix
 from .letters import LetterWords, ranges, text_slices
 
@@ -35,6 +35,8 @@ PAD = 32
 #: The counts use about this many labelled documents of each language, the
 #: calibration a fifth as many others: the bound of the fitted sample.
 TRAIN_DOCS = 2_000
+#: Parts of the texts of a language that has fewer: each is measured by the others' counts.
+FOLDS = 5
 UNDETERMINED = "und"
 #: Share of a language's calibration texts that its rejection limit refuses.
 REJECTED_SHARE = 0.002
@@ -225,21 +227,44 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> LanguageModels | Non
     sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     if not sizes:
         return None
-    draw = F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1 << 30)) / float(1 << 30)
+    key = row_key(F.col("doc_id"), F.col("lang"), F.col("text"))
+    draw = F.pmod(key, F.lit(1 << 30)) / float(1 << 30)
+    # languages of fewer texts count them all; each fold is measured by a model without it
+    small = F.col("lang").isin([k for k, n in sizes.items() if n < train_docs])
+    fold = F.when(small, F.pmod(F.shiftrightunsigned(key, 32), F.lit(FOLDS)).cast("int")).otherwise(-1)
     share = F.create_map(*[F.lit(v) for k, n in sizes.items()
                            for v in (k, min(1.2, 1.2 * train_docs / n))])[F.col("lang")]
     sample = cut(known.where(draw < share)
-                 .select("lang", "text", (draw < share / 1.2 * 1.0).alias("counted")), "lang-sample")
-    few = min(sizes.values()) < train_docs  # then every text counts and calibrates
-    counted = sample if few else sample.where("counted")
-    grams = (counted.select("lang", "text").mapInArrow(_count_grams, "lang string, gram string, n long")
-             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-    rows = grams.toPandas()  # bounded by the sample
+                 .select("lang", "text", (small | (draw < share / 1.2)).alias("counted"), fold.alias("fold")),
+                 "lang-sample")
+    counted = sample.where("counted")
+
+    def count(rows: DataFrame) -> pd.DataFrame:
+        return (rows.select("lang", "text").mapInArrow(_count_grams, "lang string, gram string, n long")
+                .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas())  # bounded by the sample
+
+    rows = count(counted)
     if not len(rows):
         return None
     model = LanguageModels.from_counts(rows)
     model.limits = np.full(len(model.langs), np.inf)
-    shared = spark.sparkContext.broadcast(model)
+    pdf = calibration_rows(sample.where("not counted"), model)
+    for k in range(FOLDS) if min(sizes.values()) < train_docs else ():
+        rows = count(counted.where(F.col("fold") != k))
+        if len(rows):
+            pdf = pd.concat([pdf, calibration_rows(sample.where(F.col("fold") == k),
+                                                   LanguageModels.from_counts(rows), model.langs)])
+    if len(pdf):
+        model.calibrate(np.stack(pdf["entropy"].to_numpy()),
+                        np.asarray([model.langs.index(x) for x in pdf["lang"]]))
+    return model
+
+
+def calibration_rows(held: DataFrame, model: LanguageModels, langs: list[str] | None = None) -> pd.DataFrame:
+    """lang and entropy (in each of ``langs``) of texts that took no part in the model's counts."""
+    shared = held.sparkSession.sparkContext.broadcast(model)
+    at = [(langs or model.langs).index(x) for x in model.langs]
+    width = len(langs or model.langs)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -249,13 +274,15 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> LanguageModels | Non
                 [pa.array(np.asarray(b.column(0).to_pylist(), object)[keep], pa.string()),
                  pa.array(list(entropy[keep]), pa.list_(pa.float64()))], names=["lang", "entropy"])
 
-    held = sample if few else sample.where("not counted")
-    rows = held.select("lang", "text").mapInArrow(measure, "lang string, entropy array<double>").toPandas()
-    rows = rows[rows["lang"].isin(model.langs)]
-    if len(rows):
-        model.calibrate(np.stack(rows["entropy"].to_numpy()),
-                        np.asarray([model.langs.index(x) for x in rows["lang"]]))
-    return model
+    pdf = held.select("lang", "text").mapInArrow(measure, "lang string, entropy array<double>").toPandas()
+    pdf = pdf[pdf["lang"].isin(model.langs)]
+
+    def spread(entropy: np.ndarray) -> np.ndarray:  # a language all of whose texts are held out is no rival
+        out = np.full(width, np.inf)
+        out[at] = entropy
+        return out
+
+    return pdf.assign(entropy=[spread(x) for x in pdf["entropy"]])
 
 
 def predict(docs: DataFrame, model: LanguageModels | None) -> DataFrame:
