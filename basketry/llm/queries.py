@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, jaccard, langid, lines, lzprint, mixing, packing, pii, sharding, toxicity
+from . import (ann, hard_negatives, jaccard, langid, lines, lzprint, mixing, packing, pii, sharding, toxicity,
+               vector_links, whitening)
 from .common import cut, documents, read_table
 
 SHARDS = 40
@@ -77,6 +78,23 @@ def op10_subset_sum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("size") * F.col("repeats")).alias("taken"))
 
 
+def op11_weighted_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deviation beyond 64 bits is null here; the operator's own column holds 38 digits."""
+    white = whitening.whiten(read_table(spark, sf_dir, "embeddings"), components=8, weights="counts")
+    return white.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
+def op12_multi_index_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links.linked_vectors(read_table(spark, sf_dir, "embeddings"), limit=0.9)
+
+
+def op13_multi_index_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = read_table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    mined = hard_negatives.mine(v.select("vec_id", "embedding", label.alias("label")), F.col("vec_id") % 100 == 0)
+    return mined.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
 QUERIES = {
     "op1_crf_toxicity": op1_crf_toxicity,
     "op2_weak_supervision_pii": op2_weak_supervision_pii,
@@ -88,6 +106,9 @@ QUERIES = {
     "op8_learned_partitions": op8_learned_partitions,
     "op9_linear_grouping_packing": op9_linear_grouping_packing,
     "op10_subset_sum_mixing": op10_subset_sum_mixing,
+    "op11_weighted_whitening": op11_weighted_whitening,
+    "op12_multi_index_duplicates": op12_multi_index_duplicates,
+    "op13_multi_index_negatives": op13_multi_index_negatives,
 }
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
