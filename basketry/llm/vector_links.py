@@ -46,7 +46,11 @@ MAX_CENTRES = 512
 LEVELS = 4
 SLACK = 1e-7  # angles closer than this to a limit are decided by the cosine
 
-BALL = "ball long, vec array<double>, unit int, radius double, weight long, size long, visits array<int>"
+BALL = "ball long, vec array<{}>, unit int, radius double, weight long, size long, visits array<int>"
+
+
+def doubles(vectors: pd.Series) -> np.ndarray:
+    return np.stack(vectors.to_numpy()).astype(float)
 
 
 def centres_for(n: int) -> int:
@@ -140,7 +144,7 @@ def _balls(rows: DataFrame, reach: float, name: str) -> DataFrame:
     of several blocks, these go through again together.
     """
     def group(part: pd.DataFrame) -> pd.DataFrame:
-        own, gap = leaders(unit_rows(np.stack(part["vec"].to_numpy())), part["radius"].to_numpy(float), reach)
+        own, gap = leaders(unit_rows(doubles(part["vec"])), part["radius"].to_numpy(float), reach)
         ids = part["ball"].to_numpy()
         return pd.DataFrame({"old": ids, "ball": ids[own], "gap": gap, "unit": part["unit"].to_numpy()})
 
@@ -179,12 +183,13 @@ def ball_rows(members: DataFrame, grid: Grid, reach: float) -> DataFrame:
                                        F.count(F.lit(1)).alias("size"))
     heads = members.where("node = ball").select("ball", "vec", "unit")
     names = [c.split()[0] for c in BALL.split(", ")]
+    entry = members.schema["vec"].dataType.elementType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            unit = unit_rows(matrix(b.column(1)))
+            unit = unit_rows(matrix(b.column(1)).astype(float))
             level = np.ceil(np.minimum(b.column(3).to_numpy() / reach, 1.0) * (LEVELS - 1) - 1e-9).astype(int)
             found: list = [None] * len(unit)
             for at in np.unique(level):
@@ -193,13 +198,13 @@ def ball_rows(members: DataFrame, grid: Grid, reach: float) -> DataFrame:
                     found[x] = row
             yield pa.record_batch([*b.columns, pa.array(found, pa.list_(pa.int32()))], names=names)
 
-    return cut(heads.join(sums, "ball").select(*names[:-1]).mapInArrow(run, BALL), "ball-rows")
+    return cut(heads.join(sums, "ball").select(*names[:-1]).mapInArrow(run, BALL.format(entry)), "ball-rows")
 
 
 def compared(asked: pd.DataFrame, stored: pd.DataFrame, limit: float) -> tuple[list, list]:
     """Balls of a band against balls that visit it: (ball, n, root) rows and open pairs (a, b)."""
     angle_limit = np.arccos(limit)
-    q, s = np.stack(asked["vec"].to_numpy()), np.stack(stored["vec"].to_numpy())
+    q, s = doubles(asked["vec"]), doubles(stored["vec"])
     uq, us = unit_rows(q), unit_rows(s)
     qid, sid = asked["ball"].to_numpy(), stored["ball"].to_numpy()
     rq, rs = asked["radius"].to_numpy(), stored["radius"].to_numpy()
@@ -295,7 +300,7 @@ def opened(pairs: DataFrame, balls: DataFrame, members: DataFrame, limit: float)
     def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         out: list = []
         if len(a) and len(b):
-            va, vb = np.stack(a["vec"].to_numpy()), np.stack(b["vec"].to_numpy())
+            va, vb = doubles(a["vec"]), doubles(b["vec"])
             ub, wa, wb = unit_rows(vb), a["weight"].to_numpy(), b["weight"].to_numpy()
             ids_a, ids_b, small = a["node"].to_numpy(), b["node"].to_numpy(), a["small"].to_numpy()
             count = np.zeros(len(b), np.int64)
@@ -322,8 +327,10 @@ def opened(pairs: DataFrame, balls: DataFrame, members: DataFrame, limit: float)
 
 def linked_vectors(vectors: DataFrame, limit: float = 0.9, recall: float = RECALL) -> DataFrame:
     """vec_id, n_links, component_id and kept of every row; links are pairs with a cosine of ``limit`` or more."""
+    # entries travel as they came (float or double) and are compared as doubles
+    entry = "float" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "double"
     rows = identified(vectors, "link-rows", F.col("vec_id").cast("long").alias("vec_id"),
-                      F.col("embedding").cast("array<double>").alias("vec"))
+                      F.col("embedding").cast(f"array<{entry}>").alias("vec"))
     fine = same_length(rows.where(finite("vec")).where(F.exists("vec", lambda x: x != 0)), "vec")
     nodes = cut(fine.groupBy("vec").agg(F.min("uid").alias("node"), F.count(F.lit(1)).alias("weight"),
                                         F.min("vec_id").alias("least")), "link-nodes")
@@ -342,11 +349,11 @@ def linked_vectors(vectors: DataFrame, limit: float = 0.9, recall: float = RECAL
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                own = grid.own(unit_rows(matrix(b.column(2)))).astype(np.int32)
+                own = grid.own(unit_rows(matrix(b.column(2)).astype(float))).astype(np.int32)
                 yield pa.record_batch([*b.columns, pa.array(own)], names=["node", "weight", "vec", "unit"])
 
     filed = cut(nodes.select("node", "weight", "vec").mapInArrow(
-        file, "node long, weight long, vec array<double>, unit int"), "link-filed")
+        file, f"node long, weight long, vec array<{entry}>, unit int"), "link-filed")
     members = make_balls(filed, reach)
     balls = ball_rows(members, grid, reach)
     met = meetings(balls, limit)
