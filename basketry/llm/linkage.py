@@ -99,12 +99,16 @@ def sifted(bits: np.ndarray, node: np.ndarray) -> np.ndarray:
 
 
 def open_keys(multi: DataFrame, roots: DataFrame) -> DataFrame:
-    """(key, node, root) of all nodes of keys that hold several components."""
+    """(key, node, root) of all nodes of keys that hold several components.
+
+    A key of two nodes is left out: its only pair has been looked at.
+    """
     rep = roots.select(F.col("node").alias("rep"), F.col("root").alias("rep_root"))
     m = (multi.join(roots, "node", "left").join(rep, "rep", "left")
          .select("key", "rep", "node", F.coalesce("root", "node").alias("root"),
                  F.coalesce("rep_root", "rep").alias("rep_root")))
-    mixed = m.where("root <> rep_root").select("key").distinct()
+    mixed = (m.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max((F.col("root") != F.col("rep_root")).cast("int"))
+                                  .alias("mixed")).where("n > 1 and mixed = 1").select("key"))
     m = m.join(mixed, "key", "left_semi")
     reps = m.select("key", F.col("rep").alias("node"), F.col("rep_root").alias("root")).distinct()
     return m.select("key", "node", "root").union(reps)
