@@ -300,10 +300,14 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = 12,
 
 
 def best_plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, tuple]]:
-    """The plan with the fewest bins over a few group counts and limits of small."""
+    """The plan with the fewest bins over a few group counts and limits of small.
+
+    The last limit leaves no large pieces, which is best fit by falling
+    length: where many lengths are large, rounding them up costs more.
+    """
     pieces = sum(c for n, c in counts.items() if n < capacity)
     tries = [plan(counts, capacity, max(1, min(g, pieces // 4)), capacity // s)
-             for g, s in ((12, 4), (24, 3))]
+             for g, s in ((12, 4), (24, 3), (48, 4), (24, 2), (1, 1))]
     return min(tries, key=lambda runs: sum(b for b, _ in runs))
 
 

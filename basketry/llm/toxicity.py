@@ -27,7 +27,7 @@ from .common import cut
 from .flat import mix
 from .letters import LetterWords, text_slices
 
-#: The fit uses about this many labelled documents: the bound of the sample.
+#: The fit uses about this many labelled documents, half of them toxic: the bound of the sample.
 TRAIN_DOCS = 10_000
 #: Token windows and how many of them the chain is fitted on, at most.
 WINDOW = 64
@@ -202,12 +202,12 @@ def _word_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _windows(words: np.ndarray):
-    """(toxic, text) to token windows: word numbers and labels; all with a toxic token, some without."""
+    """(toxic, text) to token windows: word numbers, labels, whether any is toxic, and a draw by text and place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, toxic = b.column(1).to_pylist(), np.asarray(b.column(0).to_pylist(), bool)
-            number, label, order = [], [], []
+            number, label, hit, draws = [], [], [], []
             for i, j in text_slices(texts):
                 w = LetterWords(texts[i:j])
                 if not len(w.hashes):
@@ -216,65 +216,66 @@ def _windows(words: np.ndarray):
                 word = np.where(words[at] == w.hashes, at, -1)
                 y = (word >= 0) & np.repeat(toxic[i:j], w.count)
                 for d in range(j - i):
-                    for k in range(w.first[d], w.first[d + 1], WINDOW):
-                        e = min(k + WINDOW, w.first[d + 1])
-                        has = bool(y[k:e].any())
-                        draw = int(w.hashes[k] >> np.uint64(40)) / (1 << 24)
-                        if has or draw < 0.2:
-                            number.append(word[k:e].tolist())
-                            label.append(y[k:e].astype(int).tolist())
-                            order.append(draw if has else 1 + draw)
-            yield pa.record_batch([pa.array(number, pa.list_(pa.int32())),
-                                   pa.array(label, pa.list_(pa.int8())),
-                                   pa.array(order, pa.float64())], names=["word", "y", "draw"])
+                    first, last = w.first[d], w.first[d + 1]
+                    own = w.hashes[first:last].sum(dtype=np.uint64)
+                    place = mix(own + mix(np.arange(first, last, WINDOW).astype(np.uint64) - np.uint64(first)))
+                    for k, h in zip(range(first, last, WINDOW), place.tolist()):
+                        e = min(k + WINDOW, last)
+                        number.append(word[k:e].tolist())
+                        label.append(y[k:e].astype(int).tolist())
+                        hit.append(bool(y[k:e].any()))
+                        draws.append(h / 2 ** 64)
+            yield pa.record_batch([pa.array(number, pa.list_(pa.int32())), pa.array(label, pa.list_(pa.int8())),
+                                   pa.array(hit, pa.bool_()), pa.array(draws, pa.float64())],
+                                  names=["word", "y", "hit", "draw"])
 
     return run
 
 
-def _copy_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(toxic, text) with the least hash of the text's runs of three words: most near copies share it."""
-    for b in batches:
-        texts, keys = b.column(1).to_pylist(), []
-        for i, j in text_slices(texts):
-            w = LetterWords(texts[i:j])
-            h = np.concatenate([w.hashes, np.zeros(2, np.uint64)])
-            run = mix(mix(mix(h[:-2]) + h[1:-1]) + h[2:])
-            for d in range(j - i):
-                first, last = w.first[d], w.first[d + 1]
-                own = run[first:max(last - 2, first + 1)] if last > first else run[:0]
-                keys.append(int(own.min().view(np.int64)) if len(own) else 0)
-        yield pa.record_batch([b.column(0), b.column(1), pa.array(keys, pa.int64())], names=["toxic", "text", "k"])
-
-
 def held_out_rows(docs: DataFrame) -> DataFrame:
     rest = F.crc32(F.col("doc_id").cast("string")) % MODULUS
     return docs.withColumn("held_out", F.coalesce(rest == HELD, F.lit(False)))
 
 
+def sample_rows(docs: DataFrame, labels: DataFrame, train_docs: int) -> DataFrame | None:
+    """toxic, text and weight of the texts that the fit uses: of each label about ``train_docs / 2`` at most.
+
+    Ids are drawn by their hash.  Rows whose texts are equal but for case and
+    white space are one observation (with the label of most of them); other
+    texts never are, however alike.  ``weight`` is what a row stands for.
+    """
+    known = (held_out_rows(labels.where("toxic is not null and doc_id is not null"))
+             .where(~F.col("held_out")).groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic")))
+    known = cut(known, "toxic-labels")
+    size = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}  # two rows
+    if len(size) < 2:
+        return None
+    share = {c: min(1.0, train_docs / 2 / n) for c, n in size.items()}
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    of_class = F.when(F.col("toxic"), F.lit(share[True])).otherwise(F.lit(share[False]))
+    ids = known.where(draw < of_class).select("doc_id", "toxic", (1 / of_class).alias("weight"))
+    # about train_docs ids at most, whatever the size of the labels
+    chosen = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(ids), "doc_id")
+    plain = F.lower(F.trim(F.regexp_replace("text", r"\s+", " ")))
+    text = chosen.groupBy(F.xxhash64(plain).alias("k")).agg(
+        (F.avg(F.col("toxic").cast("int")) >= 0.5).alias("toxic"), F.min("text").alias("text"),
+        F.max("weight").alias("weight"))
+    # repeated ids can bring more texts than ids were drawn
+    return cut(text.orderBy(F.xxhash64("k")).limit(2 * train_docs).select("toxic", "text", "weight"), "toxic-sample")
+
+
 def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Chain:
-    """A chain fitted on labelled rows that are not held out; about ``train_docs`` texts."""
+    """A chain fitted on labelled rows that are not held out, see ``sample_rows``."""
     spark = docs.sparkSession
     flat_chain = Chain(np.zeros(0, np.uint64), np.zeros(0), shift=-50.0)
-    known = (held_out_rows(labels.where("toxic is not null and doc_id is not null"))
-             .where(~F.col("held_out")).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    known = cut(known, "toxic-labels")
-    n = known.count()
-    if not n:
+    sample = sample_rows(docs, labels, train_docs)
+    if sample is None:
         return flat_chain
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    share = min(1.0, train_docs / n)
-    chosen = docs.select("doc_id", "text").where("doc_id is not null and text is not null").where(draw < share)
-    sample = (chosen.join(known.where(draw < share).withColumn("toxic", F.col("toxic").cast("int")), "doc_id")
-              .select("toxic", "text").mapInArrow(_copy_keys, "toxic int, text string, k long")
-              .groupBy("k")  # near copies are one observation
-              .agg((F.avg("toxic") >= 0.5).alias("toxic"), F.min("text").alias("text"))
-              .select("toxic", "text"))
-    sample = cut(sample, "toxic-sample")
     total = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n1, n0 = total.get(True, 0), total.get(False, 0)
     if not n1 or not n0:
         return flat_chain
-    stats = sample.mapInArrow(_word_texts, "word long, bad long, good long").groupBy("word").agg(
+    stats = sample.select("toxic", "text").mapInArrow(_word_texts, "word long, bad long, good long").groupBy("word").agg(
         F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     p1, p0 = (F.col("bad") + 0.5) / (n1 + 1), (F.col("good") + 0.5) / (n0 + 1)
     p = (F.col("bad") + F.col("good") + 1) / (n1 + n0 + 2)
@@ -284,8 +285,11 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> C
                                np.int64).view(np.uint64))  # bounded by the sample
     chain = Chain(words, np.zeros(len(words)))
     if len(words):
-        rows = (sample.mapInArrow(_windows(words), "word array<int>, y array<byte>, draw double")
-                .orderBy("draw").limit(TRAIN_WINDOWS).collect())  # a fit sample of bounded size
+        # a fit sample of bounded size: toxic windows up to half of it, clean ones the rest
+        windows = sample.select("toxic", "text").mapInArrow(
+            _windows(words), "word array<int>, y array<byte>, hit boolean, draw double")
+        rows = windows.where("hit").orderBy("draw").limit(TRAIN_WINDOWS // 2).collect()
+        rows += windows.where("not hit").orderBy("draw").limit(TRAIN_WINDOWS - len(rows)).collect()
         chain.emission, chain.bias, chain.move = fit_chain(
             [(np.asarray(r["word"]), np.asarray(r["y"])) for r in rows], len(words))
     shared = spark.sparkContext.broadcast(chain)
@@ -293,20 +297,23 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> C
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             e, _ = evidence_of(shared.value, b.column(1).to_pylist(), spans=False)
-            yield pa.record_batch([b.column(0), pa.array(e)], names=["toxic", "evidence"])
+            yield pa.record_batch([b.column(0), pa.array(e), b.column(2)], names=["toxic", "evidence", "weight"])
 
-    pdf = sample.mapInArrow(measure, "toxic boolean, evidence double").toPandas()
-    chain.scale, chain.shift = _logistic(pdf["evidence"].to_numpy(), pdf["toxic"].to_numpy(float))
+    pdf = sample.mapInArrow(measure, "toxic boolean, evidence double, weight double").toPandas()
+    chain.scale, chain.shift = _logistic(pdf["evidence"].to_numpy(), pdf["toxic"].to_numpy(float),
+                                         pdf["weight"].to_numpy())
     return chain
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope (not negative) and intercept of a one-variable logistic fit, by Newton steps."""
-    a, b = 0.0, float(np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6)))
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Slope (not negative) and intercept of a one-variable weighted logistic fit, by Newton steps."""
+    share = weight / weight.mean()
+    mean = float((share * y).mean())
+    a, b = 0.0, float(np.log((mean + 1e-6) / (1 - mean + 1e-6)))
     for _ in range(50):
         p = 1 / (1 + np.exp(-(a * x + b)))
-        w = p * (1 - p) + 1e-9
-        g = np.array([((y - p) * x).sum() - 1e-3 * a, (y - p).sum()])
+        w = share * p * (1 - p) + 1e-9
+        g = np.array([(share * (y - p) * x).sum() - 1e-3 * a, (share * (y - p)).sum()])
         h = np.array([[(w * x * x).sum() + 1e-3, (w * x).sum()], [(w * x).sum(), w.sum() + 1e-9]])
         d = np.linalg.solve(h, g)
         a, b = a + float(np.clip(d[0], -1, 1)), b + float(np.clip(d[1], -2, 2))

@@ -87,3 +87,25 @@ def test_planted_words_are_dropped(spark):
 def test_empty(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert toxicity.toxic_scores(frame(spark, []), labels).count() == 0
+
+
+def test_only_equal_texts_are_one_observation(spark):
+    """Texts that differ in digits or behind a common opening stay apart; copies but for case and space don't."""
+    opening = "one common opening of seven plain words "
+    rows = [(i, f"{opening}number{i}", "en", "s") for i in range(60)]
+    rows += [(100 + i, "The  same\ttext" if i % 2 else "the same text ", "en", "s") for i in range(10)]
+    docs = frame(spark, rows)
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    used = toxicity.held_out_rows(docs).where("not held_out").select("text").collect()
+    want = {" ".join(r["text"].lower().split()) for r in used}
+    got = [" ".join(r["text"].lower().split()) for r in toxicity.sample_rows(docs, labels, 10_000).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_both_labels_have_their_share_of_the_sample(spark):
+    docs = frame(spark, [(i, f"text number {i}", "en", "s") for i in range(4_000)])
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), (F.col("doc_id") % 100 == 1).cast("int").alias("toxic"))
+    got = {r["toxic"]: (r["n"], r["w"]) for r in toxicity.sample_rows(docs, labels, 400).groupBy("toxic").agg(
+        F.count("*").alias("n"), F.avg("weight").alias("w")).collect()}
+    assert got[True][0] >= 25 and got[True][1] == 1.0  # all of the few toxic ones
+    assert 130 <= got[False][0] <= 280 and 10 < got[False][1] < 25
