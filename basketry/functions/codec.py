@@ -157,6 +157,15 @@ def decode_transactions(df: DataFrame, value_col: str = "value", keep: list[str]
     return decode(df, schemas.TRANSACTION_FIELDS, value_col, keep, mode)
 
 
+def dead_null_keys(decoded: DataFrame) -> DataFrame:
+    """Good transactions without an id, category or date get the reason ``null_key``:
+    they have no place in the result tables."""
+    lost = (F.col("transactionId").isNull() | F.col("productCategory").isNull()
+            | F.col("transactionDate").isNull())
+    return decoded.withColumn("reason", F.when(F.col("reason").isNull() & lost, F.lit(NULL_KEY))
+                              .otherwise(F.col("reason")))
+
+
 def encode(cols: list[Column]) -> Column:
     """Compact JSON text; absent (null) fields are omitted."""
     return F.to_json(F.struct(*cols))
@@ -177,3 +186,20 @@ def encode_transactions(df: DataFrame, date_as: str = "millis") -> Column:
                 F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
         cols.append(c.alias(n))
     return encode(cols)
+
+
+def transactions_from_records(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Decoded camelCase transaction records -> table form.
+
+    The record's primitives mean a missing number is 0.  ``keep`` carries
+    extra input columns through (e.g. the order of arrival).
+    """
+    out = [F.col(k) for k in (keep or [])]
+    for n, _ in schemas.TRANSACTION_FIELDS:
+        c = F.col(n)
+        if n in ("productPrice", "totalAmount"):
+            c = F.coalesce(c, F.lit(0.0))
+        elif n == "productQuantity":
+            c = F.coalesce(c, F.lit(0))
+        out.append(c.alias(schemas.snake(n)))
+    return df.select(*out)

@@ -59,6 +59,14 @@ def running_parts(window: Window, prefix: str = "") -> list[Column]:
             F.max(F.col(wide) | lost).over(window).alias(wide)]
 
 
+def folded_parts(prefix: str = "") -> list[Column]:
+    """Aggregate columns that fold partial totals into a wider one (use inside ``agg``)."""
+    exact, approx, wide = (prefix + p for p in PARTS)
+    lost = F.col(exact).isNull() & F.col(approx).isNotNull()
+    return [F.try_sum(exact).alias(exact), F.sum(approx).alias(approx),
+            F.max(F.col(wide) | lost).alias(wide)]
+
+
 def money_sum(c: Column | str) -> Column:
     """Sum of a money column as one aggregate expression (double)."""
     return _total(*money_parts(c))

@@ -7,8 +7,10 @@ never reach the fan-out, and the distinct count is planned by Spark as a
 two-level aggregate keyed by (window, user) — a window with millions of
 users is spread over all tasks, never gathered into one.
 
-Stream form: ``countDistinct`` is not allowed on streams, so two chained
-append-mode aggregations: (window, user) then window.
+Stream form: ``countDistinct`` is not allowed on streams, so three chained
+append-mode aggregations: (slide pane, user), then (window, user), then
+window.  Raw rows meet the first one only, which has one row per pane and
+user; the fan-out to the W/S windows starts from there.
 
 Null users stay in the grouping, so a window holding only null users comes
 out with 0, like the reference.
@@ -54,9 +56,19 @@ def _active_users_windowed(pv: DataFrame, window: str, slide: str, ts: str) -> D
 
 def active_users_stream(events: DataFrame, window: str = WINDOW, slide: str = SLIDE,
                         ts: str = "event_ts", route: bool = True) -> DataFrame:
-    """Streaming form: two chained aggregations (needs a watermark on ``ts``)."""
+    """Streaming form: chained aggregations (needs a watermark on ``ts``).
+
+    A pane closes before the windows that hold it, so each window still is
+    emitted as soon as the watermark passes its end.  Windows that are not a
+    multiple of the slide are not unions of panes; they take two aggregations.
+    """
     pv = page_views(events) if route else events
-    per_user = pv.groupBy(F.window(ts, window, slide).alias("w"), "userId").count()
+    w_us, s_us = interval_micros(window), interval_micros(slide)
+    if w_us % s_us == 0 and w_us > s_us:
+        panes = pv.groupBy(F.window(ts, slide).alias("pane"), "userId").agg(F.count(F.lit(1)).alias("n"))
+        pv = panes.select(F.window_time("pane").alias("pane_ts"), "userId")
+        ts = "pane_ts"
+    per_user = pv.groupBy(F.window(ts, window, slide).alias("w"), "userId").agg(F.count(F.lit(1)).alias("n"))
     return (per_user.groupBy("w")
                     .agg(F.count("userId").alias("users"))
                     .select(F.col("w.end").alias("minute_ts"), "users"))

@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.money import money_parts, money_sum, money_total, running_parts
-from basketry.sources.adapters import TX_LAST_WRITE_ORDER
+
+#: Last-write order of duplicate ids in a stored table (a stream has the order of arrival).
+TX_LAST_WRITE_ORDER = ["transaction_date", "product_id", "total_amount", "product_quantity"]
 
 
 def latest_transactions(tx: DataFrame, order: list[str] | None = None) -> DataFrame:

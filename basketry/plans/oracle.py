@@ -195,6 +195,13 @@ ORACLE: dict[str, str] = {
                                   WHEN 2 THEN 'bad_type' ELSE 'ok' END AS reason,
                count(*) AS n_rows
         FROM events GROUP BY 1""",
+    "quarantine_transactions": sql("""
+        SELECT reason, count(*) AS n_rows, CASE WHEN reason = 'ok' THEN
+               CAST(sum(CAST(total_amount + 0.001 AS DECIMAL(28,8))) AS DOUBLE) END AS total
+        FROM (SELECT *, CASE CAST(split_part(transaction_id, '-', 1) AS BIGINT) % 40
+                        WHEN 0 THEN 'malformed' WHEN 1 THEN 'unknown_field' WHEN 2 THEN 'bad_type'
+                        WHEN 3 THEN 'null_key' WHEN 4 THEN 'null_key' ELSE 'ok' END AS reason FROM tx)
+        GROUP BY reason""", "tx"),
     "decode_transactions": sql("SELECT * FROM tx", "tx"),
     "event_messages": sql(f"""
         SELECT {_MESSAGE_KEY} AS key, "eventId", "eventType", {_KEYED_USER} AS "userId", "cartId",

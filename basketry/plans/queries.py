@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from basketry import schemas
 from basketry.functions import codec
+from basketry.functions.money import money_sum
 from basketry.functions.timeparse import event_time
 from basketry.operators import active_users as au_ops
 from basketry.operators import carts, documents, events, sales, serving
@@ -150,13 +151,37 @@ def quarantine_events(spark, sf_dir):
              .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+def damaged_transactions(spark, sf_dir) -> DataFrame:
+    """Transaction messages damaged by order: % 40 = 0 not JSON, 1 an unknown field, 2 a non-numeric
+    amount, 3 no category, 4 no id.  Amounts have three decimals and more."""
+    tx = _tx(spark, sf_dir)
+    m = F.split("transaction_id", "-")[0].cast("bigint") % 40
+    tx = tx.withColumns({"m": m, "total_amount": F.col("total_amount") + 0.001,
+                         "product_category": F.when(m != 3, F.col("product_category")),
+                         "transaction_id": F.when(m != 4, F.col("transaction_id"))})
+    value = codec.encode_transactions(tx, "millis")
+    body = F.expr("substring(value, 1, length(value) - 1)")
+    return tx.select("m", "transaction_date", value.alias("value")).withColumn(
+        "value", F.when(F.col("m") == 0, F.lit("not json"))
+        .when(F.col("m") == 1, F.concat(body, F.lit(',"zzz":1}')))
+        .when(F.col("m") == 2, F.concat(body, F.lit(',"totalAmount":"abc"}'))).otherwise(F.col("value")))
+
+
+def quarantine_transactions(spark, sf_dir):
+    """Dead transactions per reason, and the rows and money that stay."""
+    d = codec.dead_null_keys(codec.decode_transactions(damaged_transactions(spark, sf_dir)))
+    ok = F.col("reason").isNull()
+    return (d.groupBy(F.coalesce(F.col("reason"), F.lit("ok")).alias("reason"))
+             .agg(F.count(F.lit(1)).alias("n_rows"), money_sum(F.when(ok, F.col("totalAmount"))).alias("total")))
+
+
 def decode_transactions(spark, sf_dir):
     tx = _tx(spark, sf_dir)
     as_millis = F.substring("transaction_id", -1, 1).cast("int") % 2 == 0
     value = F.when(as_millis, codec.encode_transactions(tx, "millis")) \
              .otherwise(codec.encode_transactions(tx, "iso"))
     good, _ = codec.split(codec.decode_transactions(tx.select(value.alias("value"))))
-    return ntz(adapters.transactions_from_records(good))
+    return ntz(codec.transactions_from_records(good))
 
 
 def event_messages(spark, sf_dir):
@@ -338,6 +363,7 @@ QUERIES: dict[str, Query] = {
     "decode_transactions": decode_transactions,
     "event_messages": event_messages,
     "quarantine_events": quarantine_events,
+    "quarantine_transactions": quarantine_transactions,
     "active_users_5m": active_users_5m,
     "latest_active_users": latest_active_users,
     "active_users_rows": active_users_rows,

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.functions import codec
-from basketry.plans.oracle import sql
+from basketry.plans.oracle import ORACLE, sql
 from basketry.plans.queries import _env, _tx, ntz
 from basketry.session import work_path
 from basketry.sources import files
@@ -105,8 +105,8 @@ def _event_stream_result(spark: SparkSession, sf_dir: str, name: str, start, rea
 
     def run():
         raw = files.read_records_stream(spark, in_dir)
-        events, _bad = jobs.decode_event_stream(raw)
-        jobs.await_all([start(events, out, trigger=AVAILABLE_NOW)])
+        _landing, table = jobs.land_events(raw, out, AVAILABLE_NOW)
+        jobs.await_all([start(jobs.landed_events(table, spark), out, trigger=AVAILABLE_NOW)])
 
     feed_in_chunks(records, "event_ts", in_dir, run, late=late)
     return read(spark, out)
@@ -145,8 +145,8 @@ def stream_sales_rollups(spark, sf_dir):
 
     def run():
         raw = files.read_records_stream(spark, in_dir)
-        txs, _bad = jobs.decode_transaction_stream(raw)
-        jobs.await_all(jobs.start_sales_rollups(txs, out, trigger=AVAILABLE_NOW))
+        _landing, table = jobs.land_transactions(raw, out, AVAILABLE_NOW)
+        jobs.await_all([jobs.start_sales_rollups(table.stream(spark), out, trigger=AVAILABLE_NOW)])
 
     feed_in_chunks(records, "transaction_date", in_dir, run)
     cat = out.sales("sales_per_category").read(spark)
@@ -181,8 +181,8 @@ def stream_transactions(spark, sf_dir):
 
     def run():
         raw = files.read_records_stream(spark, in_dir)
-        txs, _bad = jobs.decode_transaction_stream(raw)
-        jobs.await_all([jobs.start_transactions_table(txs, out, trigger=AVAILABLE_NOW)])
+        _landing, table = jobs.land_transactions(raw, out, AVAILABLE_NOW)
+        jobs.await_all([jobs.start_transactions_table(table.stream(spark), out, trigger=AVAILABLE_NOW)])
 
     feed_in_chunks(records, "transaction_date", in_dir, run, arrange=_arrival_by_amount)
     return ntz(out.transactions().read(spark))
@@ -197,14 +197,34 @@ def stream_quarantine(spark, sf_dir):
     records = damage_messages(env.select("eventId", "event_ts",
                                          codec.encode_events(env).alias("value")))
 
+    landed = []
+
     def run():
         raw = files.read_records_stream(spark, in_dir)
-        _events, bad = jobs.decode_event_stream(raw)
-        jobs.await_all([jobs.start_dead_letters(bad, out, trigger=AVAILABLE_NOW)])
+        landed.append(jobs.land_events(raw, out, AVAILABLE_NOW)[1])
 
     feed_in_chunks(records, "event_ts", in_dir, run)
-    dead = jobs.KeyedLog(out.path("quarantine"), ["value", "reason"]).read_log(spark)
-    return dead.groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
+    return landed[-1].dead_letters(spark).groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def stream_transaction_quarantine(spark, sf_dir):
+    """Dead letters of the transaction stream, null keys included, and the money of the rows kept."""
+    from basketry.functions.money import money_sum
+    from basketry.plans.queries import damaged_transactions
+    out = jobs.Outputs(work_path(spark, "stream_transaction_quarantine"))
+    in_dir = out.path("_input")
+    records = damaged_transactions(spark, sf_dir)
+    landed = []
+
+    def run():
+        raw = files.read_records_stream(spark, in_dir)
+        landed.append(jobs.land_transactions(raw, out, AVAILABLE_NOW)[1])
+
+    feed_in_chunks(records, "transaction_date", in_dir, run)
+    dead = landed[-1].dead_letters(spark).groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
+    good = landed[-1].read(spark).agg(F.lit("ok").alias("reason"), F.count(F.lit(1)).alias("n_rows"),
+                                      money_sum("total_amount").alias("total"))
+    return dead.withColumn("total", F.lit(None).cast("double")).unionByName(good)
 
 
 STREAM_QUERIES = {
@@ -215,6 +235,7 @@ STREAM_QUERIES = {
     "stream_transactions": stream_transactions,
     "late_rows": late_rows,
     "stream_quarantine": stream_quarantine,
+    "stream_transaction_quarantine": stream_transaction_quarantine,
 }
 
 # --- oracles -------------------------------------------------------------------
@@ -267,5 +288,7 @@ STREAM_ORACLE = {
         FROM events WHERE event_id % 50 IN (0, 1, 2) GROUP BY 1""",
 }
 
+# the dead letters of the batch query
+STREAM_ORACLE["stream_transaction_quarantine"] = ORACLE["quarantine_transactions"]
 # Late copies never reach a window: the result is the on-time stream's.
 STREAM_ORACLE["late_rows"] = STREAM_ORACLE["stream_active_users"]

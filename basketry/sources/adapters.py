@@ -27,10 +27,6 @@ CURRENCIES = ["USD", "GBP"]
 # Mapping of the driver's event types onto shop event types.
 EVENT_TYPE_MAP = {"view": "page_view", "click": "add_to_cart", "purchase": "checkout"}
 
-# Last-write order of duplicate transaction ids in the table
-# fixture (a stream uses arrival order instead).
-TX_LAST_WRITE_ORDER = ["transaction_date", "product_id", "total_amount", "product_quantity"]
-
 
 def _pick(values: list[str], idx: Column) -> Column:
     """values[idx] with a 0-based index column."""
@@ -116,20 +112,3 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "payment_method": _pick(PAYMENT_METHODS, F.col("o_orderkey") % 3),
     }
     return j.select(*[c.alias(n) for n, c in cols.items()])
-
-
-def transactions_from_records(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Decoded camelCase transaction records -> table form.
-
-    The record's primitives mean a missing number is 0.  ``keep`` carries
-    extra input columns through (e.g. the record time).
-    """
-    out = [F.col(k) for k in (keep or [])]
-    for n, _ in schemas.TRANSACTION_FIELDS:
-        c = F.col(n)
-        if n in ("productPrice", "totalAmount"):
-            c = F.coalesce(c, F.lit(0.0))
-        elif n == "productQuantity":
-            c = F.coalesce(c, F.lit(0))
-        out.append(c.alias(schemas.snake(n)))
-    return df.select(*out)

@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 
 
 def _records(df: DataFrame) -> DataFrame:
-    """``arrival`` orders records of one time: file, then place of its block
-    (the lines of a block stay in order)."""
+    """``arrival`` orders the records: time of the file, file, then place of its
+    block (the lines of a block stay in order)."""
     meta = F.col("_metadata")
     return df.select(F.col("value"), meta["file_modification_time"].alias("record_ts"),
-                     F.struct(meta["file_path"].alias("file"),
+                     F.struct(meta["file_modification_time"].alias("time"), meta["file_path"].alias("file"),
                               meta["file_block_start"].alias("block")).alias("arrival"))
 
 

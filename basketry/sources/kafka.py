@@ -73,7 +73,8 @@ def transaction_kafka_options(bootstrap: str | None = None, topic: str = TOPIC,
 def read_kafka_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     """Kafka records as ``(value, record_ts, arrival)``; the key is unused on read.
 
-    ``arrival`` orders records of one time: offset, then partition.
+    ``arrival`` orders the records: offset, then partition.  The record time
+    takes no part in it: a producer may set it, also backwards.
     """
     reader = spark.readStream.format("kafka")
     for k, v in options.items():

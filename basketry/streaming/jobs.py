@@ -1,9 +1,12 @@
 """Structured Streaming wiring of the two jobs.
 
-Multi-event job: wire records -> decode (+ dead letters) -> event time with a
-5 s watermark -> active users, hourly top products, abandoned carts.
-Transaction job: wire records -> decode -> last-write-wins table and the
-sales roll-ups (update mode, no watermark).
+Both jobs land their topic first: one stream decodes every record once into
+typed Parquet (``landing.py``), dead letters included.  The metric streams read
+the landing table.
+Multi-event job: event time with a 5 s watermark -> active users, hourly top
+products, abandoned carts.
+Transaction job: last-write-wins table and the sales roll-ups (one update-mode
+aggregate, no watermark).
 
 Each metric is its own streaming query with its own checkpoint (Spark runs
 one stateful plan per query); every sink is a replay-safe ``foreachBatch``
@@ -21,45 +24,41 @@ from pyspark.sql.streaming import StreamingQuery
 
 from basketry import schemas
 from basketry.functions import codec
-from basketry.functions.money import PARTS, money_parts, money_total
+from basketry.functions.money import PARTS, folded_parts, money_parts, money_total
 from basketry.functions.timeparse import event_time
 from basketry.operators import active_users as au_ops
 from basketry.operators import carts, documents
 from basketry.operators import top_products as tp_ops
-from basketry.sources import adapters
-from basketry.streaming.writers import Fanout, JdbcTable, KeyedLog, ReplaceByKey, SearchIndex
+from basketry.streaming.landing import Landing, shelved
+from basketry.streaming.writers import (BatchLog, BucketTable, Fanout, JdbcTable, LatestSlot,
+                                        ReplaceByKey, SearchIndex)
 
 WATERMARK = "5 seconds"
 CHECKPOINT_INTERVAL = "10 seconds"
-#: Record columns that give the order of writes: newest time, then arrival.
-ARRIVAL = ["record_ts", "arrival"]
+#: Landed columns that give the order of writes: place in the source (Kafka
+#: offset, or time and place of the file), then place among the rows read together.
+ARRIVAL = ["arrival", "seq"]
 
 
-def decode_event_stream(raw: DataFrame, watermark: str | None = WATERMARK,
-                        mode: str = "quarantine") -> tuple[DataFrame, DataFrame]:
-    """(value, record_ts) records -> (events with event_ts + watermark, dead letters)."""
+def event_rows(raw: DataFrame, mode: str = "quarantine") -> DataFrame:
+    """(value, record_ts) records -> decoded envelope, event_ts, value and reason."""
     decoded = codec.decode_events(raw.select("value", "record_ts"), keep=["record_ts"], mode=mode)
-    good, bad = codec.split(decoded)
-    good = good.withColumn("event_ts", event_time("timestamp", "record_ts")).drop("record_ts")
-    if watermark:
-        good = good.withWatermark("event_ts", watermark)
-    return good, bad
+    return decoded.withColumn("event_ts", event_time("timestamp", "record_ts")).drop("record_ts")
 
 
-def decode_transaction_stream(raw: DataFrame, mode: str = "quarantine"
-                              ) -> tuple[DataFrame, DataFrame]:
-    """(value, record_ts, arrival) records -> (transactions in table form, dead letters).
+def decode_event_stream(raw: DataFrame, watermark: str | None = WATERMARK,
+                        mode: str = "quarantine") -> tuple[DataFrame, DataFrame]:
+    """(value, record_ts) records -> (events with event_ts + watermark, dead
+    letters), without a landing table (a single consumer)."""
+    good, bad = codec.split(event_rows(raw, mode))
+    return (good.withWatermark("event_ts", watermark) if watermark else good), bad
 
-    A record without an id, category or date has no place in the result
-    tables: it is a dead letter with the reason ``null_key``.
-    """
-    decoded = codec.decode_transactions(raw, keep=ARRIVAL, mode=mode)
-    lost = (F.col("transactionId").isNull() | F.col("productCategory").isNull()
-            | F.col("transactionDate").isNull())
-    decoded = decoded.withColumn("reason", F.when(
-        F.col("reason").isNull() & lost, F.lit(codec.NULL_KEY)).otherwise(F.col("reason")))
-    good, bad = codec.split(decoded)
-    return adapters.transactions_from_records(good, keep=ARRIVAL), bad
+
+def transaction_rows(raw: DataFrame, mode: str = "quarantine") -> DataFrame:
+    """(value, record_ts, arrival) records -> transactions in table form, their
+    order of arrival, value and reason."""
+    decoded = codec.dead_null_keys(codec.decode_transactions(raw, keep=["arrival"], mode=mode))
+    return codec.transactions_from_records(decoded, keep=["arrival", "value", "reason"])
 
 
 @dataclass
@@ -72,11 +71,14 @@ class Outputs:
     micro-batch), from the same persisted batch.  ``search`` (optional):
     ``{"format": ..., "options": {...}}`` — transactions, active users and top
     products are then also written as search documents with that connector.
+    ``transaction_buckets``: folders of the transactions table, for about a
+    hundred MB each at the table's expected size.
     """
 
     root: str
     jdbc: dict | None = None
     search: dict | None = None
+    transaction_buckets: int = 64
 
     def with_database(self, files_sink, table: str, columns: list[str] | None = None,
                       replace_key: str | None = None, batch_size: int = 500, to_docs=None):
@@ -100,32 +102,64 @@ class Outputs:
         return os.path.join(self.root, "_checkpoints", name)
 
     # --- result tables ---------------------------------------------------
-    # files_per_batch: only where a micro-batch's output is bounded (one row
-    # per closed minute); all other tables grow with the input and keep the
-    # stream's parallelism (fold their files with ``compact``).
-    def active_users(self) -> KeyedLog:
-        return KeyedLog(self.path("active_users_minute"), ["minute_ts"], _AU_SCHEMA,
-                        files_per_batch=1)
+    # Tables that keep one row per key; the bucket count follows the table's
+    # expected size, since a batch rewrites the buckets it touches.
+    def active_users(self) -> BucketTable:
+        """Bucketed by day: a batch touches the days whose windows it closes."""
+        return BucketTable(self.path("active_users_minute"), ["minute_ts"], _AU_SCHEMA,
+                           bucket=lambda: F.date_format("minute_ts", "yyyyMMdd").cast("int"))
+
+    def active_users_slot(self) -> LatestSlot:
+        return LatestSlot(self.path("latest_metrics"), "active_users_5m")
 
     def top_products(self) -> ReplaceByKey:
         return ReplaceByKey(self.path("top_products_hourly"), "hour_key", _TOP_SCHEMA)
 
-    def abandoned(self) -> KeyedLog:
-        return KeyedLog(self.path("abandoned_carts"), ["cart_id", "abandoned_at"], _AB_SCHEMA)
+    def abandoned(self) -> BatchLog:
+        return BatchLog(self.path("abandoned_carts"), _AB_SCHEMA)
+
+    def transactions(self) -> BucketTable:
+        return BucketTable(self.path("transactions"), ["transaction_id"], _TX_SCHEMA,
+                           buckets=self.transaction_buckets)
+
+    def sales(self, name: str) -> BucketTable:
+        """Bucketed by month: a batch touches the months of its transactions."""
+        keys, schema, month = {
+            "sales_per_category": (["transaction_date", "category"],
+                                   "transaction_date date, category string", "transaction_date"),
+            "sales_per_day": (["transaction_date"], "transaction_date date", "transaction_date"),
+            "sales_per_month": (["year", "month"], "year int, month int", None)}[name]
+        bucket = ((lambda: F.date_format(month, "yyyyMM").cast("int")) if month
+                  else (lambda: F.col("year") * 100 + F.col("month")))
+        return BucketTable(self.path(name), keys, f"{schema}, total_sales double, {_PARTS_SCHEMA}",
+                           bucket=bucket, hidden=PARTS)
+
+    def events_landing(self, schema) -> Landing:
+        return Landing(self.path("landing_events"), schema)
+
+    def transactions_landing(self, schema) -> Landing:
+        return Landing(self.path("landing_transactions"), schema, ordered=True)
+
+    def dead_letters(self, spark: SparkSession, topic: str) -> DataFrame:
+        """(value, reason) of the ``events`` or ``transactions`` that could not be decoded."""
+        schema = event_schema() if topic == "events" else transaction_schema()
+        table = self.events_landing(schema) if topic == "events" else self.transactions_landing(schema)
+        return table.dead_letters(spark)
+
+
+def event_schema() -> str:
+    return ", ".join(f"{n} {t}" for n, t in schemas.EVENT_FIELDS) + ", event_ts timestamp, value string, reason string"
 
-    def transactions(self) -> KeyedLog:
-        return KeyedLog(self.path("transactions"), ["transaction_id"])
 
-    def sales(self, name: str) -> KeyedLog:
-        keys = {"sales_per_category": ["transaction_date", "category"],
-                "sales_per_day": ["transaction_date"],
-                "sales_per_month": ["year", "month"]}[name]
-        return KeyedLog(self.path(name), keys)
+def transaction_schema() -> str:
+    return _TX_SCHEMA + ", value string, reason string"
 
 
 _AU_SCHEMA = "minute_ts timestamp, users bigint"
 _TOP_SCHEMA = "hour_ts timestamp, product_id string, amount double, product_rank bigint, hour_key string"
 _AB_SCHEMA = "cart_id string, abandoned_at timestamp"
+_TX_SCHEMA = ", ".join(f"{schemas.snake(n)} {t}" for n, t in schemas.TRANSACTION_FIELDS)
+_PARTS_SCHEMA = "exact decimal(38,8), approx double, wide boolean"
 
 
 def _start(df: DataFrame, name: str, out: Outputs, batch_fn, output_mode: str,
@@ -142,8 +176,17 @@ def start_active_users(events: DataFrame, out: Outputs, trigger: dict | None = N
     """Active users per window, emitted once the window closes (append)."""
     sink = out.with_database(out.active_users(), "active_users_minute",
                              to_docs=documents.active_user_docs)
-    return _start(au_ops.active_users_stream(events), "active_users", out,
-                  sink.write_batch, "append", trigger)
+    slot = out.active_users_slot()
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        df = df.persist()      # one row per closed minute
+        try:
+            sink.write_batch(df, batch_id)
+            slot.write_batch(df, "minute_ts", "users", batch_id)
+        finally:
+            df.unpersist()
+
+    return _start(au_ops.active_users_stream(events), "active_users", out, batch, "append", trigger)
 
 
 def start_top_products(events: DataFrame, out: Outputs, n: int = tp_ops.TOP_N,
@@ -208,7 +251,7 @@ def start_abandoned_carts_processing_time(events: DataFrame, out: Outputs,
     checkpoint), so the setting holds for the start only.
     """
     from basketry.streaming.stateful import ROCKSDB, abandoned_carts_processing_time
-    log = KeyedLog(out.path("abandoned_carts_pt"), ["cart_id", "abandoned_at"], _AB_SCHEMA)
+    log = BatchLog(out.path("abandoned_carts_pt"), _AB_SCHEMA)
     conf, key = events.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
     before = conf.get(key)
     conf.set(key, ROCKSDB)
@@ -219,23 +262,51 @@ def start_abandoned_carts_processing_time(events: DataFrame, out: Outputs,
         conf.set(key, before)
 
 
-def start_dead_letters(bad: DataFrame, out: Outputs, name: str = "quarantine",
-                       trigger: dict | None = None) -> StreamingQuery:
-    log = KeyedLog(out.path(name), ["value", "reason"])
-    return _start(bad, name, out, log.write_batch, "append", trigger)
+def _land(rows: DataFrame, table: Landing, name: str, out: Outputs, trigger: dict | None) -> StreamingQuery:
+    trigger = trigger or {"processingTime": CHECKPOINT_INTERVAL}
+    q = table.start(rows, name, out.checkpoint(name), trigger)
+    if trigger.get("availableNow") or trigger.get("once"):
+        await_all([q])      # readers then find all that was available
+    return q
+
+
+def land_events(raw: DataFrame, out: Outputs, trigger: dict | None = None,
+                mode: str = "quarantine") -> tuple[StreamingQuery, Landing]:
+    """The one stream that reads and decodes the topic, and its landing table."""
+    rows = event_rows(raw, mode)
+    rows = shelved(rows, F.col("event_ts"))
+    table = out.events_landing(rows.schema)
+    return _land(rows, table, "landing_events", out, trigger), table
+
+
+def land_transactions(raw: DataFrame, out: Outputs, trigger: dict | None = None,
+                      mode: str = "quarantine") -> tuple[StreamingQuery, Landing]:
+    rows = shelved(transaction_rows(raw, mode), F.col("transaction_date"))
+    table = out.transactions_landing(rows.schema)
+    return _land(rows, table, "landing_transactions", out, trigger), table
+
+
+def landed_events(table: Landing, spark: SparkSession, watermark: str | None = WATERMARK) -> DataFrame:
+    events = table.stream(spark)
+    return events.withWatermark("event_ts", watermark) if watermark else events
 
 
 def start_multi_event_job(raw: DataFrame, out: Outputs, timeout: str = carts.TIMEOUT,
-                          trigger: dict | None = None, console: bool = False
-                          ) -> list[StreamingQuery]:
-    """All metrics of the event stream; ``console`` adds the peek prints
-    (routed event references, metric labels) for debugging."""
+                          trigger: dict | None = None, console: bool = False,
+                          publish: dict | None = None) -> list[StreamingQuery]:
+    """All metrics of the event stream, over one decoded landing table.
+
+    ``console`` adds the peek prints (routed event references, metric labels)
+    for debugging; ``publish`` (Kafka writer options) publishes the events."""
     from basketry.operators import events as ev_ops
-    events, bad = decode_event_stream(raw)
-    queries = [start_active_users(events, out, trigger),
+    landing, table = land_events(raw, out, trigger)
+    events = landed_events(table, raw.sparkSession)
+    queries = [landing,
+               start_active_users(events, out, trigger),
                start_top_products(events, out, trigger=trigger),
-               start_abandoned_carts(events, out, timeout, trigger),
-               start_dead_letters(bad, out, trigger=trigger)]
+               start_abandoned_carts(events, out, timeout, trigger)]
+    if publish:
+        queries.append(start_kafka_publish(landed_events(table, raw.sparkSession, None), out, publish, trigger))
     if console:
         queries += [
             start_console(ev_ops.event_refs(events), "peek_events", trigger=trigger),
@@ -264,58 +335,64 @@ def start_top_n_labels(events: DataFrame, out: Outputs, n: int = tp_ops.TOP_N,
 def start_transactions_table(tx: DataFrame, out: Outputs, order: list[str] | None = None,
                              trigger: dict | None = None) -> StreamingQuery:
     """Last write wins per transaction id: last to arrive within a batch
-    (record time, then offset or place in the file), newest batch across."""
+    (place in the source, then in the task), newest batch across."""
     from basketry.operators.sales import latest_transactions
     sink = out.with_database(out.transactions(), "transactions", batch_size=1000,
                              to_docs=documents.transaction_docs)
-    order = order or [*ARRIVAL, "row_order"]
+    order = order or ARRIVAL
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        # decoding keeps a task's rows in order: this number grows along them
-        df = df.withColumn("row_order", F.monotonically_increasing_id())
-        latest = latest_transactions(df, order)
-        sink.write_batch(latest.drop(*ARRIVAL, "row_order"), batch_id)
+        sink.write_batch(latest_transactions(df, order).drop(*ARRIVAL), batch_id)
 
     return _start(tx, "transactions", out, batch, "append", trigger)
 
 
-def sales_rollup_streams(tx: DataFrame) -> dict[str, DataFrame]:
-    """Update-mode running sums (exact money parts), one per roll-up table."""
-    parts = money_parts("total_amount")
-    return {
-        "sales_per_category": (tx.filter(F.col("product_category").isNotNull())
-                                 .groupBy(F.to_date("transaction_date").alias("transaction_date"),
-                                          F.col("product_category").alias("category"))
-                                 .agg(*parts)),
-        "sales_per_day": (tx.groupBy(F.to_date("transaction_date").alias("transaction_date"))
-                            .agg(*parts)),
-        "sales_per_month": (tx.groupBy(F.year("transaction_date").alias("year"),
-                                       F.month("transaction_date").alias("month"))
-                              .agg(*parts)),
-    }
+def sales_rollup_stream(tx: DataFrame) -> DataFrame:
+    """The one update-mode aggregate of all roll-ups: running money parts per
+    date and category.  A micro-batch emits the keys that it changes."""
+    return (tx.filter(F.col("product_category").isNotNull())
+              .groupBy(F.to_date("transaction_date").alias("transaction_date"),
+                       F.col("product_category").alias("category"))
+              .agg(*money_parts("total_amount")))
 
 
 def start_sales_rollups(tx: DataFrame, out: Outputs, trigger: dict | None = None
-                        ) -> list[StreamingQuery]:
-    queries = []
-    for name, agg in sales_rollup_streams(tx).items():
-        sink = out.with_database(out.sales(name), name)
+                        ) -> StreamingQuery:
+    """All three roll-up tables from one stream.
 
-        def batch(df: DataFrame, batch_id: int, sink=sink) -> None:
-            sink.write_batch(df.withColumn("total_sales", money_total()).drop(*PARTS), batch_id)
+    A batch upserts the (date, category) totals that changed.  Day and month
+    totals are then folded from the stored totals of the changed months: the
+    stored table already holds this batch, so a re-run gives the same sums.
+    """
+    tables = {n: out.sales(n) for n in ("sales_per_category", "sales_per_day", "sales_per_month")}
+    sinks = {n: out.with_database(t, n, [c for c in t.columns if c not in PARTS]) for n, t in tables.items()}
 
-        queries.append(_start(agg, name, out, batch, "update", trigger))
-    return queries
+    def batch(df: DataFrame, batch_id: int) -> None:
+        changed = df.withColumn("total_sales", money_total())
+        sinks["sales_per_category"].write_batch(changed, batch_id)
+        stored = tables["sales_per_category"].touched(df.sparkSession, batch_id)
+        if stored is None:
+            return
+        days = stored.groupBy("transaction_date").agg(
+            *folded_parts(), F.max("batch_id").alias("newest"))
+        months = days.groupBy(F.year("transaction_date").alias("year"),
+                              F.month("transaction_date").alias("month")).agg(*folded_parts())
+        # days without a change keep the row they have
+        new_days = days.where(F.col("newest") == batch_id).drop("newest")
+        sinks["sales_per_day"].write_batch(new_days.withColumn("total_sales", money_total()), batch_id)
+        sinks["sales_per_month"].write_batch(months.withColumn("total_sales", money_total()), batch_id)
+
+    return _start(sales_rollup_stream(tx), "sales_rollups", out, batch, "update", trigger)
 
 
 def start_transaction_job(raw: DataFrame, out: Outputs, trigger: dict | None = None,
                           console: bool = False) -> list[StreamingQuery]:
-    """Table, roll-ups and dead letters; ``console`` also prints the decoded stream."""
-    tx, bad = decode_transaction_stream(raw)
+    """Landing (with dead letters), table and roll-ups; ``console`` also prints the decoded stream."""
+    landing, table = land_transactions(raw, out, trigger)
+    tx = table.stream(raw.sparkSession)
     printed = [start_console(tx.drop(*ARRIVAL), "print_transactions", trigger=trigger)] if console else []
-    return ([start_transactions_table(tx, out, trigger=trigger)]
-            + start_sales_rollups(tx, out, trigger)
-            + [start_dead_letters(bad, out, "transaction_quarantine", trigger)] + printed)
+    return [landing, start_transactions_table(tx, out, trigger=trigger),
+            start_sales_rollups(tx, out, trigger)] + printed
 
 
 def await_all(queries: list[StreamingQuery], timeout_s: int | None = None) -> None:

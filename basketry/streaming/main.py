@@ -84,11 +84,9 @@ def main(argv: list[str] | None = None) -> None:
             args.bootstrap, args.topic, args.max_offsets))
     if args.job == "multi-event":
         queries = jobs.start_multi_event_job(raw, out, timeout_from_env(args.timeout_minutes),
-                                             trigger, console=args.console)
-        if args.publish_topic:
-            events, _ = jobs.decode_event_stream(raw, watermark=None)
-            queries.append(jobs.start_kafka_publish(
-                events, out, kafka.write_kafka_options(args.bootstrap, args.publish_topic), trigger))
+                                             trigger, console=args.console,
+                                             publish=(kafka.write_kafka_options(args.bootstrap, args.publish_topic)
+                                                      if args.publish_topic else None))
     else:
         queries = jobs.start_transaction_job(raw, out, trigger, console=args.console)
     if args.once:

@@ -1,11 +1,14 @@
 """Replay-safe result writers, used from ``foreachBatch``.
 
-* ``KeyedLog`` — keyed result table as a Parquet log partitioned by
-  ``batch_id``.  Each micro-batch overwrites only its own partition
-  (dynamic partition overwrite), so re-running a batch after a failure
-  replaces it instead of adding a copy.  Readers take the newest value per
-  key.  ``compact`` folds the log into a snapshot, ``prune`` drops the
-  folded partitions, so reads do not grow with the stream's age.
+* ``BucketTable`` — keyed table with one row per key, in bucket folders.  A
+  batch rewrites the buckets it touches: the merged rows are staged, then the
+  folders are replaced, so a crash at any point is mended by the re-run.
+  Reads scan one row per key; there is no log to fold.
+* ``BatchLog`` — rows that are emitted once (append mode), in a folder per
+  batch, with a count beside each: re-running a batch replaces both, and a
+  total is the sum of one small row per batch.
+* ``LatestSlot`` — the newest value of a metric, one row, guarded by its event
+  time.
 * ``ReplaceByKey`` — a batch replaces every partition (e.g. one hour) it
   writes: the "delete the key, then add its members" semantic of a sorted
   set, without leftovers when a member drops out on replay.
@@ -15,7 +18,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -50,115 +53,154 @@ def _dynamic_overwrite(df: DataFrame, path: str, partition_col: str) -> None:
        .parquet(path))
 
 
-def _list_dirs(spark: SparkSession, path: str) -> list[str]:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-class KeyedLog:
-    """Keyed table stored as a batch-id partitioned log (last write wins).
+class BucketTable:
+    """Keyed table: the newest row of each key, stored by bucket.
 
-    ``compact`` folds everything up to the newest batch into a snapshot
-    (``<path>_snapshots/upto=N``); reads then take the snapshot plus only
-    the log partitions after N (partition-pruned), and ``prune`` may drop
-    the log partitions a snapshot already holds.
+    ``bucket`` (optional) makes the bucket number, a function of the key such
+    as its month, for tables whose batches touch few of them; otherwise it is
+    a hash of the key in ``buckets`` folders.  Each stored row carries the
+    batch that wrote it.  ``hidden`` columns are stored for later batches and
+    left out of ``read``.
     """
 
-    def __init__(self, path: str, keys: list[str], schema: T.StructType | str | None = None,
-                 files_per_batch: int | None = None):
+    def __init__(self, path: str, keys: list[str], schema: T.StructType | str, buckets: int = 16,
+                 bucket=None, hidden: tuple[str, ...] = ()):
+        self.path, self.keys, self.buckets, self.hidden = path, keys, buckets, tuple(hidden)
+        self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        self.columns = self.schema.names
+        self.stored = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType()),
+                                    T.StructField("bucket", T.IntegerType())])
+        self._bucket = bucket
+        self._touched: tuple[int, list[int]] = (-1, [])
+
+    def bucket(self):
+        if self._bucket is not None:
+            return self._bucket().cast("int")
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def stage(self, batch_id: int) -> str:
+        return f"{self.path.rstrip('/')}_stage/batch_id={int(batch_id)}"
+
+    def _rows(self, spark: SparkSession, path: str | None = None) -> DataFrame:
+        return spark.read.schema(self.stored).parquet(path or self.path)
+
+    def write_batch(self, df: DataFrame, batch_id: int) -> None:
+        """Upsert a batch of one row per key.
+
+        A stage that is complete (its ``_SUCCESS`` marker is written last)
+        belongs to an attempt that may have replaced some folders already: it
+        is applied again as it is, never merged anew.
+        """
+        spark, stage = df.sparkSession, self.stage(batch_id)
+        if not path_exists(spark, f"{stage}/_SUCCESS"):
+            new = (df.select(*self.columns).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+                     .withColumn("bucket", self.bucket()).persist())
+            try:
+                touched = [r[0] for r in new.select("bucket").distinct().collect()]   # bucket numbers
+                self._touched = (int(batch_id), touched)
+                if not touched:
+                    return
+                rows = new
+                if path_exists(spark, self.path):
+                    old = self._rows(spark).where(F.col("bucket").isin(touched))
+                    rows = new.unionByName(old.join(new.select(*self.keys), self.keys, "left_anti"))
+                (rows.repartition("bucket").write.mode("overwrite").partitionBy("bucket")
+                     .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(stage))
+            finally:
+                new.unpersist()
+        staged = self._rows(spark, stage)
+        self._touched = (int(batch_id), [r[0] for r in staged.select("bucket").distinct().collect()])
+        _dynamic_overwrite(staged.repartition("bucket"), self.path, "bucket")
+        _delete(spark, stage)
+
+    def touched(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+        """Stored rows (with ``batch_id``) of the buckets that this batch has just rewritten."""
+        last, buckets = self._touched
+        if last != int(batch_id) or not buckets:
+            return None
+        return self._rows(spark).where(F.col("bucket").isin(buckets))
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """One row per key."""
+        cols = [c for c in self.columns if c not in self.hidden]
+        if not path_exists(spark, self.path):
+            return spark.createDataFrame([], self.schema).select(*cols)
+        return self._rows(spark).select(*cols)
+
+
+class BatchLog:
+    """Rows that are final when emitted, in a folder per batch, and their counts.
+
+    A re-run batch replaces its folder and its count, so neither a row nor the
+    total is ever counted twice.
+    """
+
+    def __init__(self, path: str, schema: T.StructType | str):
         self.path = path
-        self.keys = keys
-        self.schema = schema
-        self.snapshots = path.rstrip("/") + "_snapshots"
-        # A micro-batch leaving a stateful operator has one partition per
-        # state partition, and AQE does not coalesce foreachBatch writes: a
-        # table whose per-batch output is small sets this to write that many
-        # files (a small shuffle; coalesce would shrink the stateful stage).
-        self.files_per_batch = files_per_batch
+        self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        self.counts = path.rstrip("/") + "_counts"
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
-        if self.files_per_batch:
-            df = df.repartition(self.files_per_batch)
-        _dynamic_overwrite(df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")),
-                           self.path, "batch_id")
-
-    def read_log(self, spark: SparkSession) -> DataFrame | None:
-        return read_parquet_or_empty(spark, self.path, None)
-
-    def latest_snapshot(self, spark: SparkSession) -> int | None:
-        """Newest *published* snapshot: the committer's ``_SUCCESS`` marker is
-        written last, so a folder without it is a commit under way or killed."""
-        ids = [int(d.split("=", 1)[1]) for d in _list_dirs(spark, self.snapshots)
-               if d.startswith("upto=") and path_exists(spark, f"{self.snapshots}/{d}/_SUCCESS")]
-        return max(ids) if ids else None
-
-    def _rows(self, spark: SparkSession) -> DataFrame | None:
-        """Snapshot rows (stamped with their batch) + newer log rows."""
-        log = self.read_log(spark)
-        upto = self.latest_snapshot(spark)
-        if upto is None:
-            return log
-        snap = spark.read.parquet(f"{self.snapshots}/upto={upto}")
-        if log is None:
-            return snap
-        return snap.unionByName(log.filter(F.col("batch_id") > upto))
+        spark, b = df.sparkSession, F.lit(int(batch_id)).cast("bigint")
+        _dynamic_overwrite(df.withColumn("batch_id", b), self.path, "batch_id")
+        # from the footers of the files just written
+        n = self._rows(spark).where(F.col("batch_id") == b).count()
+        if n:
+            _dynamic_overwrite(spark.range(1).select(F.lit(n).cast("bigint").alias("n"), b.alias("batch_id")),
+                               self.counts, "batch_id")
+
+    def _rows(self, spark: SparkSession) -> DataFrame:
+        if not path_exists(spark, self.path):
+            return spark.createDataFrame([], self.schema).withColumn("batch_id", F.lit(0).cast("bigint"))
+        return spark.read.schema(T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])).parquet(
+            self.path)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        """Newest row per key (a partial WindowGroupLimit bounds each key)."""
-        rows = self._rows(spark)
-        if rows is None:
-            if self.schema is None:
-                raise FileNotFoundError(self.path)
-            return spark.createDataFrame([], self.schema)
-        w = Window.partitionBy(*self.keys).orderBy(F.desc("batch_id"))
-        return (rows.withColumn("_rn", F.row_number().over(w))
-                    .filter(F.col("_rn") == 1).drop("_rn", "batch_id"))
-
-    def compact(self, spark: SparkSession) -> int | None:
-        """Write the newest row per key up to the newest batch as a snapshot;
-        returns its batch id.  Safe to run next to the writer: only batches
-        already in the log are folded in."""
-        rows = self._rows(spark)
-        if rows is None:
-            return None
-        upto = rows.agg(F.max("batch_id")).first()[0]
-        if upto is None or upto == self.latest_snapshot(spark):
-            return upto                     # nothing new since the last snapshot
-        w = Window.partitionBy(*self.keys).orderBy(F.desc("batch_id"))
-        (rows.filter(F.col("batch_id") <= upto)
-             .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
-             .write.mode("overwrite")
-             .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
-             .parquet(f"{self.snapshots}/upto={upto}"))
-        return upto
-
-    def prune(self, spark: SparkSession) -> int:
-        """Delete log partitions already contained in the newest snapshot.
-
-        The snapshot is read again first: every key of those partitions must
-        be in it, or nothing is deleted.
-        """
-        upto = self.latest_snapshot(spark)
-        log = self.read_log(spark)
-        if upto is None or log is None:
-            return 0
-        snap = spark.read.parquet(f"{self.snapshots}/upto={upto}").select(*self.keys)
-        old = log.filter(F.col("batch_id") <= upto).select(*self.keys)
-        if old.subtract(snap).limit(1).count():
-            raise RuntimeError(f"snapshot upto={upto} of {self.path} lacks keys of its log")
-        jvm = spark._jvm
-        fs = jvm.org.apache.hadoop.fs.Path(self.path).getFileSystem(
-            spark._jsc.hadoopConfiguration())
-        dropped = 0
-        for d in _list_dirs(spark, self.path):
-            if d.startswith("batch_id=") and int(d.split("=", 1)[1]) <= upto:
-                fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{d}"), True)
-                dropped += 1
-        return dropped
+        return self._rows(spark).select(*self.schema.names)
+
+    def count(self, spark: SparkSession) -> DataFrame:
+        """``n``, the number of rows: one small row per batch is read, not the rows."""
+        if path_exists(spark, self.counts):
+            per_batch = spark.read.schema("n bigint, batch_id bigint").parquet(self.counts)
+        else:
+            per_batch = spark.createDataFrame([], "n bigint")
+        return per_batch.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n"))
+
+
+class LatestSlot:
+    """The newest value of one metric: a single row (ts, value), replaced by newer event times only."""
+
+    SCHEMA = "ts timestamp, value bigint, batch_id bigint, metric string"
+
+    def __init__(self, path: str, metric: str):
+        self.path, self.metric = path, metric
+
+    def write_batch(self, df: DataFrame, ts: str, value: str, batch_id: int) -> None:
+        """The newest row of a batch goes in unless the slot is newer, so a replay of an older batch can't win."""
+        spark = df.sparkSession
+        new = df.agg(F.max(F.struct(F.unix_micros(ts).alias("us"), F.col(value).alias("v"))).alias("m")).first()["m"]
+        if new is None:
+            return
+        now = self.read(spark).select(F.unix_micros("ts").alias("us")).first()
+        if now is not None and now["us"] > new["us"]:
+            return
+        row = spark.range(1).select(F.timestamp_micros(F.lit(new["us"])).alias("ts"),
+                                    F.lit(new["v"]).cast("bigint").alias("value"),
+                                    F.lit(int(batch_id)).cast("bigint").alias("batch_id"),
+                                    F.lit(self.metric).alias("metric"))
+        _dynamic_overwrite(row, self.path, "metric")
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """(ts, value): one row, or none before the first batch."""
+        if not path_exists(spark, self.path):
+            return spark.createDataFrame([], "ts timestamp, value bigint")
+        rows = spark.read.schema(self.SCHEMA).parquet(self.path)
+        return rows.where(F.col("metric") == self.metric).select("ts", "value")
 
 
 class ReplaceByKey:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from basketry.session import work_path
 from basketry.sources import files
 from basketry.streaming import jobs
-from basketry.streaming.writers import KeyedLog, ReplaceByKey, jdbc_execute, jdbc_upsert
+from basketry.streaming.writers import BatchLog, BucketTable, ReplaceByKey, jdbc_execute, jdbc_upsert
 from tests.conftest import rows
 
 ONCE = {"availableNow": True}
@@ -29,14 +29,15 @@ def _pv(i, user, ts):
 T0 = dt.datetime(2024, 1, 1)
 
 
-def test_keyed_log_replay_keeps_one_copy(spark):
-    log = KeyedLog(work_path(spark, "t_keyed"), ["k"])
+def test_bucket_table_replay_keeps_one_copy(spark):
+    table = BucketTable(work_path(spark, "t_keyed"), ["k"], "k string, v int", buckets=4)
+    assert table.read(spark).count() == 0
     df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
-    log.write_batch(df, 0)
-    log.write_batch(df, 0)                      # the same batch again
-    log.write_batch(spark.createDataFrame([("a", 5)], "k string, v int"), 1)
-    assert log.read_log(spark).count() == 3
-    assert rows(log.read(spark), "k", "v") == [("a", 5), ("b", 2)]
+    table.write_batch(df, 0)
+    table.write_batch(df, 0)                      # the same batch again
+    table.write_batch(spark.createDataFrame([("a", 5)], "k string, v int"), 1)
+    assert rows(table.read(spark), "k", "v") == [("a", 5), ("b", 2)]
+    assert spark.read.parquet(table.path).count() == 2    # one stored row per key
 
 
 def test_replace_by_key(spark):
@@ -52,7 +53,7 @@ def test_stream_replay_after_crash(spark):
     out = jobs.Outputs(work_path(spark, "t_crash"))
     in_dir = out.path("_input")
     _write_lines(spark, in_dir, ["not json", '{"eventId":"x","zzz":1}', _pv(1, "u", T0)])
-    log = KeyedLog(out.path("dead"), ["value", "reason"])
+    log = BatchLog(out.path("dead"), "value string, reason string")
     state = {"crashed": False}
 
     def crashing(df, batch_id):
@@ -72,7 +73,8 @@ def test_stream_replay_after_crash(spark):
         q.awaitTermination(120)
     q = start(log.write_batch)                  # restart: the batch id is re-run
     jobs.await_all([q])
-    assert log.read_log(spark).count() == 2     # replaced, not appended twice
+    assert log.read(spark).count() == 2     # replaced, not appended twice
+    assert log.count(spark).first()[0] == 2
     assert rows(log.read(spark), "reason") == [("malformed",), ("unknown_field",)]
 
 
@@ -132,15 +134,15 @@ def test_multi_event_job_end_to_end(spark):
     assert [(r.product_id, r.amount) for r in top] == [("p1", 12.5)]
     ab = out.abandoned().read(spark).collect()
     assert [r.cart_id for r in ab] == ["c1"]
-    dead = KeyedLog(out.path("quarantine"), ["value", "reason"]).read(spark).collect()
+    dead = out.dead_letters(spark, "events").collect()
     assert [(r.value, r.reason) for r in dead] == [("not json", "malformed")]
     assert os.path.basename(out.root).startswith("t_multi")
 
 
 def test_fanout_writes_each_sink_once(spark):
     from basketry.streaming.writers import Fanout
-    a = KeyedLog(work_path(spark, "t_fan_a"), ["k"])
-    b = KeyedLog(work_path(spark, "t_fan_b"), ["k"])
+    a = BucketTable(work_path(spark, "t_fan_a"), ["k"], "k string, v int")
+    b = BatchLog(work_path(spark, "t_fan_b"), "k string")
     df = spark.createDataFrame([("x", 1)], "k string, v int")
     Fanout(a, b, shapes={1: lambda d: d.select("k")}).write_batch(df, 3)
     assert rows(a.read(spark)) == [("x", 1)]
@@ -174,19 +176,18 @@ def test_processing_time_cart_timers(spark):
     events, _ = jobs.decode_event_stream(raw, watermark=None)
     q = jobs.start_abandoned_carts_processing_time(events, out, "2 seconds",
                                                    {"processingTime": "1 second"})
-    log = KeyedLog(out.path("abandoned_carts_pt"), ["cart_id", "abandoned_at"])
+    log = BatchLog(out.path("abandoned_carts_pt"), "cart_id string, abandoned_at timestamp")
     try:
         deadline = time.time() + 90
         got = []
         while time.time() < deadline:
             time.sleep(2)
             assert q.exception() is None
-            df = log.read_log(spark)
-            got = [] if df is None else [r.cart_id for r in df.collect()]
+            got = [r.cart_id for r in log.read(spark).collect()]
             if got:
                 break
         time.sleep(3)
-        got = [r.cart_id for r in log.read_log(spark).collect()]
+        got = [r.cart_id for r in log.read(spark).collect()]
     finally:
         q.stop()
         spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
@@ -257,21 +258,6 @@ def test_console_peeks(spark, capsys):
     assert {q.name for q in qs} >= {"peek_events", "print_active_users", "print_abandoned"}
 
 
-def test_keyed_log_compaction(spark):
-    log = KeyedLog(work_path(spark, "t_compact"), ["k"])
-    mk = lambda pairs: spark.createDataFrame(pairs, "k string, v int")
-    log.write_batch(mk([("a", 1), ("b", 1)]), 0)
-    log.write_batch(mk([("a", 2)]), 1)
-    assert log.compact(spark) == 1
-    assert log.prune(spark) == 2
-    log.write_batch(mk([("b", 3), ("c", 3)]), 2)
-    log.write_batch(mk([("b", 3), ("c", 3)]), 2)            # replayed batch
-    assert rows(log.read(spark), "k", "v") == [("a", 2), ("b", 3), ("c", 3)]
-    assert log.compact(spark) == 2
-    assert log.compact(spark) == 2                           # nothing new: no rewrite
-    assert rows(log.read(spark), "k", "v") == [("a", 2), ("b", 3), ("c", 3)]
-
-
 def test_jdbc_replace_by_hour(spark):
     """S7 as decided: a re-run hour replaces its members, no leftovers."""
     url = "jdbc:derby:memory:basketry_topn;create=true"
@@ -330,8 +316,7 @@ def test_cli_transactions_once(spark):
     assert rows(o.sales("sales_per_day").read(spark), "total_sales") == [(3.75,), (4.0,)]
     assert rows(o.transactions().read(spark), "transaction_id", "product_quantity",
                 "product_price") == [("t1", 2, 0.0), ("t2", 2, 0.0), ("t3", 2, 0.0)]
-    dead = KeyedLog(o.path("transaction_quarantine"), ["value", "reason"]).read(spark)
-    assert [r.reason for r in dead.collect()] == ["unknown_field"]
+    assert [r.reason for r in o.dead_letters(spark, "transactions").collect()] == ["unknown_field"]
 
 
 def test_cli_writes_database(spark):

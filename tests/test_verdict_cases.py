@@ -11,7 +11,6 @@ from basketry.operators import active_users, sales, top_products
 from basketry.session import checkpoint_root, work_path
 from basketry.sources import files
 from basketry.streaming import jobs
-from basketry.streaming.writers import KeyedLog
 from tests.conftest import rows
 from tests.test_streaming import ONCE, _pv, _write_lines
 
@@ -54,8 +53,7 @@ def test_transaction_job_dead_letters_missing_keys_and_keeps_the_last_write(spar
         _tx("t1", amount=10.0), _tx(None), _tx(None, amount=2.0), _tx("t2", category=None), _tx("t3", day=None),
         _tx("t4", amount=5.0, day=3), _tx("t4", amount=3.0, day=1), _tx("t5", amount=1e18)])
     jobs.await_all(jobs.start_transaction_job(files.read_records_stream(spark, in_dir), out, ONCE))
-    dead = KeyedLog(out.path("transaction_quarantine"), ["value", "reason"]).read_log(spark)
-    assert [r["reason"] for r in dead.collect()] == ["null_key"] * 4
+    assert [r["reason"] for r in out.dead_letters(spark, "transactions").collect()] == ["null_key"] * 4
     assert rows(out.transactions().read(spark), "transaction_id", "total_amount") == [
         ("t1", 10.0), ("t4", 3.0), ("t5", 1e18)]
     day = {r["transaction_date"].day: r["total_sales"] for r in out.sales("sales_per_day").read(spark).collect()}
@@ -74,35 +72,6 @@ def test_untyped_events_advance_the_watermark(spark):
     assert out.active_users().read(spark).count() == 5
 
 
-def test_half_written_snapshots_are_ignored(spark):
-    log = KeyedLog(work_path(spark, "t_half"), ["k"])
-    for b in range(2):
-        log.write_batch(spark.range(b * 100, b * 100 + 100).select(F.col("id").alias("k"), F.lit(b).alias("v")), b)
-    # a commit that was killed: some rows, no marker
-    half = log.read_log(spark).limit(30)
-    (half.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
-     .parquet(f"{log.snapshots}/upto=1"))
-    assert log.latest_snapshot(spark) is None and log.read(spark).count() == 200
-    assert log.prune(spark) == 0
-    assert log.compact(spark) == 1 and log.prune(spark) == 2
-    assert log.read(spark).count() == 200
-
-
-def test_prune_keeps_a_log_that_its_snapshot_lacks(spark):
-    log = KeyedLog(work_path(spark, "t_lack"), ["k"])
-    log.write_batch(spark.range(10).select(F.col("id").alias("k")), 0)
-    log.read_log(spark).limit(3).write.parquet(f"{log.snapshots}/upto=0")
-    with pytest.raises(RuntimeError):
-        log.prune(spark)
-
-
-def test_growing_tables_have_no_fixed_file_count():
-    out = jobs.Outputs("/x")
-    for table in (out.abandoned(), out.transactions(), *[out.sales(n) for n in (
-            "sales_per_category", "sales_per_day", "sales_per_month")]):
-        assert table.files_per_batch is None
-
-
 def test_shared_folder_is_required_on_a_cluster():
     class Conf:
         def get(self, key, default=None):
@@ -120,8 +89,8 @@ def test_search_documents_are_written(spark):
     out = jobs.Outputs(work_path(spark, "t_search"), search={"format": "json", "options": {"path": folder}})
     in_dir = out.path("_input")
     _write_lines(spark, in_dir, [_tx("t1", amount=2.5), _tx("t2")])
-    tx, _ = jobs.decode_transaction_stream(files.read_records_stream(spark, in_dir))
-    jobs.await_all([jobs.start_transactions_table(tx, out, trigger=ONCE)])
+    _, table = jobs.land_transactions(files.read_records_stream(spark, in_dir), out, ONCE)
+    jobs.await_all([jobs.start_transactions_table(table.stream(spark), out, trigger=ONCE)])
     docs = spark.read.json(folder).collect()
     assert sorted((d["index"], d["id"]) for d in docs) == [("transactions", "t1"), ("transactions", "t2")]
     assert json.loads(sorted(docs, key=lambda d: d["id"])[0]["doc"])["totalAmount"] == 2.5
