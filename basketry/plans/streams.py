@@ -227,7 +227,42 @@ def stream_transaction_quarantine(spark, sf_dir):
     return dead.withColumn("total", F.lit(None).cast("double")).unionByName(good)
 
 
+#: Event-time bounds of the registered replay (UTC).
+REPLAY_FROM, REPLAY_TO = "2024-01-10 00:00:00", "2024-01-12 06:30:00"
+
+
+def replay_active_users(spark, sf_dir):
+    """Back-fill: stored wire records read as a batch, cut to two bounds, through the batch operator."""
+    from basketry.operators.active_users import active_users
+    env = _env(spark, sf_dir)
+    folder = work_path(spark, "replay_active_users")
+    env.select(codec.encode_events(env).alias("value")).write.text(folder)
+    events = jobs.replay_events(files.read_records(spark, folder), REPLAY_FROM, REPLAY_TO)
+    return ntz(active_users(events))
+
+
+def stream_running_totals(spark, sf_dir):
+    """The running reduces as streams: last total per category and per month number."""
+    out = jobs.Outputs(work_path(spark, "stream_running_totals"))
+    in_dir = out.path("_input")
+    tx = _tx(spark, sf_dir)
+    records = tx.select(codec.encode_transactions(tx, "millis").alias("value"), "transaction_date")
+
+    def run():
+        _landing, table = jobs.land_transactions(files.read_records_stream(spark, in_dir), out, AVAILABLE_NOW)
+        jobs.await_all(jobs.start_running_totals(table.stream(spark), out, trigger=AVAILABLE_NOW))
+
+    feed_in_chunks(records, "transaction_date", in_dir, run)
+    category = out.running("running_per_category").read(spark)
+    month = out.running("running_per_month").read(spark)
+    null_s, null_i = F.lit(None).cast("string"), F.lit(None).cast("int")
+    return (category.select("category", null_i.alias("month"), null_i.alias("stored_year"), "total_sales")
+            .unionByName(month.select(null_s.alias("category"), "month", "stored_year", "total_sales")))
+
+
 STREAM_QUERIES = {
+    "replay_active_users": replay_active_users,
+    "stream_running_totals": stream_running_totals,
     "stream_active_users": stream_active_users,
     "stream_top_products": stream_top_products,
     "stream_abandoned_carts": stream_abandoned_carts,
@@ -288,6 +323,20 @@ STREAM_ORACLE = {
         FROM events WHERE event_id % 50 IN (0, 1, 2) GROUP BY 1""",
 }
 
+STREAM_ORACLE["replay_active_users"] = f"""
+        WITH e AS (SELECT CAST(user_id AS VARCHAR) AS u, date_trunc('millisecond', ts) AS t FROM events
+                   WHERE event_type = 'view' AND date_trunc('millisecond', ts) >= TIMESTAMP '{REPLAY_FROM}'
+                     AND date_trunc('millisecond', ts) < TIMESTAMP '{REPLAY_TO}'),
+        w AS (SELECT u, date_trunc('minute', t) + INTERVAL 1 MINUTE * (k + 1) AS minute_ts
+              FROM e, range(5) AS r(k))
+        SELECT minute_ts, count(DISTINCT u) AS users FROM w GROUP BY 1"""
+# the last rows of the batch running totals
+STREAM_ORACLE["stream_running_totals"] = sql("""
+        SELECT product_category AS category, CAST(NULL AS INTEGER) AS "month", CAST(NULL AS INTEGER) AS stored_year,
+               CAST(sum(CAST(total_amount AS DECIMAL(28,8))) AS DOUBLE) AS total_sales FROM tx GROUP BY 1
+        UNION ALL
+        SELECT NULL, CAST(month(transaction_date) AS INTEGER), CAST(min(year(transaction_date)) AS INTEGER),
+               CAST(sum(CAST(total_amount AS DECIMAL(28,8))) AS DOUBLE) FROM tx GROUP BY month(transaction_date)""", "tx")
 # the dead letters of the batch query
 STREAM_ORACLE["stream_transaction_quarantine"] = ORACLE["quarantine_transactions"]
 # Late copies never reach a window: the result is the on-time stream's.

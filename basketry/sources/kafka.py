@@ -8,6 +8,8 @@ on a cluster.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,6 +72,50 @@ def transaction_kafka_options(bootstrap: str | None = None, topic: str = TOPIC,
                          max_offsets_per_trigger=max_offsets_per_trigger)
 
 
+def range_options(start: int | dict[int, int], end: int | dict[int, int] | None = None,
+                  bootstrap: str | None = None, topic: str = TOPIC) -> dict[str, str]:
+    """Reader options of a bounded read, for back-fills.
+
+    ``start`` and ``end`` are epoch milliseconds (from start on, before end;
+    a time behind the last record is the topic's end) or offsets per
+    partition (``-2`` earliest, ``-1`` latest), both of one kind.  Without
+    ``end`` the read goes up to the records there are when it starts.
+    """
+    if end is not None and isinstance(start, dict) != isinstance(end, dict):
+        raise ValueError("start and end have to be both times or both offsets")
+    opts = {"kafka.bootstrap.servers": bootstrap or DEFAULT_BOOTSTRAP, "subscribe": topic,
+            "failOnDataLoss": "true"}
+    if isinstance(start, dict):
+        if end is not None and set(start) != set(end):
+            raise ValueError("start and end have to name the same partitions")
+        offsets = lambda o: json.dumps({topic: {str(p): int(n) for p, n in sorted(o.items())}})
+        opts["startingOffsets"] = offsets(start)
+        opts["endingOffsets"] = offsets(end) if end is not None else "latest"
+    else:
+        if end is not None and end < start:
+            raise ValueError("end lies before start")
+        opts["startingTimestamp"] = str(int(start))
+        opts["startingOffsetsByTimestampStrategy"] = "latest"
+        if end is not None:
+            opts["endingTimestamp"] = str(int(end))
+        else:
+            opts["endingOffsets"] = "latest"
+    return opts
+
+
+def _records(df: DataFrame) -> DataFrame:
+    return df.select(F.col("value").cast("string").alias("value"), F.col("timestamp").alias("record_ts"),
+                     F.struct("offset", "partition").alias("arrival"))
+
+
+def read_kafka_range(spark: SparkSession, options: dict[str, str]) -> DataFrame:
+    """Batch: the records between two bounds (``range_options``), in the stream's columns."""
+    reader = spark.read.format("kafka")
+    for k, v in options.items():
+        reader = reader.option(k, v)
+    return _records(reader.load())
+
+
 def read_kafka_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     """Kafka records as ``(value, record_ts, arrival)``; the key is unused on read.
 
@@ -79,9 +125,7 @@ def read_kafka_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame
     reader = spark.readStream.format("kafka")
     for k, v in options.items():
         reader = reader.option(k, v)
-    return reader.load().select(F.col("value").cast("string").alias("value"),
-                                F.col("timestamp").alias("record_ts"),
-                                F.struct("offset", "partition").alias("arrival"))
+    return _records(reader.load())
 
 
 def write_kafka_options(bootstrap: str | None = None, topic: str = TOPIC) -> dict[str, str]:

@@ -1,5 +1,7 @@
 """Source / sink options and DDL (no live services here)."""
 
+import pytest
+
 from basketry import schemas
 from basketry.sources import kafka
 from basketry.streaming.writers import merge_sql, postgres_upsert_sql
@@ -43,3 +45,17 @@ def test_upsert_statements():
                  '"v" = s."v" WHEN NOT MATCHED THEN INSERT ("k", "v") VALUES (s."k", s."v")')
     p = postgres_upsert_sql("t", "s_1", ["k"], ["k", "v"])
     assert p.endswith('ON CONFLICT ("k") DO UPDATE SET "v" = EXCLUDED."v"')
+
+
+def test_range_options():
+    import json
+    t = kafka.range_options(1000, 2000, "h:1", "t")
+    assert (t["startingTimestamp"], t["endingTimestamp"], t["subscribe"]) == ("1000", "2000", "t")
+    assert "startingOffsets" not in t and "groupIdPrefix" not in t
+    assert kafka.range_options(5)["endingOffsets"] == "latest"
+    o = kafka.range_options({1: 7, 0: -2}, {0: 9, 1: 8}, topic="t")
+    assert json.loads(o["startingOffsets"]) == {"t": {"0": -2, "1": 7}}
+    assert json.loads(o["endingOffsets"]) == {"t": {"0": 9, "1": 8}}
+    for bad in ((2, 1), (1, {0: 1}), ({0: 1}, {1: 2})):
+        with pytest.raises(ValueError):
+            kafka.range_options(*bad)
