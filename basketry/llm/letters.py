@@ -14,7 +14,7 @@ import numpy as np
 from .flat import Words, mix, span_hashes, spans
 
 #: Code points of one slice, unless a single text is longer.
-SLICE = 1 << 20
+SLICE = 1 << 19
 
 
 @cache

@@ -207,13 +207,13 @@ def _windows(words: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, toxic = b.column(1).to_pylist(), np.asarray(b.column(0).to_pylist(), bool)
-            number, label, hit, draws = [], [], [], []
             for i, j in text_slices(texts):
                 w = LetterWords(texts[i:j])
                 if not len(w.hashes):
                     continue
+                number, label, hit, draws = [], [], [], []
                 at = np.minimum(np.searchsorted(words, w.hashes), len(words) - 1)
-                word = np.where(words[at] == w.hashes, at, -1)
+                word = np.where(words[at] == w.hashes, at, -1).astype(np.int32)
                 y = (word >= 0) & np.repeat(toxic[i:j], w.count)
                 for d in range(j - i):
                     first, last = w.first[d], w.first[d + 1]
@@ -221,13 +221,13 @@ def _windows(words: np.ndarray):
                     place = mix(own + mix(np.arange(first, last, WINDOW).astype(np.uint64) - np.uint64(first)))
                     for k, h in zip(range(first, last, WINDOW), place.tolist()):
                         e = min(k + WINDOW, last)
-                        number.append(word[k:e].tolist())
-                        label.append(y[k:e].astype(int).tolist())
+                        number.append(word[k:e])
+                        label.append(y[k:e].astype(np.int8))
                         hit.append(bool(y[k:e].any()))
                         draws.append(h / 2 ** 64)
-            yield pa.record_batch([pa.array(number, pa.list_(pa.int32())), pa.array(label, pa.list_(pa.int8())),
-                                   pa.array(hit, pa.bool_()), pa.array(draws, pa.float64())],
-                                  names=["word", "y", "hit", "draw"])
+                yield pa.record_batch([pa.array(number, pa.list_(pa.int32())), pa.array(label, pa.list_(pa.int8())),
+                                       pa.array(hit, pa.bool_()), pa.array(draws, pa.float64())],
+                                      names=["word", "y", "hit", "draw"])
 
     return run
 
