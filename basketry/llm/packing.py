@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .common import cut, grouped_rank
@@ -62,7 +63,7 @@ class WordTokens:
         vocab_ids = self.full.get_vocab()
         self.closes = np.zeros(max(vocab_ids.values()) + 1, bool)
         self.closes[[i for w, i in vocab_ids.items() if w.endswith("</w>")]] = True
-        self.ids: dict[str, bytes] = {}
+        self.ids: dict[str, bytes] = {"": b""}
 
     def _encode(self, text: str) -> np.ndarray:
         return np.asarray(self.full.encode(text, add_special_tokens=False).ids, "<u4")
@@ -82,28 +83,53 @@ class WordTokens:
             out.extend(raw[word_ends[a]:word_ends[b]] for a, b in zip(at, at[1:]))
         return out
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
+    def _ids_of(self, words: list[str]) -> list[bytes]:
+        new = [w for w in words if w not in self.ids]
+        if new:
+            if len(self.ids) + len(new) > REMEMBERED:
+                self.ids = {"": b""}
+                new = [w for w in words if w]
+            self.ids.update(zip(new, self._encode_runs(new)))
+        return [self.ids[w] for w in words]
+
+    def __call__(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text; runs are split and numbered by Arrow, ids gathered by run number."""
         out: list = [None] * len(texts)
-        split = []
-        for i, t in enumerate(texts):
+        plain = []
+        for i, t in enumerate(texts.to_pylist()):
             if "<|" in t or not _PLAIN.fullmatch(t):
                 out[i] = self._encode(t).tobytes()
             else:
-                split.append((i, t.lower().split()))
-        seen = set().union(*(runs for _, runs in split))
-        new = seen.difference(self.ids)
-        if new:
-            if len(self.ids) + len(new) > REMEMBERED:
-                self.ids.clear()
-                new = seen
-            new = list(new)
-            self.ids.update(zip(new, self._encode_runs(new)))
-        known = self.ids.__getitem__
-        for i, runs in split:
-            out[i] = b"".join(map(known, runs))
+                plain.append(i)
+        if not plain:
+            return out
+        lists = pc.utf8_split_whitespace(pc.utf8_lower(texts.take(pa.array(plain))))
+        runs = lists.flatten().dictionary_encode()
+        each = self._ids_of(runs.dictionary.to_pylist())
+        size = np.fromiter(map(len, each), np.int64, len(each)) // 4
+        first = np.cumsum(size) - size
+        number = runs.indices.to_numpy()
+        n = size[number]
+        at = np.concatenate([[0], np.cumsum(n)])  # ids before each run
+        ids = np.frombuffer(b"".join(each), "<u4")[
+            np.repeat(first[number] - at[:-1], n) + np.arange(at[-1])]
+        bounds = at[np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])].tolist()
+        for i, a, b in zip(plain, bounds, bounds[1:]):
+            out[i] = ids[a:b].tobytes()
         return out
 
 
+def text_slices(texts: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
+    """(first, count) of rows that hold about ``most`` bytes of text, one row at least."""
+    size = np.cumsum(pc.binary_length(texts).to_numpy())
+    at = 0
+    while at < len(size):
+        before = int(size[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(size, before + most, "right")))
+        yield at, end - at
+        at = end
+
+
 _loaded: dict[str, WordTokens] = {}
 
 
@@ -117,11 +143,11 @@ def tokenise(vocab: str, capacity: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = _loaded.get(vocab) or _loaded.setdefault(vocab, WordTokens(vocab))
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            texts = pc.fill_null(batch.column(1), "")
+            for at, count in text_slices(texts):
                 rows: list[tuple] = []
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                for doc, ids in zip(part.column(0).to_pylist(), tokens(texts)):
+                docs = batch.column(0).slice(at, count).to_pylist()
+                for doc, ids in zip(docs, tokens(texts.slice(at, count))):
                     ids += end
                     for k, b in enumerate(range(0, len(ids), 4 * capacity)):
                         own = ids[b:b + 4 * capacity]
