@@ -92,8 +92,9 @@ class WordTokens:
             self.ids.update(zip(new, self._encode_runs(new)))
         return [self.ids[w] for w in words]
 
-    def __call__(self, texts: pa.Array) -> list[bytes]:
+    def __call__(self, texts: pa.Array | list[str]) -> list[bytes]:
         """Ids of each text; runs are split and numbered by Arrow, ids gathered by run number."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         out: list = [None] * len(texts)
         plain = []
         for i, t in enumerate(texts.to_pylist()):
