@@ -60,24 +60,27 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.full = Tokenizer.from_file(vocab)
+        self.bare = Tokenizer(self.full.model)  # for runs, which are normalised already
+        self.bare.pre_tokenizer = self.full.pre_tokenizer
         vocab_ids = self.full.get_vocab()
         self.closes = np.zeros(max(vocab_ids.values()) + 1, bool)
         self.closes[[i for w, i in vocab_ids.items() if w.endswith("</w>")]] = True
         self.ids: dict[str, bytes] = {"": b""}
 
-    def _encode(self, text: str) -> np.ndarray:
-        return np.asarray(self.full.encode(text, add_special_tokens=False).ids, "<u4")
+    def _encode(self, text: str, bare: bool = False) -> np.ndarray:
+        tokenizer = self.bare if bare else self.full
+        return np.asarray(tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
     def _encode_runs(self, runs: list[str]) -> list[bytes]:
         """Runs are encoded many at a time; each word ends in one closing token."""
         out: list[bytes] = []
         for i in range(0, len(runs), 256):
             part = runs[i:i + 256]
-            ids = self._encode(" ".join(part))
+            ids = self._encode(" ".join(part), bare=True)
             word_ends = [0, *(4 * (np.flatnonzero(self.closes[ids]) + 1)).tolist()]
             at = np.cumsum([0] + [len(_WORD.findall(r)) for r in part]).tolist()
             if at[-1] != len(word_ends) - 1:
-                out.extend(self._encode(r).tobytes() for r in part)
+                out.extend(self._encode(r, bare=True).tobytes() for r in part)
                 continue
             raw = ids.tobytes()
             out.extend(raw[word_ends[a]:word_ends[b]] for a, b in zip(at, at[1:]))
