@@ -25,6 +25,7 @@ from basketry.plans.queries import _env, _tx, ntz
 from basketry.session import work_path
 from basketry.sources import files
 from basketry.streaming import jobs
+from basketry.streaming.writers import BatchLog
 
 CHUNKS = 3
 AVAILABLE_NOW = {"availableNow": True}
@@ -136,6 +137,13 @@ def stream_abandoned_carts(spark, sf_dir):
                                 lambda s, o: ntz(o.abandoned().read(s)))
 
 
+def stream_abandoned_cart_timers(spark, sf_dir):
+    """E3/E4: the event-time timer machine, emission once the watermark passes add + T."""
+    return _event_stream_result(
+        spark, sf_dir, "stream_abandoned_cart_timers", jobs.start_abandoned_carts_event_time,
+        lambda s, o: ntz(BatchLog(o.path("abandoned_carts_et"), "cart_id string, abandoned_at timestamp").read(s)))
+
+
 def stream_sales_rollups(spark, sf_dir):
     out = jobs.Outputs(work_path(spark, "stream_sales_rollups"))
     in_dir = out.path("_input")
@@ -266,6 +274,7 @@ STREAM_QUERIES = {
     "stream_active_users": stream_active_users,
     "stream_top_products": stream_top_products,
     "stream_abandoned_carts": stream_abandoned_carts,
+    "stream_abandoned_cart_timers": stream_abandoned_cart_timers,
     "stream_sales_rollups": stream_sales_rollups,
     "stream_transactions": stream_transactions,
     "late_rows": late_rows,
@@ -290,6 +299,14 @@ STREAM_ORACLE = {
         WHERE hour_ts + INTERVAL 1 HOUR <= (
             SELECT date_trunc('millisecond', max(event_ts)) - INTERVAL 5 SECOND
             FROM events_env)""", "top10", "events_env"),
+    # emitted when the watermark passes add + T
+    "stream_abandoned_cart_timers": sql("""
+        SELECT cart_id, ts + INTERVAL 30 MINUTE AS abandoned_at FROM ms_next
+        WHERE is_checkout = 0 AND (next_ts IS NULL OR next_ts > ts + INTERVAL 30 MINUTE)
+          AND ts + INTERVAL 30 MINUTE < (
+              SELECT date_trunc('millisecond', max(event_ts)) - INTERVAL 5 SECOND
+              FROM events_env)""", "cart_events", "events_env",
+                                        extra={"ms_next": _MS_CART_NEXT}),
     # emitted when the window [slice(add), slice(add) + 2T) closes
     "stream_abandoned_carts": sql("""
         SELECT cart_id, ts + INTERVAL 30 MINUTE AS abandoned_at FROM ms_next

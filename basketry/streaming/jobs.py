@@ -246,27 +246,41 @@ def start_kafka_publish(events: DataFrame, out: Outputs, kafka_write_options: di
     return w.trigger(**(trigger or {"processingTime": CHECKPOINT_INTERVAL})).start()
 
 
-def start_abandoned_carts_processing_time(events: DataFrame, out: Outputs,
-                                          timeout: str = carts.TIMEOUT,
-                                          trigger: dict | None = None) -> StreamingQuery:
-    """E3: the wall-clock timer machine (``transformWithStateInPandas``).
+def _start_cart_timers(df: DataFrame, name: str, out: Outputs, trigger: dict | None) -> StreamingQuery:
+    """The timer machines need the RocksDB state store provider.
 
-    This operator needs the RocksDB state store provider.  A query takes the
-    session's settings when it starts (and keeps the provider in its
-    checkpoint), so the setting holds for the start only.
+    A query takes the session's settings when it starts (and keeps the
+    provider in its checkpoint), so the setting holds for the start only.
     """
-    from basketry.streaming.stateful import ROCKSDB, abandoned_carts_processing_time
-    log = BatchLog(out.path("abandoned_carts_pt"), _AB_SCHEMA)
-    conf, key = events.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    from basketry.streaming.stateful import ROCKSDB
+    log = BatchLog(out.path(name), _AB_SCHEMA)
+    conf, key = df.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
     before = conf.get(key)
     conf.set(key, ROCKSDB)
     try:
-        return _start(abandoned_carts_processing_time(events, timeout), "abandoned_carts_pt", out,
-                      log.write_batch, "append", trigger)
+        return _start(df, name, out, log.write_batch, "append", trigger)
     finally:
         conf.set(key, before)
 
 
+def start_abandoned_carts_processing_time(events: DataFrame, out: Outputs,
+                                          timeout: str = carts.TIMEOUT,
+                                          trigger: dict | None = None) -> StreamingQuery:
+    """E3: the wall-clock timer machine (``transformWithStateInPandas``)."""
+    from basketry.streaming.stateful import abandoned_carts_processing_time
+    return _start_cart_timers(abandoned_carts_processing_time(events, timeout),
+                              "abandoned_carts_pt", out, trigger)
+
+
+def start_abandoned_carts_event_time(events: DataFrame, out: Outputs,
+                                     timeout: str = carts.TIMEOUT,
+                                     trigger: dict | None = None) -> StreamingQuery:
+    """E3/E4 with event-time timers: a cart is emitted when the watermark passes ``add + T``."""
+    from basketry.streaming.stateful import abandoned_carts_event_time
+    return _start_cart_timers(abandoned_carts_event_time(events, timeout),
+                              "abandoned_carts_et", out, trigger)
+
+
 def replay_events(raw: DataFrame, start=None, end=None, mode: str = "quarantine") -> DataFrame:
     """Batch: the good events of bounded records (``read_kafka_range``, ``read_records``)
     with event times in [start, end), for the batch operators.
