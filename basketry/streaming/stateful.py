@@ -1,7 +1,7 @@
 """Abandoned carts with timers: on the wall clock or on event time.
 
 The aggregate in ``operators/carts.py`` is the default.  The two timer
-machines here run as ``transformWithStateInPandas`` keyed by cart: Spark
+machines here run as ``transformWithState`` keyed by cart: Spark
 shuffles by cart and keeps small state cells per cart in RocksDB.
 
 *Processing time* is the original machine: per cart, an add (re)arms a timer
@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import (ExpiredTimerInfo, StatefulProcessor,
                                                       StatefulProcessorHandle, TimerValues)
@@ -94,6 +94,8 @@ class CartSlices(StatefulProcessor):
 
     The timer stands at the earliest time at which something is due: a slice's
     ending add plus T, or the end of the slice after it, when the slice goes.
+    A timer fires when the watermark reaches it, and a row at exactly add + T
+    still closes the cart, so both times count from the millisecond after.
     Rows of a slice that has gone already are late and take no part.
     """
 
@@ -106,17 +108,18 @@ class CartSlices(StatefulProcessor):
             "live", "slice array<long>, first array<long>, last array<long>, judged array<boolean>, timer long")
 
     def _gone_ms(self, k: int) -> int:
-        return -(-(k + 2) * self.t // 1000)
+        return (k + 2) * self.t // 1000 + 1
 
     def _due_ms(self, k: int, last: int, judged: bool) -> int:
         if last % 2 or judged:
             return self._gone_ms(k)
-        return -(-(last // 2 + self.t) // 1000)
+        return (last // 2 + self.t) // 1000 + 1
 
     def _load(self) -> tuple[dict[int, list], int | None]:
-        if not self.live.exists():
+        held = self.live.get()
+        if held is None:
             return {}, None
-        slices, first, last, judged, timer = self.live.get()
+        slices, first, last, judged, timer = held
         return {k: [f, e, j] for k, f, e, j in zip(slices, first, last, judged)}, timer
 
     def _store(self, live: dict[int, list], timer: int | None) -> None:
@@ -134,39 +137,37 @@ class CartSlices(StatefulProcessor):
         first, last, judged = (list(x) for x in zip(*(live[k] for k in slices)))
         self.live.update((slices, first, last, judged, due))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame],
-                        timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
         live, timer = self._load()
         mark = timerValues.getCurrentWatermarkInMs()
-        for pdf in rows:
-            for k, first, last in zip(pdf["slice"].tolist(), pdf["first"].tolist(), pdf["last"].tolist()):
-                if self._gone_ms(k) < mark:
-                    continue
-                if k not in live:
-                    live[k] = [first, last, False]
-                    continue
-                held = live[k]
-                held[0] = min(held[0], first)
-                if last > held[1]:
-                    held[1:] = [last, False]
+        for _, k, first, last in rows:
+            if self._gone_ms(k) <= mark:
+                continue
+            if k not in live:
+                live[k] = [first, last, False]
+                continue
+            held = live[k]
+            held[0] = min(held[0], first)
+            if last > held[1]:
+                held[1:] = [last, False]
         self._store(live, timer)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
-                           expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+                           expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
         live, _ = self._load()  # the fired timer is gone
         mark = timerValues.getCurrentWatermarkInMs()
         out = []
         for k in sorted(live):
             _, last, judged = live[k]
-            if last % 2 == 0 and not judged and self._due_ms(k, last, judged) < mark:
+            if last % 2 == 0 and not judged and self._due_ms(k, last, judged) <= mark:
                 after = live.get(k + 1)
                 if after is None or after[0] > last // 2 + self.t:
                     out.append(last // 2 + self.t)
                 live[k][2] = True
-        self._store({k: v for k, v in live.items() if self._gone_ms(k) >= mark}, None)
-        if out:
-            yield pd.DataFrame({"cart_id": [key[0]] * len(out), "abandoned_at": pd.to_datetime(out, unit="us")})
+        self._store({k: v for k, v in live.items() if self._gone_ms(k) > mark}, None)
+        for us in out:
+            yield Row(cart_id=key[0], abandoned_us=us)
 
     def close(self) -> None:
         pass
@@ -204,8 +205,9 @@ def abandoned_carts_event_time(events: DataFrame, timeout: str = "30 minutes",
         "cart_id", F.expr(f"(unix_micros(ts) - pmod(unix_micros(ts), {t}L)) div {t}L").alias("slice"), us.alias("first"),
         order_key(F.col("ts"), F.col("is_checkout")).alias("last"))
     keyed = reduced(ev, ["cart_id", "slice"], {"first": "min", "last": "max"})
-    return keyed.groupBy("cart_id").transformWithStateInPandas(
-        CartSlices(t), OUTPUT_SCHEMA, "Append", "EventTime")
+    out = keyed.groupBy("cart_id").transformWithState(
+        CartSlices(t), "cart_id string, abandoned_us long", "Append", "EventTime")
+    return out.select("cart_id", F.timestamp_micros("abandoned_us").alias("abandoned_at"))
 
 
 def abandoned_carts_processing_time(events: DataFrame, timeout: str = "30 minutes",

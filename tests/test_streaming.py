@@ -194,6 +194,55 @@ def test_processing_time_cart_timers(spark):
     assert got == ["c1"]
 
 
+def _cart(i, kind, cart, ts):
+    return json.dumps({"eventId": f"e{i}", "eventType": kind, "cartId": cart,
+                       "timestamp": ts.strftime("%Y-%m-%dT%H:%M:%SZ")})
+
+
+def test_event_time_cart_timers(spark):
+    """E3/E4: a cart is emitted once the watermark passes add + T, over restarts."""
+    out = jobs.Outputs(work_path(spark, "t_et"))
+    in_dir = out.path("_input")
+    log = BatchLog(out.path("abandoned_carts_et"), "cart_id string, abandoned_at timestamp")
+    m = lambda x: T0 + dt.timedelta(minutes=x)
+
+    def feed(*lines):
+        _write_lines(spark, in_dir, lines)
+        events, _ = jobs.decode_event_stream(files.read_records_stream(spark, in_dir))
+        jobs.await_all([jobs.start_abandoned_carts_event_time(events, out, trigger=ONCE)])
+        return rows(log.read(spark).select("cart_id", F.col("abandoned_at").cast("timestamp_ntz")))
+
+    # c2 adds again exactly T later, c3 checks out at the instant of its add, c4 never adds
+    got = feed(_cart(1, "add_to_cart", "c1", m(1)), _cart(2, "add_to_cart", "c2", m(2)),
+               _cart(3, "add_to_cart", "c2", m(32)), _cart(4, "add_to_cart", "c3", m(1)),
+               _cart(5, "checkout", "c3", m(1)), _cart(6, "checkout", "c4", m(1)),
+               _cart(7, "add_to_cart", None, m(1)))
+    assert got == [("c1", m(31))]  # at once: the default form waits for the end of the hour
+    # a late checkout of c1 takes nothing back; a watermark exactly at c2's time does not fire it
+    got = feed(_cart(8, "checkout", "c1", m(30)), _pv(9, "u", m(62) + dt.timedelta(seconds=5)))
+    assert got == [("c1", m(31))]
+    got = feed(_pv(10, "u", m(62) + dt.timedelta(seconds=6)), _cart(11, "add_to_cart", "c1", m(70)))
+    assert got == [("c1", m(31)), ("c2", m(62))]
+    got = feed(_pv(12, "u", m(300)))
+    assert got == [("c1", m(31)), ("c1", m(100)), ("c2", m(62))]
+    # c1's slice of m(70) is gone by now: a row of it takes no part, and a replay repeats nothing
+    assert feed(_cart(13, "add_to_cart", "c1", m(71)), _pv(14, "u", m(600))) == got
+
+
+def test_hot_cart_is_reduced_before_the_shuffle(spark):
+    """A cart's rows reach the timer machine as one per Arrow batch and slice."""
+    from basketry.streaming.stateful import reduced
+    many = spark.range(0, 100_000, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, F.concat(F.lit("c"), F.col("id"))).otherwise("hot").alias("cart_id"),
+        F.lit(0).cast("long").alias("slice"), F.col("id").alias("first"), F.col("id").alias("last"))
+    got = reduced(many, ["cart_id", "slice"], {"first": "min", "last": "max"})
+    hot = got.where("cart_id = 'hot'")
+    assert hot.count() <= 4 * 3  # 25,000 rows a task, batches of 10,000
+    assert hot.agg(F.min("first"), F.max("last")).first()[:] == (1, 99_998)
+    assert got.where("cart_id <> 'hot'").count() == 33_334
+    assert reduced(many.limit(0), ["cart_id", "slice"], {"first": "min", "last": "max"}).count() == 0
+
+
 def test_transaction_job_fans_out_to_database(spark):
     """S2–S5: keyed files and database tables from the same micro-batches."""
     url = "jdbc:derby:memory:basketry_tx;create=true"
