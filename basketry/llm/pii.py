@@ -19,12 +19,17 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import cut
 
 KINDS = ("email", "ip", "card", "phone")
+#: Matches of a text are summed up in blocks of so many.
+BLOCK = 256
+#: Code points of a part of a text in which a span's surroundings are looked up; at least 40.
+CHUNK = 256
 
 # The base patterns.  Possessive repeats and the start conditions
 # (the end of the last match, or not inside a run) change no match; they keep a
@@ -85,15 +90,40 @@ def _valid(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, also where lambdas read it again and again."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def blocks(items: Column) -> Column:
+    """An array that isn't empty as arrays of BLOCK items, in order."""
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int")),
+                       lambda k: F.slice(items, k * BLOCK + 1, F.lit(BLOCK)))
+
+
+def overlapped(base: Column, s: Column) -> Column:
+    """Does a span overlap one of ``base``, given as ``fenced`` blocks?"""
+    return F.exists(base, lambda g: (g["lo"] < s["end"]) & (s["start"] < g["hi"]) & F.exists(
+        g["items"], lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+
+
+def fenced(spans: Column) -> Column:
+    """Blocks of sorted spans with the least start and the largest end of each; null without spans."""
+    return F.when(F.size(spans) > 0, F.transform(blocks(spans), lambda p: F.struct(
+        p[0]["start"].alias("lo"), F.array_max(F.transform(p, lambda b: b["end"])).alias("hi"), p.alias("items"))))
+
+
 def found(text: Column, pattern: str, sign: str) -> Column:
     """array<struct<start, end, m>> of all matches, leftmost and non-overlapping.
 
     The text between matches comes from ``split``, so starts are running sums
-    of the lengths before; texts without the ``sign`` are not scanned.
+    of the lengths before; texts without the ``sign`` are not scanned.  Sums
+    run within blocks of BLOCK matches and over the blocks, as a list that
+    grows by ``concat`` costs the square of its length.
     """
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.transform(F.split(text, pattern, -1), F.length)
-    zero = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,end:int,m:string>>)").alias("out"))
+    none = F.expr("cast(array() as array<struct<start:int,end:int,m:string>>)")
 
     def step(acc, x):
         start = acc["at"] + x["gap"]
@@ -101,10 +131,17 @@ def found(text: Column, pattern: str, sign: str) -> Column:
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(
             F.struct(start.alias("start"), end.alias("end"), x["m"].alias("m")))).alias("out"))
 
-    pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(matches)), matches,
-                       lambda g, m: F.struct(g.alias("gap"), m.alias("m")))
-    none = F.expr("cast(array() as array<struct<start:int,end:int,m:string>>)")
-    return F.when(text.rlike(sign), F.aggregate(pairs, zero, step, lambda a: a["out"])).otherwise(none)
+    def spans(pairs):
+        sums = F.transform(blocks(pairs), lambda p: F.aggregate(
+            p, F.lit(0), lambda n, x: n + x["gap"] + F.length(x["m"])))
+        starts = F.aggregate(sums, F.array(F.lit(0)),
+                             lambda out, n: F.concat(out, F.array(F.element_at(out, -1) + n)))
+        return F.flatten(F.zip_with(blocks(pairs), F.slice(starts, 1, F.size(sums)), lambda p, at: F.aggregate(
+            p, F.struct(at.alias("at"), none.alias("out")), step, lambda acc: acc["out"])))
+
+    pairs = let(matches, lambda m: F.zip_with(F.slice(gaps, F.lit(1), F.size(m)), m,
+                                              lambda g, x: F.struct(g.alias("gap"), x.alias("m"))))
+    return F.when(text.rlike(sign), let(pairs, lambda p: F.when(F.size(p) > 0, spans(p)).otherwise(none))).otherwise(none)
 
 
 def _vote(yes: Column, no: Column | None = None) -> Column:
@@ -122,14 +159,26 @@ def _gazetteer(kind: str, m: Column) -> Column:
     return _vote(m.rlike(r"^\+[1-9]"), _digits(m).rlike(r"^0{3}|^(.)\1{6}"))
 
 
-def judged(text: Column, spans: Column, kind: str, base: bool) -> Column:
+def chunks(text: Column) -> Column:
+    """The text in parts of CHUNK code points: ``substring`` of a whole text walks there from its start."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+
+
+def part(parts: Column, at: Column, n: Column) -> Column:
+    """``n`` code points, CHUNK at most, from the 0-based ``at`` on of a text in ``chunks``."""
+    k = F.floor(at / CHUNK).cast("int")
+    near = F.concat(F.coalesce(F.get(parts, k), F.lit("")), F.coalesce(F.get(parts, k + 1), F.lit("")))
+    return F.substring(near, at - k * CHUNK + 1, n)
+
+
+def judged(parts: Column, spans: Column, kind: str, base: bool) -> Column:
     """Candidates with votes and shape; base candidates that fail their check are kept as candidates."""
 
     def one(x):
         m = x["m"]
-        before = F.lower(F.substring(text, F.greatest(x["start"] - 39, F.lit(1)), F.least(x["start"], F.lit(40))))
-        left = F.substring(text, x["start"], F.when(x["start"] > 0, 1).otherwise(0))
-        right = F.substring(text, x["end"] + 1, F.lit(1))
+        ahead = part(parts, F.greatest(x["start"] - 40, F.lit(0)), F.least(x["start"], F.lit(40)))
+        before, left = F.lower(ahead), F.substring(ahead, -1, 1)
+        right = part(parts, x["end"], F.lit(1))
         valid = _valid(kind, m) if base or kind in ("card",) else F.lit(True)
         open_side = lambda c: F.when(c.rlike("[A-Za-z0-9]"), "w").when(c.rlike(r"\S"), "p").otherwise("s")
         votes = F.concat_ws(",", *[v.cast("string") for v in (
@@ -155,11 +204,13 @@ def candidates(docs: DataFrame) -> DataFrame:
     names = [f"{k}_base" for k in KINDS] + [f"{k}_loose" for k in LOOSE]
     raw = d.select("doc_id", "text", *[found(text, BASE[k], SIGN[k]).alias(f"{k}_base") for k in KINDS],
                    *[found(text, LOOSE[k], LOOSE_SIGN[k]).alias(f"{k}_loose") for k in LOOSE])
-    parts = [judged(text, F.col(f"{k}_base"), k, True) for k in KINDS] + [
-        judged(text, F.col(f"{k}_loose"), k, False) for k in LOOSE]
+    def all_judged(parts: Column) -> Column:
+        return F.array_sort(F.concat(*[judged(parts, F.col(f"{k}_base"), k, True) for k in KINDS],
+                                     *[judged(parts, F.col(f"{k}_loose"), k, False) for k in LOOSE]))
+
     # texts without any candidate skip the judging
     some = sum((F.size(n) for n in names), F.lit(0)) > 0
-    spans = F.array_sort(F.concat(*parts))
+    spans = let(chunks(text), all_judged)
     none = F.expr(f"cast(array() as {SPAN})")
     return raw.select("doc_id", F.when(some, spans).otherwise(none).alias("spans"))
 
@@ -237,8 +288,9 @@ def personal_data(docs: DataFrame) -> DataFrame:
     accepted = sorted(f"{k}|{s}" for (k, s), p in chance.items() if p >= 0.5)
     ok = F.array(*[F.lit(a) for a in accepted]).cast("array<string>")
     base = F.filter("spans", lambda s: s["base"])
-    free = lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    added = F.filter("spans", lambda s: ~s["base"] & F.array_contains(ok, F.concat(s["kind"], F.lit("|"), s["shape"])) & free(s))
+    likely = F.filter("spans", lambda s: ~s["base"] & F.array_contains(ok, F.concat(s["kind"], F.lit("|"), s["shape"])))
+    added = let(fenced(base), lambda g: F.when(g.isNull(), likely).otherwise(
+        F.filter(likely, lambda s: ~overlapped(g, s))))
     kept = F.array_sort(F.concat(base, added))
     slim = F.transform(kept, lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"),
                                                 s["kind"].alias("kind"), s["base"].alias("base")))

@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from basketry.llm import pii
 
 from .helpers import AWKWARD, CLASHING, frame, texts
@@ -47,6 +49,27 @@ def test_long_runs_are_scanned_once(spark):
     assert [got[i] for i in range(4)] == [[], [], [], []] and len(got[4]) == 1
 
 
+def test_many_matches_in_one_text(spark):
+    """Spans of more than a block, with and without loose candidates around them, in linear time."""
+    ips = [f"{i % 250}.{i // 250}.7.{i % 90}" for i in range(20_000)]
+    rows = ["é ".join(ips), " ".join(f"{x} call 555-123-{i % 10_000:04d}" for i, x in enumerate(ips[:5_000])),
+            *[" ".join(ips[:n]) for n in (1, 255, 256, 257, 512, 513)]]
+    got = pii.personal_data(texts(spark, rows)).collect()
+    base = {r["doc_id"]: [(s["start"], s["rank"], s["end"]) for s in r["spans"] if s["base"]] for r in got}
+    assert [base[i] for i in range(len(rows))] == [brute(t) for t in rows] and len(base[0]) == 20_000
+    for r in got:  # an added span overlaps no base span
+        held = [(s["start"], s["end"]) for s in r["spans"]]
+        assert all(a[1] <= b[0] for a, b in zip(held, held[1:]))
+
+
+def test_surroundings_equal_substrings(spark):
+    text = "".join(chr(0x1F600 + i % 50) if i % 7 == 0 else chr(97 + i % 26) for i in range(1_500))
+    at = [0, 1, 39, 40, 41, 215, 216, 217, 255, 256, 257, 511, 512, 1_400, 1_499, 1_500]
+    df = texts(spark, [text]).select(F.explode(F.array(*map(F.lit, at))).alias("at"), "text")
+    got = df.select("at", *[pii.part(pii.chunks(F.col("text")), F.col("at"), F.lit(n)).alias(f"n{n}") for n in (1, 40)])
+    assert {r["at"]: (r["n1"], r["n40"]) for r in got.collect()} == {a: (text[a:a + 1], text[a:a + 40]) for a in at}
+
+
 def test_written_out_and_plain_forms_are_added(spark):
     rows = ["mail me: jo.doe (at) mail dot example dot com today", "call 415-555-2671 now",
             "call +1 415 555 2671 or mail jo@example.com", "from host 8.8.8.8 and card 4111111111111111"] * 20
