@@ -133,24 +133,34 @@ def in_order(docs: DataFrame) -> DataFrame:
     ``lead`` is 0 for a part's own rows and 1 for the first row of the next
     non-empty part (of the first part after the last), which each part also
     gets: so every row's next one is at hand and only texts of one row per
-    part are moved twice.
+    part are moved twice.  Null ids, and ids that fill several ranges, are dealt
+    on by the hash that orders rows of equal ids.
     """
     spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     parts = min(4 * shuffle_width(spark), MOST_PARTS)
     ids = d.where("doc_id is not null")
     at = [k / parts for k in range(1, parts)]
-    bounds = np.unique(np.asarray(ids.approxQuantile("doc_id", at, 0.25 / parts), np.int64))
-    last = len(bounds) + 1  # null ids come last
+    values, times = np.unique(np.asarray(ids.approxQuantile("doc_id", at, 0.25 / parts), np.int64),
+                              return_counts=True)
+    # an id that fills several ranges has one of its own, cut by the tie value; so have null ids, which come last
+    often = (times > 1) & (values > np.iinfo(np.int64).min)
+    bounds = np.unique(np.concatenate([values, values[often] - 1]))
+    last = len(bounds) + 1
+    share = np.ones(last + 1, np.int64)
+    share[np.searchsorted(bounds, values[often])] = times[often]
+    share[last] = parts
+    first = np.cumsum(share) - share
 
     @F.pandas_udf("int")
-    def part_of(doc_id: pd.Series) -> pd.Series:
-        none = doc_id.isna()
-        found = np.searchsorted(bounds, doc_id.fillna(0).to_numpy(np.int64))
-        return pd.Series(np.where(none, last, found).astype(np.int32))
+    def part_of(doc_id: pd.Series, tie: pd.Series) -> pd.Series:
+        none = doc_id.isna().to_numpy()
+        found = np.where(none, last, np.searchsorted(bounds, doc_id.fillna(0).to_numpy(np.int64)))
+        high = (tie.to_numpy(np.int64) >> 32) + (1 << 31)
+        return pd.Series((first[found] + (high * share[found] >> 32)).astype(np.int32))
 
     tie = F.xxhash64("text")
-    place = part_of("doc_id")
+    place = part_of("doc_id", tie)
     d = d.withColumn("part", place).withColumn("tie", tie)
     firsts = d.groupBy("part").agg(F.min(F.struct("doc_id", "tie")).alias("f")).collect()  # a row per part
     firsts.sort(key=lambda r: r["part"])

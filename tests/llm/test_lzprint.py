@@ -1,5 +1,7 @@
 import hashlib
 
+from pyspark.sql import functions as F
+
 from basketry.llm import lzprint
 
 from .helpers import AWKWARD, CLASHING, frame
@@ -59,3 +61,21 @@ def test_null_ids_and_single_rows(spark):
     one = lzprint.fingerprints(frame(spark, [(5, "only one row here", None, None)])).collect()
     assert len(one) == 1 and one[0]["near_next"] == 1.0
     assert lzprint.fingerprints(frame(spark, [])).count() == 0
+
+
+def test_null_and_repeated_ids_are_spread(spark):
+    """Rows without an id and rows of one id are cut by their hash; the order stays id, then hash."""
+    rows = [(None, f"no id {i * i} here", None, None) for i in range(150)]
+    rows += [(7, f"same id {i} {i % 11}", None, None) for i in range(150)]
+    rows += [(i, f"own id {i} again", None, None) for i in range(-70, 80) if i != 7]
+    docs = frame(spark, rows).repartition(5)
+    dealt = lzprint.in_order(docs).where("lead = 0").groupBy("part").count().collect()
+    assert sum(r["count"] for r in dealt) == len(rows) and max(r["count"] for r in dealt) < 60
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("tie")).collect()
+    order = sorted(keyed, key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["tie"]))
+    got = {(r["doc_id"], r["edited_sha256"]) for r in lzprint.fingerprints(docs).collect()}
+    want = set()
+    for k, r in enumerate(order):
+        t, after = r["text"], order[(k + 1) % len(order)]["text"]
+        want.add((r["doc_id"], hashlib.sha256((t[:len(t) - len(t) // 4] + after[:len(t) // 4]).encode()).hexdigest()))
+    assert got == want
