@@ -55,36 +55,40 @@ def state_partitions(spark: SparkSession):
 
 
 def feed_in_chunks(records: DataFrame, ts_col: str, in_dir: str, run, chunks: int = CHUNKS,
-                   late: DataFrame | None = None, arrange=None) -> None:
-    """Append ``records.value`` to ``in_dir`` in event-time order, running the
+                   late: DataFrame | None = None, arrange=None, value=None) -> None:
+    """Append ``value`` (a column made of those of ``records``; by default its
+    column of that name) to ``in_dir`` in event-time order, running the
     stream after each chunk.  Only the time bounds come to the driver.
     ``late`` rows (a ``value`` column) arrive together with the last chunk;
-    ``arrange`` puts a chunk's rows into the order of their arrival."""
+    ``arrange`` puts a chunk's records into the order of their arrival.
+
+    The records are computed once and held by columns; their texts are many
+    times as large and are written once, compressed.
+    """
+    spark = records.sparkSession
+    held = in_dir.rstrip("/") + "_held"
+    records.write.option("compression", "zstd").parquet(held)
+    source = spark.read.schema(records.schema).parquet(held)
     us = F.unix_micros(F.col(ts_col).cast("timestamp"))
+    value = F.col("value") if value is None else value
     # bounds as epoch microseconds, computed in Spark (no client time zone)
-    lo_us, hi_us = records.agg(F.min(us), F.max(us)).first()
-    with state_partitions(records.sparkSession):
-        _feed(records, us, in_dir, run, chunks, late, lo_us, hi_us, arrange)
-
-
-def _feed(records, us, in_dir, run, chunks, late, lo_us, hi_us, arrange) -> None:
+    lo_us, hi_us = source.agg(F.min(us), F.max(us)).first()
     if lo_us is None:
-        run()
+        with state_partitions(spark):
+            run()
         return
     step = (hi_us - lo_us) // chunks + 1
-    # the records are computed once; each chunk is then copied from its own folder
-    chunk = F.floor((us - F.lit(lo_us)) / F.lit(step)).cast("int")
-    held = in_dir.rstrip("/") + "_held"
-    records.select("value", chunk.alias("chunk")).write.partitionBy("chunk").text(held)
-    source = records.sparkSession.read.schema("value string, chunk int").text(held)
     for i in range(chunks):
-        part = source.filter(F.col("chunk") == i).select("value")
-        if late is not None and i == chunks - 1:
-            part = part.unionByName(late.select("value"))
+        first = lo_us + i * step
+        part = source.filter((us >= F.lit(first)) & (us < F.lit(first + step)))
         if arrange is not None:
             part = arrange(part)
-        part.write.mode("append").text(in_dir)
-        run()
+        part = part.select(value.alias("value"))
+        if late is not None and i == chunks - 1:
+            part = part.unionByName(late.select("value"))
+        part.write.mode("append").option("compression", "gzip").text(in_dir)
+        with state_partitions(spark):
+            run()
 
 
 def _event_stream_result(spark: SparkSession, sf_dir: str, name: str, start, read,
@@ -92,7 +96,6 @@ def _event_stream_result(spark: SparkSession, sf_dir: str, name: str, start, rea
     out = jobs.Outputs(work_path(spark, name))
     in_dir = out.path("_input")
     env = _env(spark, sf_dir)
-    records = env.select(codec.encode_events(env).alias("value"), "event_ts")
     late = None
     if with_late:
         # copies of the first day's page views, under new user ids, arriving
@@ -109,7 +112,7 @@ def _event_stream_result(spark: SparkSession, sf_dir: str, name: str, start, rea
         _landing, table = jobs.land_events(raw, out, AVAILABLE_NOW)
         jobs.await_all([start(jobs.landed_events(table, spark), out, trigger=AVAILABLE_NOW)])
 
-    feed_in_chunks(records, "event_ts", in_dir, run, late=late)
+    feed_in_chunks(env, "event_ts", in_dir, run, late=late, value=codec.encode_events(env))
     return read(spark, out)
 
 
@@ -148,15 +151,13 @@ def stream_sales_rollups(spark, sf_dir):
     out = jobs.Outputs(work_path(spark, "stream_sales_rollups"))
     in_dir = out.path("_input")
     tx = _tx(spark, sf_dir)
-    records = tx.select(codec.encode_transactions(tx, "millis").alias("value"),
-                        "transaction_date")
 
     def run():
         raw = files.read_records_stream(spark, in_dir)
         _landing, table = jobs.land_transactions(raw, out, AVAILABLE_NOW)
         jobs.await_all([jobs.start_sales_rollups(table.stream(spark), out, trigger=AVAILABLE_NOW)])
 
-    feed_in_chunks(records, "transaction_date", in_dir, run)
+    feed_in_chunks(tx, "transaction_date", in_dir, run, value=codec.encode_transactions(tx, "millis"))
     cat = out.sales("sales_per_category").read(spark)
     day = out.sales("sales_per_day").read(spark)
     mon = out.sales("sales_per_month").read(spark)
@@ -173,10 +174,8 @@ def stream_sales_rollups(spark, sf_dir):
 def _arrival_by_amount(part: DataFrame) -> DataFrame:
     """Records of one id in one file, larger amounts first: the last write of
     an id is *not* its newest date, so the order of arrival has to decide."""
-    at = lambda n, t: F.get_json_object("value", f"$.{n}").cast(t)
-    return (part.repartition(at("transactionId", "string"))
-            .sortWithinPartitions(at("totalAmount", "double").desc(), at("productId", "string"),
-                                  at("transactionDate", "bigint"), at("productQuantity", "int")))
+    return (part.repartition("transaction_id")
+            .sortWithinPartitions(F.desc("total_amount"), "product_id", "transaction_date", "product_quantity"))
 
 
 def stream_transactions(spark, sf_dir):
@@ -184,15 +183,14 @@ def stream_transactions(spark, sf_dir):
     out = jobs.Outputs(work_path(spark, "stream_transactions"))
     in_dir = out.path("_input")
     tx = _tx(spark, sf_dir)
-    records = tx.select(codec.encode_transactions(tx, "millis").alias("value"),
-                        "transaction_date")
 
     def run():
         raw = files.read_records_stream(spark, in_dir)
         _landing, table = jobs.land_transactions(raw, out, AVAILABLE_NOW)
         jobs.await_all([jobs.start_transactions_table(table.stream(spark), out, trigger=AVAILABLE_NOW)])
 
-    feed_in_chunks(records, "transaction_date", in_dir, run, arrange=_arrival_by_amount)
+    feed_in_chunks(tx, "transaction_date", in_dir, run, arrange=_arrival_by_amount,
+                   value=codec.encode_transactions(tx, "millis"))
     return ntz(out.transactions().read(spark))
 
 
@@ -254,13 +252,12 @@ def stream_running_totals(spark, sf_dir):
     out = jobs.Outputs(work_path(spark, "stream_running_totals"))
     in_dir = out.path("_input")
     tx = _tx(spark, sf_dir)
-    records = tx.select(codec.encode_transactions(tx, "millis").alias("value"), "transaction_date")
 
     def run():
         _landing, table = jobs.land_transactions(files.read_records_stream(spark, in_dir), out, AVAILABLE_NOW)
         jobs.await_all(jobs.start_running_totals(table.stream(spark), out, trigger=AVAILABLE_NOW))
 
-    feed_in_chunks(records, "transaction_date", in_dir, run)
+    feed_in_chunks(tx, "transaction_date", in_dir, run, value=codec.encode_transactions(tx, "millis"))
     category = out.running("running_per_category").read(spark)
     month = out.running("running_per_month").read(spark)
     null_s, null_i = F.lit(None).cast("string"), F.lit(None).cast("int")

@@ -18,7 +18,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -89,6 +89,11 @@ class BucketTable:
     def _rows(self, spark: SparkSession, path: str | None = None) -> DataFrame:
         return spark.read.schema(self.stored).parquet(path or self.path)
 
+    def _dealt(self, rows: DataFrame) -> DataFrame:
+        """Rows by bucket, for one file each; hash buckets have a partition each, so that a
+        task's rows do not depend on the stream's number of partitions."""
+        return rows.repartition("bucket") if self._bucket is not None else rows.repartition(self.buckets, "bucket")
+
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
         """Upsert a batch of one row per key.
 
@@ -105,17 +110,22 @@ class BucketTable:
                 self._touched = (int(batch_id), touched)
                 if not touched:
                     return
-                rows = new
+                rows = self._dealt(new)
                 if path_exists(spark, self.path):
+                    # old and new rows meet by bucket, in the one shuffle that also makes the files
                     old = self._rows(spark).where(F.col("bucket").isin(touched))
-                    rows = new.unionByName(old.join(new.select(*self.keys), self.keys, "left_anti"))
-                (rows.repartition("bucket").write.mode("overwrite").partitionBy("bucket")
+                    both = new.withColumn("_new", F.lit(1)).unionByName(old.withColumn("_new", F.lit(0)))
+                    newest = Window.partitionBy("bucket", *self.keys).orderBy(F.desc("_new"))
+                    rows = (self._dealt(both).withColumn("_rn", F.row_number().over(newest))
+                            .where(F.col("_rn") == 1).drop("_rn", "_new"))
+                (rows.write.mode("overwrite").partitionBy("bucket").option("compression", "zstd")
                      .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(stage))
             finally:
                 new.unpersist()
         staged = self._rows(spark, stage)
         self._touched = (int(batch_id), [r[0] for r in staged.select("bucket").distinct().collect()])
-        _dynamic_overwrite(staged.repartition("bucket"), self.path, "bucket")
+        # a staged file has rows of one bucket, so a copy of the files needs no shuffle
+        _dynamic_overwrite(staged, self.path, "bucket")
         _delete(spark, stage)
 
     def touched(self, spark: SparkSession, batch_id: int) -> DataFrame | None:

@@ -252,3 +252,41 @@ def test_an_older_replay_cannot_win_the_slot(spark):
     assert [r["value"] for r in other.read(spark).collect()] == [3]
     slot.write_batch(make((4, 2)), "minute_ts", "users", 3)     # the same time, a later value
     assert [r["value"] for r in slot.read(spark).collect()] == [2]
+
+
+# --- what a batch and a feed write ---------------------------------------------------
+
+def test_a_staged_batch_is_copied_without_a_shuffle(spark, monkeypatch):
+    table = BucketTable(work_path(spark, "t_copy_b"), ["k"], "k string, v int", buckets=4)
+    table.write_batch(_kv(spark, [(f"k{i}", i) for i in range(20)] + [(None, 1)]), 0)
+    plans, whole = [], writers._dynamic_overwrite
+
+    def seen(df, path, column):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        whole(df, path, column)
+
+    monkeypatch.setattr(writers, "_dynamic_overwrite", seen)
+    table.write_batch(_kv(spark, [("k1", -1), (None, 2)]), 1)
+    assert len(plans) == 1 and "Exchange" not in plans[0]
+    want = [(f"k{i}", i) for i in range(20) if i != 1] + [("k1", -1), (None, 2)]
+    assert sorted(map(tuple, table.read(spark).collect()), key=str) == sorted(want, key=str)
+
+
+def test_a_feed_stores_less_than_its_texts(spark):
+    """Records are held by columns and their texts written once, compressed."""
+    from basketry.plans.streams import feed_in_chunks
+    work = work_path(spark, "t_feed")
+    at = dt.datetime(2024, 1, 1)
+    records = spark.range(3000).select("id", F.lit("a long text that all records have " * 5).alias("name"),
+                                       (F.lit(at).cast("timestamp") + F.make_dt_interval(F.col("id"))).alias("ts"))
+    value, seen = F.to_json(F.struct("id", "name")), []
+
+    def run():
+        seen.append(files.read_records(spark, f"{work}/in").count())
+
+    feed_in_chunks(records, "ts", f"{work}/in", run, value=value)
+    texts = files.read_records(spark, f"{work}/in").select("value")
+    assert seen == [1000, 2000, 3000]
+    assert rows(texts) == rows(records.select(value.alias("value")))
+    stored = sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(work) for f in names)
+    assert stored < texts.agg(F.sum(F.length("value"))).first()[0] / 3
