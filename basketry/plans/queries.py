@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -116,17 +116,23 @@ def event_time_q(spark, sf_dir):
 
 # --- decoding ---------------------------------------------------------------
 
-def damage_messages(msgs: DataFrame) -> DataFrame:
-    """Damage JSON messages by event id: % 50 = 0 not JSON, 1 an unknown
+def _body(value: Column) -> Column:
+    """A JSON object's text without its last brace."""
+    return F.substring(value, F.lit(1), F.length(value) - 1)
+
+
+def damaged_event(value: Column) -> Column:
+    """A JSON message damaged by event id: % 50 = 0 not JSON, 1 an unknown
     field, 2 a non-numeric price."""
-    body = F.expr("substring(value, 1, length(value) - 1)")
     m = F.col("eventId").cast("bigint") % 50
-    return msgs.withColumn(
-        "value",
-        F.when(m == 0, F.lit("not json"))
-         .when(m == 1, F.concat(body, F.lit(',"zzz":1}')))
-         .when(m == 2, F.concat(body, F.lit(',"productPrice":"abc"}')))
-         .otherwise(F.col("value")))
+    return (F.when(m == 0, F.lit("not json"))
+            .when(m == 1, F.concat(_body(value), F.lit(',"zzz":1}')))
+            .when(m == 2, F.concat(_body(value), F.lit(',"productPrice":"abc"}')))
+            .otherwise(value))
+
+
+def damage_messages(msgs: DataFrame) -> DataFrame:
+    return msgs.withColumn("value", damaged_event(F.col("value")))
 
 
 def _decoded_events(spark, sf_dir, damage: bool = False):
@@ -151,25 +157,24 @@ def quarantine_events(spark, sf_dir):
              .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
-def damaged_transactions(spark, sf_dir) -> DataFrame:
-    """Transaction messages damaged by order: % 40 = 0 not JSON, 1 an unknown field, 2 a non-numeric
-    amount, 3 no category, 4 no id.  Amounts have three decimals and more."""
+def damaged_transactions(spark, sf_dir) -> tuple[DataFrame, Column]:
+    """Transactions and their messages (a column made of theirs), damaged by order: % 40 = 0 not JSON, 1 an
+    unknown field, 2 a non-numeric amount, 3 no category, 4 no id.  Amounts have three decimals and more."""
     tx = _tx(spark, sf_dir)
     m = F.split("transaction_id", "-")[0].cast("bigint") % 40
     tx = tx.withColumns({"m": m, "total_amount": F.col("total_amount") + 0.001,
                          "product_category": F.when(m != 3, F.col("product_category")),
                          "transaction_id": F.when(m != 4, F.col("transaction_id"))})
     value = codec.encode_transactions(tx, "millis")
-    body = F.expr("substring(value, 1, length(value) - 1)")
-    return tx.select("m", "transaction_date", value.alias("value")).withColumn(
-        "value", F.when(F.col("m") == 0, F.lit("not json"))
-        .when(F.col("m") == 1, F.concat(body, F.lit(',"zzz":1}')))
-        .when(F.col("m") == 2, F.concat(body, F.lit(',"totalAmount":"abc"}'))).otherwise(F.col("value")))
+    return tx, (F.when(F.col("m") == 0, F.lit("not json"))
+                .when(F.col("m") == 1, F.concat(_body(value), F.lit(',"zzz":1}')))
+                .when(F.col("m") == 2, F.concat(_body(value), F.lit(',"totalAmount":"abc"}'))).otherwise(value))
 
 
 def quarantine_transactions(spark, sf_dir):
     """Dead transactions per reason, and the rows and money that stay."""
-    d = codec.dead_null_keys(codec.decode_transactions(damaged_transactions(spark, sf_dir)))
+    tx, value = damaged_transactions(spark, sf_dir)
+    d = codec.dead_null_keys(codec.decode_transactions(tx.select(value.alias("value"))))
     ok = F.col("reason").isNull()
     return (d.groupBy(F.coalesce(F.col("reason"), F.lit("ok")).alias("reason"))
              .agg(F.count(F.lit(1)).alias("n_rows"), money_sum(F.when(ok, F.col("totalAmount"))).alias("total")))

@@ -196,20 +196,17 @@ def stream_transactions(spark, sf_dir):
 
 def stream_quarantine(spark, sf_dir):
     """Dead letters of the event stream, counted per reason."""
-    from basketry.plans.queries import damage_messages
+    from basketry.plans.queries import damaged_event
     out = jobs.Outputs(work_path(spark, "stream_quarantine"))
     in_dir = out.path("_input")
     env = _env(spark, sf_dir)
-    records = damage_messages(env.select("eventId", "event_ts",
-                                         codec.encode_events(env).alias("value")))
-
     landed = []
 
     def run():
         raw = files.read_records_stream(spark, in_dir)
         landed.append(jobs.land_events(raw, out, AVAILABLE_NOW)[1])
 
-    feed_in_chunks(records, "event_ts", in_dir, run)
+    feed_in_chunks(env, "event_ts", in_dir, run, value=damaged_event(codec.encode_events(env)))
     return landed[-1].dead_letters(spark).groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -219,14 +216,14 @@ def stream_transaction_quarantine(spark, sf_dir):
     from basketry.plans.queries import damaged_transactions
     out = jobs.Outputs(work_path(spark, "stream_transaction_quarantine"))
     in_dir = out.path("_input")
-    records = damaged_transactions(spark, sf_dir)
+    tx, value = damaged_transactions(spark, sf_dir)
     landed = []
 
     def run():
         raw = files.read_records_stream(spark, in_dir)
         landed.append(jobs.land_transactions(raw, out, AVAILABLE_NOW)[1])
 
-    feed_in_chunks(records, "transaction_date", in_dir, run)
+    feed_in_chunks(tx, "transaction_date", in_dir, run, value=value)
     dead = landed[-1].dead_letters(spark).groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
     good = landed[-1].read(spark).agg(F.lit("ok").alias("reason"), F.count(F.lit(1)).alias("n_rows"),
                                       money_sum("total_amount").alias("total"))

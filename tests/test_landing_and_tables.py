@@ -290,3 +290,18 @@ def test_a_feed_stores_less_than_its_texts(spark):
     assert rows(texts) == rows(records.select(value.alias("value")))
     stored = sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(work) for f in names)
     assert stored < texts.agg(F.sum(F.length("value"))).first()[0] / 3
+
+
+@pytest.mark.parametrize("name", ["stream_quarantine", "stream_transaction_quarantine"])
+def test_damaged_inputs_are_held_by_columns(spark, monkeypatch, name):
+    """Of damaged records too, the texts are written once: the held records have none."""
+    from basketry.plans import streams
+    held, feed = [], streams.feed_in_chunks
+
+    def seen(records, *args, **options):
+        held.append(records.columns)
+        feed(records, *args, **options)
+
+    monkeypatch.setattr(streams, "feed_in_chunks", seen)
+    assert streams.STREAM_QUERIES[name](spark, "/root/testdata/sf0.001").count() > 1
+    assert len(held) == 1 and "value" not in held[0]
