@@ -20,12 +20,14 @@ import math
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from .common import cut, grouped_rank, row_key
+from .common import cut, grouped_rank, row_key, tie_range
 
 #: Word separators are \x20 and \x09-\x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Budget from which the knapsack runs, in words: bounds the width of its bit set.
 WINDOW = 65_536
+#: (source, length) pairs whose plan goes to every task, at most.
+FEW = 1 << 17
 
 
 def word_count(text):
@@ -104,6 +106,17 @@ def _fit_source(pdf: pd.DataFrame) -> pd.DataFrame:
                          "extra": [extra.get(n, 0) for n, _ in rows]})
 
 
+def planned(sized: DataFrame, targets: DataFrame, cap: int, seed: int) -> DataFrame:
+    """sid, size, and how often all documents of that size are taken (passes) and how many once more (extra)."""
+    counts = (sized.where("size > 0").groupBy("sid", "size")
+              .agg(F.count(F.lit(1)).alias("docs"))
+              .join(targets.select("sid", "target", F.col("source_size").alias("words")), "sid")
+              .withColumn("order", F.xxhash64(F.lit(seed), "sid", "size"))
+              .withColumn("cap", F.lit(cap)))
+    return cut(counts.groupBy("sid").applyInPandas(
+        _fit_source, "sid int, size long, passes int, extra long"), "mix-plan")
+
+
 def mix(docs: DataFrame, payload: list[str], cycle: tuple = (1, 2, 3), cap: int = 3,
         seed: int = 7) -> DataFrame:
     """Documents with size, source_size, target and ``repeats`` (0 to ``cap``).
@@ -115,17 +128,10 @@ def mix(docs: DataFrame, payload: list[str], cycle: tuple = (1, 2, 3), cap: int
     sized = (docs.join(targets, docs["source"].eqNullSafe(targets["source"]))
              .select(*[docs[c] for c in ("size", "tie", *payload)],
                      "sid", "source_size", "target"))
-    counts = (sized.where("size > 0").groupBy("sid", "size")
-              .agg(F.count(F.lit(1)).alias("docs"))
-              .join(targets.select("sid", "target", F.col("source_size").alias("words")), "sid")
-              .withColumn("order", F.xxhash64(F.lit(seed), "sid", "size"))
-              .withColumn("cap", F.lit(cap)))
-    plan = counts.groupBy("sid").applyInPandas(
-        _fit_source, "sid int, size long, passes int, extra long")
     ranked = grouped_rank(sized.withColumn("tie", F.xxhash64(F.lit(seed), "tie")),
                           ["sid", "size"], "tie", "nth")
     repeats = F.coalesce(F.col("passes") + (F.col("nth") < F.col("extra")).cast("int"), F.lit(0))
-    return (ranked.join(cut(plan, "mix-plan"), ["sid", "size"], "left")
+    return (ranked.join(planned(sized, targets, cap, seed), ["sid", "size"], "left")
             .select(*payload, "size", "source_size", "target", repeats.alias("repeats")))
 
 
@@ -135,11 +141,36 @@ def measured(docs: DataFrame) -> DataFrame:
                        row_key(F.col("doc_id"), F.col("text")).alias("tie"))
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: every taken document as often as it is taken, columns unchanged."""
-    d = docs.select(F.struct("*").alias("row"), "doc_id", "source",
-                    word_count("text").alias("size"),
-                    row_key(F.col("doc_id"), F.col("text")).alias("tie"))
-    m = mix(d, ["row"], **options).where("repeats > 0")
-    return (m.select("row", F.explode(F.sequence(F.lit(1), "repeats")).alias("copy"))
+def mixed_documents(docs: DataFrame, cycle: tuple = (1, 2, 3), cap: int = 3, seed: int = 7) -> DataFrame:
+    """The mix itself: every taken document as often as ``mix`` takes it, columns unchanged.
+
+    Ranks are found on rows without texts.  Of a source and length they come
+    down to the last tie value that is taken once more, so texts stay where
+    they are; only rows that share this value with others, of which not all
+    are taken, are numbered.
+    """
+    tie = F.xxhash64(F.lit(seed), "tie")
+    m = cut(measured(docs).select("source", "size", tie.alias("tie")), "mix-sizes")
+    targets = cut(source_targets(m, cycle, cap), "mix-targets")
+    own = targets.select(F.col("source").alias("of"), "sid")
+    sized = m.where("size > 0").join(own, F.col("source").eqNullSafe(F.col("of"))).select("sid", "size", "tie")
+    plan = planned(sized, targets, cap, seed)
+    ranked = grouped_rank(sized, ["sid", "size"], "tie", "nth").join(plan.where("extra > 0"), ["sid", "size"])
+    last = (ranked.groupBy("sid", "size", tie_range("tie").alias("part"), "tie")
+            .agg(F.count_if(F.col("nth") < F.col("extra")).alias("need"), F.count(F.lit(1)).alias("same"))
+            .where("need > 0").groupBy("sid", "size").agg(F.max(F.struct("part", "tie", "need", "same")).alias("last")))
+    plan = cut(plan.drop("extra").join(last, ["sid", "size"], "left"), "mix-last")
+
+    d = docs.select(F.struct("*").alias("row"), F.col("source").alias("from"), word_count("text").alias("size"),
+                    row_key(F.col("doc_id"), F.col("text")).alias("tie")).withColumn("tie", tie)
+    d = (d.join(own, F.col("from").eqNullSafe(F.col("of")))
+         .join(F.broadcast(plan) if plan.count() <= FEW else plan, ["sid", "size"]))
+    at, end = F.struct(tie_range("tie"), "tie"), F.struct("last.part", "last.tie")
+    some = F.coalesce((at == end) & (F.col("last.need") < F.col("last.same")), F.lit(False))
+    taken = d.where(~some).select("row", (F.col("passes") + F.coalesce(at <= end, F.lit(False)).cast("int")).alias("repeats"))
+    if plan.where("last.need < last.same").limit(1).count():
+        nth = F.row_number().over(W.partitionBy("sid", "size", "tie").orderBy(F.lit(0)))
+        taken = taken.union(d.where(some).withColumn("nth", nth).select(
+            "row", (F.col("passes") + (F.col("nth") <= F.col("last.need")).cast("int")).alias("repeats")))
+    return (taken.where("repeats > 0").select("row", F.explode(F.sequence(F.lit(1), "repeats")).alias("copy"))
             .select("row.*"))

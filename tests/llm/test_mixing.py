@@ -73,6 +73,27 @@ def test_mixed_documents_keep_columns(spark):
     assert out.columns == docs.columns and out.count() > 0
 
 
+@pytest.mark.parametrize("few", [mixing.FEW, 0])
+def test_mixed_documents_are_those_of_the_mix(spark, monkeypatch, few):
+    """Repeated rows included, of which some may be taken; no text is shuffled while the plan is small."""
+    monkeypatch.setattr(mixing, "FEW", few)
+    r = random.Random(5)
+    rows = AWKWARD + [(r.randint(0, 40), "w " * r.choice([1, 2, 2, 900]), None, r.choice(["hot"] * 4 + ["b", None]))
+                      for _ in range(300)]
+    rows += [(7, "one row many times", "en", "c")] * 50 + [(500 + i, f"alone {i}", "en", "d") for i in range(30)]
+    docs = frame(spark, rows, CLASHING)
+    want = mixing.mix(mixing.measured(docs), ["doc_id", "source"])
+    words = lambda x: (str(x["doc_id"]), x["source"] or "", x["size"])
+    wanted = sorted(words(x) for x in want.collect() for _ in range(x["repeats"]))
+    out = mixing.mixed_documents(docs)
+    assert out.columns == docs.columns
+    got = out.select("doc_id", "source", mixing.word_count("text").alias("size"))
+    assert sorted(words(x) for x in got.collect()) == wanted
+    if few:
+        plain = mixing.mixed_documents(docs.dropDuplicates(["doc_id", "text", "source"]))
+        assert "Exchange hashpartitioning(sid" not in plain._jdf.queryExecution().executedPlan().toString()
+
+
 def test_empty(spark):
     assert mixing.mix(mixing.measured(frame(spark, [])), ["doc_id"]).count() == 0
     only = frame(spark, [(1, None, None, None)])
