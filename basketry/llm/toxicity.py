@@ -32,6 +32,8 @@ TRAIN_DOCS = 10_000
 #: Token windows and how many of them the chain is fitted on, at most.
 WINDOW = 64
 TRAIN_WINDOWS = 20_000
+#: Neighbouring tokens whose chances are held at once during the fit.
+PAIRS = 1 << 16
 #: A word is evidence from this many toxic texts on, ...
 MIN_TEXTS = 4
 #: ... this much more frequent among toxic than clean texts, at this z-value.
@@ -137,11 +139,14 @@ def fit_chain(windows: list[tuple[np.ndarray, np.ndarray]], n_words: int, steps:
         s = theta[n_words] + np.where(known, theta[np.maximum(word, 0)], 0.0)
         fwd, bwd = forward_backward(s, first, move)
         p = 1 / (1 + np.exp(-(fwd + bwd)))
-        r, x = fwd[pair - 1], s[pair] + bwd[pair]
-        logs = np.stack([np.zeros(len(pair)) + move[0, 0], move[0, 1] + x,
-                         move[1, 0] + r, move[1, 1] + r + x])
-        logs -= np.logaddexp.reduce(logs, axis=0)
-        both = np.exp(logs).sum(axis=1).reshape(2, 2)
+        both = np.zeros((2, 2))
+        for k in range(0, len(pair), PAIRS):
+            at = pair[k:k + PAIRS]
+            r, x = fwd[at - 1], s[at] + bwd[at]
+            logs = np.stack([np.zeros(len(at)) + move[0, 0], move[0, 1] + x,
+                             move[1, 0] + r, move[1, 1] + r + x])
+            logs -= np.logaddexp.reduce(logs, axis=0)
+            both += np.exp(logs).sum(axis=1).reshape(2, 2)
         gap = y - p
         grad = np.zeros_like(theta)
         grad[:n_words] = np.bincount(word[known], gap[known], n_words)[:n_words]
@@ -202,7 +207,8 @@ def _word_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _windows(words: np.ndarray):
-    """(toxic, text) to token windows: word numbers, labels, whether any is toxic, and a draw by text and place."""
+    """(toxic, text) to token windows: word numbers (int32) and labels (int8) as bytes, whether any is toxic,
+    and a draw by text and place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -221,11 +227,11 @@ def _windows(words: np.ndarray):
                     place = mix(own + mix(np.arange(first, last, WINDOW).astype(np.uint64) - np.uint64(first)))
                     for k, h in zip(range(first, last, WINDOW), place.tolist()):
                         e = min(k + WINDOW, last)
-                        number.append(word[k:e])
-                        label.append(y[k:e].astype(np.int8))
+                        number.append(word[k:e].tobytes())
+                        label.append(y[k:e].astype(np.int8).tobytes())
                         hit.append(bool(y[k:e].any()))
                         draws.append(h / 2 ** 64)
-                yield pa.record_batch([pa.array(number, pa.list_(pa.int32())), pa.array(label, pa.list_(pa.int8())),
+                yield pa.record_batch([pa.array(number, pa.binary()), pa.array(label, pa.binary()),
                                        pa.array(hit, pa.bool_()), pa.array(draws, pa.float64())],
                                       names=["word", "y", "hit", "draw"])
 
@@ -287,11 +293,11 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> C
     if len(words):
         # a fit sample of bounded size: toxic windows up to half of it, clean ones the rest
         windows = sample.select("toxic", "text").mapInArrow(
-            _windows(words), "word array<int>, y array<byte>, hit boolean, draw double")
+            _windows(words), "word binary, y binary, hit boolean, draw double")
         rows = windows.where("hit").orderBy("draw").limit(TRAIN_WINDOWS // 2).collect()
         rows += windows.where("not hit").orderBy("draw").limit(TRAIN_WINDOWS - len(rows)).collect()
         chain.emission, chain.bias, chain.move = fit_chain(
-            [(np.asarray(r["word"]), np.asarray(r["y"])) for r in rows], len(words))
+            [(np.frombuffer(r["word"], np.int32), np.frombuffer(r["y"], np.int8)) for r in rows], len(words))
     shared = spark.sparkContext.broadcast(chain)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -109,3 +109,15 @@ def test_both_labels_have_their_share_of_the_sample(spark):
         F.count("*").alias("n"), F.avg("weight").alias("w")).collect()}
     assert got[True][0] >= 25 and got[True][1] == 1.0  # all of the few toxic ones
     assert 130 <= got[False][0] <= 280 and 10 < got[False][1] < 25
+
+
+def test_the_fit_holds_few_pairs_at_once():
+    """The driver fits the chain: beside some numbers a token, it holds the chances of PAIRS neighbours only."""
+    import tracemalloc
+    r = np.random.default_rng(3)
+    windows = [(r.integers(-1, 50, 64).astype(np.int32), (r.random(64) < 0.1).astype(np.int8)) for _ in range(10_000)]
+    tracemalloc.start()
+    toxicity.fit_chain(windows, 50, steps=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 * 64 * len(windows)
