@@ -376,7 +376,11 @@ def start_transactions_table(tx: DataFrame, out: Outputs, order: list[str] | Non
     order = order or ARRIVAL
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        sink.write_batch(latest_transactions(df, order).drop(*ARRIVAL), batch_id)
+        if isinstance(sink, BucketTable):
+            # the table finds the last write in the shuffle that also makes its files
+            sink.write_batch(df, batch_id, order)
+        else:
+            sink.write_batch(latest_transactions(df, order).drop(*ARRIVAL), batch_id)
 
     return _start(tx, "transactions", out, batch, "append", trigger)
 

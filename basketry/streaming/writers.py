@@ -58,6 +58,11 @@ def _delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def _rename(spark: SparkSession, path: str, to: str) -> bool:
+    p, q = (spark._jvm.org.apache.hadoop.fs.Path(x) for x in (path, to))
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).rename(p, q)
+
+
 class BucketTable:
     """Keyed table: the newest row of each key, stored by bucket.
 
@@ -94,8 +99,12 @@ class BucketTable:
         task's rows do not depend on the stream's number of partitions."""
         return rows.repartition("bucket") if self._bucket is not None else rows.repartition(self.buckets, "bucket")
 
-    def write_batch(self, df: DataFrame, batch_id: int) -> None:
-        """Upsert a batch of one row per key.
+    def write_batch(self, df: DataFrame, batch_id: int, order: list[str] | None = None) -> None:
+        """Upsert a batch of one row per key, or of several where ``order`` names the columns
+        whose descending order puts a key's last write first.
+
+        With ``order`` the batch is read twice, the first time only for its
+        buckets: its rows then meet each other and the old ones in one shuffle.
 
         A stage that is complete (its ``_SUCCESS`` marker is written last)
         belongs to an attempt that may have replaced some folders already: it
@@ -103,27 +112,38 @@ class BucketTable:
         """
         spark, stage = df.sparkSession, self.stage(batch_id)
         if not path_exists(spark, f"{stage}/_SUCCESS"):
-            new = (df.select(*self.columns).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-                     .withColumn("bucket", self.bucket()).persist())
+            place = [F.col(c).alias(f"_o{k}") for k, c in enumerate(order or [])]
+            new = (df.select(*self.columns, *place).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+                     .withColumn("bucket", self.bucket()))
+            if not order:
+                new = new.persist()
             try:
                 touched = [r[0] for r in new.select("bucket").distinct().collect()]   # bucket numbers
                 self._touched = (int(batch_id), touched)
                 if not touched:
                     return
-                rows = self._dealt(new)
+                rows, first = new, [F.desc(f"_o{k}") for k in range(len(place))]
                 if path_exists(spark, self.path):
                     # old and new rows meet by bucket, in the one shuffle that also makes the files
                     old = self._rows(spark).where(F.col("bucket").isin(touched))
-                    both = new.withColumn("_new", F.lit(1)).unionByName(old.withColumn("_new", F.lit(0)))
-                    newest = Window.partitionBy("bucket", *self.keys).orderBy(F.desc("_new"))
-                    rows = (self._dealt(both).withColumn("_rn", F.row_number().over(newest))
-                            .where(F.col("_rn") == 1).drop("_rn", "_new"))
-                (rows.write.mode("overwrite").partitionBy("bucket").option("compression", "zstd")
+                    rows = (new.withColumn("_new", F.lit(1))
+                            .unionByName(old.withColumn("_new", F.lit(0)), allowMissingColumns=True))
+                    first = [F.desc("_new"), *first]
+                rows = self._dealt(rows)
+                if first:
+                    newest = Window.partitionBy("bucket", *self.keys).orderBy(*first)
+                    rows = rows.withColumn("_rn", F.row_number().over(newest)).where(F.col("_rn") == 1)
+                (rows.select(*self.stored.names)
+                     .write.mode("overwrite").partitionBy("bucket").option("compression", "zstd")
                      .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(stage))
             finally:
-                new.unpersist()
+                if not order:
+                    new.unpersist()
         staged = self._rows(spark, stage)
         self._touched = (int(batch_id), [r[0] for r in staged.select("bucket").distinct().collect()])
+        # a first batch has nothing to replace: its stage becomes the table
+        if not path_exists(spark, self.path) and _rename(spark, stage, self.path):
+            return
         # a staged file has rows of one bucket, so a copy of the files needs no shuffle
         _dynamic_overwrite(staged, self.path, "bucket")
         _delete(spark, stage)

@@ -305,3 +305,23 @@ def test_damaged_inputs_are_held_by_columns(spark, monkeypatch, name):
     monkeypatch.setattr(streams, "feed_in_chunks", seen)
     assert streams.STREAM_QUERIES[name](spark, "/root/testdata/sf0.001").count() > 1
     assert len(held) == 1 and "value" not in held[0]
+
+
+def test_last_writes_are_found_in_the_shuffle_that_makes_the_files(spark, monkeypatch):
+    """Several rows of a key in a batch: none are held in between, and a first batch is not copied."""
+    table = BucketTable(work_path(spark, "t_order_b"), ["k"], "k string, v int", buckets=4)
+    frame = lambda pairs: spark.createDataFrame([(k, v, (1, f"f{v % 2}"), s) for k, v, s in pairs],
+                                                "k string, v int, arrival struct<time int, file string>, seq long")
+    copies, whole = [], writers._dynamic_overwrite
+    monkeypatch.setattr(writers, "_dynamic_overwrite", lambda *a: copies.append(1) or whole(*a))
+    monkeypatch.setattr(type(frame([("a", 1, 1)])), "persist", lambda self: pytest.fail("held in between"))
+    first = [(f"k{i}", v, v) for i in range(20) for v in (2, 0, 4)]
+    table.write_batch(frame(first), 0, ["arrival", "seq"])
+    assert rows(table.read(spark)) == sorted((f"k{i}", 4) for i in range(20)) and not copies
+    assert table.touched(spark, 0).count() == 20
+    again = [("k1", 10, 5), ("k1", 12, 3), ("k1", 11, 1), ("new", 8, 8), (None, 6, 1), (None, 8, 0)]
+    for _ in range(2):      # and once more, as after a crash: the same rows
+        table.write_batch(frame(again), 1, ["arrival", "seq"])
+        got = sorted(map(tuple, table.read(spark).collect()), key=str)
+        assert got == sorted([(f"k{i}", 4) for i in range(20) if i != 1] + [("k1", 11), ("new", 8), (None, 6)], key=str)
+    assert len(copies) == 2
